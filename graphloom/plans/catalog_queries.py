@@ -1,0 +1,7 @@
+"""Registered queries of the catalog engine and their SQL."""
+
+from __future__ import annotations
+
+FLAGSHIP = "count_functions"
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
