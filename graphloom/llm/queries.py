@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from graphloom.llm import simhash
+from graphloom.llm import byte_bpe, chat, packing, quality_rules, secrets, simhash, url_rules
 
 QUERIES = {
+    "op1_byte_bpe": byte_bpe.query,
+    "op2_secret_scans": secrets.query,
+    "op3_best_fit_packing": packing.query,
+    "op5_chat_formatting": chat.query,
+    "op6_quality_rules": quality_rules.query,
+    "op8_url_filters": url_rules.query,
     "op9_simhash_near_dedup": simhash.query,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_chat_formatting": chat.SQL,
+    "op8_url_filters": url_rules.SQL,
+}
