@@ -238,5 +238,9 @@ def query(spark, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["end"])), ",")
 
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
