@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graphloom.llm import byte_bpe, chat, packing, quality_rules, secrets, simhash, url_rules
+from graphloom.llm import byte_bpe, chat, imatch, packing, quality_rules, rule_ensemble, secrets, simhash, url_rules
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_best_fit_packing": packing.query,
     "op5_chat_formatting": chat.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_quality_classifier": rule_ensemble.query,
     "op8_url_filters": url_rules.query,
     "op9_simhash_near_dedup": simhash.query,
+    "op10_document_fingerprints": imatch.query,
 }
 ORACLE: dict[str, str] = {
     "op5_chat_formatting": chat.SQL,
