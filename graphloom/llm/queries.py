@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from graphloom.llm import byte_bpe, chat, imatch, packing, quality_rules, rule_ensemble, secrets, simhash, url_rules
+from graphloom.llm import byte_bpe, chat, imatch, line_dedup, packing, quality_rules, rule_ensemble, secrets, simhash, url_rules
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
     "op2_secret_scans": secrets.query,
     "op3_best_fit_packing": packing.query,
+    "op4_line_dedup": line_dedup.query,
     "op5_chat_formatting": chat.query,
     "op6_quality_rules": quality_rules.query,
     "op7_quality_classifier": rule_ensemble.query,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,9 @@ from graphloom.llm._util import connected_components, cut
 CHUNK = 1 << 15
 #: Buckets of at most so many fingerprints are compared pair by pair; larger ones go through shared neighbours.
 SMALL_BUCKET = 12
+LOCAL_BUCKET = 4096
+#: Up to so many ids (under 16 MB) are broadcast.
+BROADCAST_IDS = 500_000
 #: Byte -> eight counters, one in each byte of a 64-bit word.
 LANES = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], dtype=np.uint64)
 
@@ -79,18 +83,44 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def near_edges(fps: DataFrame, radius: int) -> DataFrame:
-    """Edges (u, v) that connect exactly the distinct fingerprints at most `radius` bits apart.
-
-    fps: one row per distinct fp. Fingerprints meet in the buckets of the covering masks. In a
-    small bucket every pair is verified. A large bucket, of near copies, is linked through shared
-    points instead: two words are within 2r bits if and only if their balls of r bits share a
-    point, so each member emits its ball over the bucket's free bits and is tied to the least
-    member at each point; a point has at most as many members as the ball has points, and the rows
-    are linear in the bucket. For an odd radius the ball of (radius + 1) / 2 bits would also tie
-    words one bit too far apart, so points there carry a ball on one side only.
+def pigeonhole_masks(radius: int, blocks: int, bits: int = 64) -> list[int]:
+    """Every choice of blocks - radius of the blocks: words at most `radius` bits apart agree on one choice."""
+    edges = [bits * i // blocks for i in range(blocks + 1)]
+    own = [sum(1 << b for b in range(x, y)) for x, y in itertools.pairwise(edges)]
+    return [sum(c) for c in itertools.combinations(own, blocks - radius)]
+
+
+def _forest(rows: pa.Table, radius: int) -> pa.Table:
+    """Edges of a spanning forest over the links among the fingerprints of one bucket."""
+    left = rows.column("fp").to_numpy().astype(np.int64)
+    us, vs, todo = [], [], []
+    while len(left) or todo:
+        if not todo:
+            todo, left = [left[0]], left[1:]
+        at = todo.pop()
+        near = np.bitwise_count((left ^ at).view(np.uint64)) <= radius
+        found = left[near]
+        left = left[~near]
+        us.append(np.full(len(found), at, dtype=np.int64))
+        vs.append(found)
+        todo.extend(found.tolist())
+    return pa.table({"u": np.concatenate([*us, np.zeros(0, np.int64)]), "v": np.concatenate([*vs, np.zeros(0, np.int64)])})
+
+
+def near_edges(fps: DataFrame, radius: int, masks: list[int] | None = None, every_pair: bool = False) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints at most `radius` bits apart.
+
+    fps: one row per distinct fp. Fingerprints meet in the buckets of the masks (covering masks unless
+    given). In a small bucket every pair is verified. A large bucket, of near copies, is linked through
+    shared points instead: two words are within r bits if and only if the balls of floor(r / 2) bits
+    around one and ceil(r / 2) around the other share a point, and within a bucket only the bits
+    outside its mask can differ. A point has at most as many members as a ball has points, so the rows
+    are linear in the bucket. every_pair: all near pairs, u < v. Otherwise just enough edges to connect
+    the same components: for an even radius each member is tied to the least one at its points; and
+    for a radius over 3, whose balls are large, buckets of up to LOCAL_BUCKET fingerprints (32 kB) are
+    compared in one task each, which gives a spanning forest of the bucket's links.
     """
-    masks = covering_masks(radius)
+    masks = covering_masks(radius) if masks is None else masks
     entries = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "key"))
     sizes = entries.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = cut(entries.join(sizes, ["t", "key"]))
@@ -99,7 +129,11 @@ def near_edges(fps: DataFrame, radius: int) -> DataFrame:
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2")))
     pairs = few.join(other, ["t", "key"]).filter((F.col("fp") < F.col("fp2")) & (apart <= radius)).select(
         F.col("fp").alias("u"), F.col("fp2").alias("v"))
-    many = met.filter(F.col("n") > SMALL_BUCKET)
+    local = not every_pair and radius > 3
+    many = met.filter(F.col("n") > (LOCAL_BUCKET if local else SMALL_BUCKET))
+    if local:
+        mid = met.filter(F.col("n").between(SMALL_BUCKET + 1, LOCAL_BUCKET)).select("t", "key", "fp")
+        pairs = pairs.unionByName(mid.groupBy("t", "key").applyInArrow(lambda rows: _forest(rows, radius), "u bigint, v bigint"))
     free = F.lit(None).cast("array<bigint>")
     for t, m in enumerate(masks):
         spots = [_signed(1 << b) for b in range(64) if not m >> b & 1]
@@ -109,7 +143,7 @@ def near_edges(fps: DataFrame, radius: int) -> DataFrame:
         flips.append(F.flatten(F.transform(flips[-1], lambda x: F.transform(free, lambda s: x.bitwiseXOR(s)))))
     half, rest = F.array_distinct(F.concat(*flips[: radius // 2 + 1])), F.array_distinct(F.concat(*flips))
     near = many.select("t", "fp", F.explode(half).alias("d")).select("t", "fp", F.col("fp").bitwiseXOR(F.col("d")).alias("point"))
-    if radius % 2 == 0:
+    if radius % 2 == 0 and not every_pair:
         low = F.min("fp").over(W.partitionBy("t", "point"))
         tied = near.select("fp", low.alias("low")).filter("fp <> low").select(F.col("fp").alias("u"), F.col("low").alias("v"))
     else:
@@ -138,13 +172,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(by_fp, "fp").select("id", "fp", "component")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = 3) -> DataFrame:
-    """The documents that stay: those whose id is the least of their group.
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = 6) -> DataFrame:
+    """The documents that stay: those whose id is the least of their group. All columns stay.
 
-    Rows with a null id stay only if no row of their group has an id.
+    Rows with one id are one document. Rows with a null id stay only if no row of their group has an id.
+    The ids that go are broadcast while they are few, else joined by key.
     """
     comps = near_components(docs, id_col, text_col, width, radius)
-    gone = comps.filter("id <> component or (id is null and component is not null)").select(F.col("id").alias("__gone")).distinct()
+    gone = cut(comps.filter("id <> component or (id is null and component is not null)").select(F.col("id").alias("__gone")).distinct())
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
 
 
