@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,9 +24,11 @@ from pyspark.sql import functions as F
 from graphloom.llm._util import cut
 
 #: Words cached by a worker before it starts anew.
-CACHE = 600_000
+CACHE = 500_000
 #: Characters that Python's split takes for white space and the tokenizer doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
+#: Words of letters whose class and lower case all versions of Unicode agree on, and a closing mark.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
 class WordTokens:
@@ -37,9 +41,20 @@ class WordTokens:
         self.own = Tokenizer.from_file(path)
         self.own.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """ids of words: forms that differ in case or a closing mark share one call of the tokenizer, which folds case and splits marks off."""
+        split = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(w)) else (w, "") for w in words]
+        new = list({x for pair in split for x in pair} - self.parts.keys())
+        if len(self.parts) + len(new) > CACHE:
+            self.parts, new = {}, list({x for pair in split for x in pair})
+        self.parts.update(zip(new, self.whole(new), strict=True))
+        get = self.parts.__getitem__
+        return [get(a) + get(b) for a, b in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
@@ -47,7 +62,7 @@ class WordTokens:
         new = list(needed - self.cache.keys())
         if len(self.cache) + len(new) > CACHE:
             self.cache, new = {}, list(needed)
-        self.cache.update(zip(new, self.whole(new), strict=True))
+        self.cache.update(zip(new, self.words(new), strict=True))
         get = self.cache.__getitem__
         return [self.whole([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
 
