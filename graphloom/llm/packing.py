@@ -9,10 +9,13 @@ place by their rank among those of their size.
 from __future__ import annotations
 
 import bisect
+import itertools
+import json
 import os
 import re
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +25,72 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.llm._util import cut
+from graphloom.llm.byte_bpe import Merger
 
-#: Words cached by a worker before it starts anew.
-CACHE = 500_000
+#: Words in one generation of a worker's caches.
+CACHE = 400_000
 #: Characters that Python's split takes for white space and the tokenizer doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Words of letters whose class and lower case all versions of Unicode agree on, and a closing mark.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+PLAIN_PART = re.compile("[a-zß-öø-ÿ]+")
+
+
+class Recent:
+    """A bounded cache of two generations: entries used since the last turn stay when it is full, the others go."""
+
+    def __init__(self, compute):
+        self.compute = compute
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def learn(self, keys: set[str]) -> dict[str, bytes]:
+        """A dictionary that holds all of these keys."""
+        new = keys - self.now.keys()
+        if len(self.now) + len(new) > CACHE:
+            self.now, self.before, new = {}, self.now, keys
+        held = new & self.before.keys()
+        self.now.update((k, self.before[k]) for k in held)
+        fresh = list(new - held)
+        self.now.update(zip(fresh, self.compute(fresh), strict=True))
+        return self.now
+
+
+class WordMerger(Merger):
+    """Pair merging of plain words by the tokenizer's own vocabulary and merges, many words at a time.
+
+    Needs what holds for such files: a merge's token has an id above those of all earlier merges, so that ids
+    rank pairs.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that byte-level vocabularies write as themselves
+        other = iter(range(256, 512))
+        letters = [chr(b) if b in shown else chr(next(other)) for b in range(256)]
+        self.bytes, self.last = (np.array([vocab[c + end] for c in letters], dtype=np.int64) for end in ("", suffix))
+        self.base = 1 + max(vocab.values())
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [vocab[a + b] for a, b in merges]
+        if any(x >= y for x, y in itertools.pairwise(made)):
+            raise ValueError("ids don't rank the merges")
+        pairs = {vocab[a] * self.base + vocab[b]: i for (a, b), i in zip(merges, made, strict=True)}
+        self.keys = np.array(sorted(pairs), dtype=np.int64)
+        self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+
+    def merge_all(self, words: list[str]) -> list[bytes]:
+        out, by_size = [b""] * len(words), defaultdict(list)
+        for i, w in enumerate(words):
+            by_size[len(w.encode())].append(i)
+        for size, at in by_size.items():
+            raw = np.frombuffer("".join(words[i] for i in at).encode(), dtype=np.uint8).reshape(-1, size)
+            ids = self.bytes[raw]
+            ids[:, -1] = self.last[raw[:, -1]]
+            for i, x in zip(at, self.rounds(ids), strict=True):
+                out[i] = x
+        return out
 
 
 class WordTokens:
@@ -40,30 +102,29 @@ class WordTokens:
 
         self.own = Tokenizer.from_file(path)
         self.own.encode_special_tokens = True
-        self.cache: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.merger = WordMerger(path)
+        self.words, self.parts = Recent(self._words), Recent(self._parts)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """ids of words: forms that differ in case or a closing mark share one call of the tokenizer, which folds case and splits marks off."""
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        """Plain words by pair merging; all others by the library."""
+        plain = [p for p in parts if len(p) <= 48 and PLAIN_PART.fullmatch(p)]
+        known = dict(zip(plain, self.merger.merge_all(plain), strict=True))
+        other = [p for p in parts if p not in known]
+        known.update(zip(other, self.whole(other), strict=True))
+        return [known[p] for p in parts]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Forms that differ in case or a closing mark share one call of the tokenizer, which folds case and splits marks off."""
         split = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(w)) else (w, "") for w in words]
-        new = list({x for pair in split for x in pair} - self.parts.keys())
-        if len(self.parts) + len(new) > CACHE:
-            self.parts, new = {}, list({x for pair in split for x in pair})
-        self.parts.update(zip(new, self.whole(new), strict=True))
-        get = self.parts.__getitem__
+        get = self.parts.learn({x for pair in split for x in pair}).__getitem__
         return [get(a) + get(b) for a, b in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
-        needed = set().union(*(w for w in split if w))
-        new = list(needed - self.cache.keys())
-        if len(self.cache) + len(new) > CACHE:
-            self.cache, new = {}, list(needed)
-        self.cache.update(zip(new, self.words(new), strict=True))
-        get = self.cache.__getitem__
+        get = self.words.learn(set().union(*(w for w in split if w))).__getitem__
         return [self.whole([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
 
 
