@@ -19,6 +19,8 @@ CHUNK = 1 << 15
 #: Buckets of at most so many fingerprints are compared pair by pair; larger ones go through shared neighbours.
 SMALL_BUCKET = 12
 LOCAL_BUCKET = 4096
+#: The same bound where all near pairs are asked for, as a ball of an odd radius has more points.
+PAIR_BUCKET = 512
 #: Up to so many ids (under 16 MB) are broadcast.
 BROADCAST_IDS = 500_000
 #: Byte -> eight counters, one in each byte of a 64-bit word.
@@ -124,13 +126,14 @@ def near_edges(fps: DataFrame, radius: int, masks: list[int] | None = None, ever
     entries = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "key"))
     sizes = entries.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = cut(entries.join(sizes, ["t", "key"]))
-    few = met.filter(F.col("n") <= SMALL_BUCKET).select("t", "key", "fp")
+    small = PAIR_BUCKET if every_pair else SMALL_BUCKET
+    few = met.filter(F.col("n") <= small).select("t", "key", "fp")
     other = few.select("t", "key", F.col("fp").alias("fp2"))
     apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2")))
     pairs = few.join(other, ["t", "key"]).filter((F.col("fp") < F.col("fp2")) & (apart <= radius)).select(
         F.col("fp").alias("u"), F.col("fp2").alias("v"))
     local = not every_pair and radius > 3
-    many = met.filter(F.col("n") > (LOCAL_BUCKET if local else SMALL_BUCKET))
+    many = met.filter(F.col("n") > (LOCAL_BUCKET if local else small))
     if local:
         mid = met.filter(F.col("n").between(SMALL_BUCKET + 1, LOCAL_BUCKET)).select("t", "key", "fp")
         pairs = pairs.unionByName(mid.groupBy("t", "key").applyInArrow(lambda rows: _forest(rows, radius), "u bigint, v bigint"))
