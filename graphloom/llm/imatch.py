@@ -76,21 +76,28 @@ def in_order(docs: DataFrame) -> DataFrame:
     return rows.withColumn("rid", F.row_number().over(by)).withColumn("next_text", F.lead("text").over(by))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once: lambdas would compute what they mention anew for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def subset_hashes(codes: Column) -> Column:
     """map level -> array of SUBSETS hashes (8 hex digits; '' for a subset without terms) of a sorted array of codes."""
     size = F.size(codes)
     middle = F.greatest(F.lit(LEAST_LEVEL), F.floor(F.log2(F.greatest(size, F.lit(1)) / 1.5)).cast("int"))
-    levels = F.when(size == 0, F.array().cast("array<int>")).otherwise(F.array(*[(middle + k) for k in (-1, 0, 1)]))
+    levels = F.when(size == 0, F.array().cast("array<int>")).otherwise(let(middle, lambda m: F.array(*[m + k for k in (-1, 0, 1)])))
 
     def at(level: Column) -> Column:
         rate = F.pow(F.lit(2.0), level).cast("long")
-        marked = F.filter(F.transform(codes, lambda c: F.struct(F.pmod(F.xxhash64(c, level), rate).alias("s"), c.alias("c"))), lambda x: x["s"] < SUBSETS)
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: hashed(F.transform(F.filter(marked, lambda x: x["s"] == s), lambda x: x["c"])))
+        used = F.filter(codes, lambda c: F.pmod(F.xxhash64(c, level), rate) < SUBSETS)
+        marked = F.transform(used, lambda c: F.struct(F.pmod(F.xxhash64(c, level), rate).alias("s"), c.alias("c")))
+        return let(marked, lambda m: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: let(F.filter(m, lambda x: x["s"] == s), hashed)))
 
     def hashed(own: Column) -> Column:
-        return F.when(F.size(own) == 0, "").otherwise(F.right(F.lpad(F.lower(F.hex(F.xxhash64(own))), 16, "0"), F.lit(8)))
+        text = F.right(F.lpad(F.lower(F.hex(F.xxhash64(F.transform(own, lambda x: x["c"])))), 16, "0"), F.lit(8))
+        return F.when(F.size(own) == 0, "").otherwise(text)
 
-    return F.map_from_arrays(levels, F.transform(levels, at))
+    return let(levels, lambda ls: F.map_from_arrays(ls, F.transform(ls, at)))
 
 
 def as_text(hashes: Column, text_hash: Column) -> Column:
@@ -104,7 +111,7 @@ def likeness(a: Column, b: Column, text_a: Column, text_b: Column) -> Column:
     def share(level: Column) -> Column:
         x, y = F.element_at(a, level), F.element_at(b, level)
         both = F.filter(F.zip_with(x, y, lambda p, q: F.when((p == "") & (q == ""), F.lit(None)).otherwise(p == q)), lambda v: v.isNotNull())
-        return F.when(F.size(both) == 0, 0.0).otherwise(F.size(F.filter(both, lambda v: v)) / F.size(both))
+        return let(both, lambda v: F.when(F.size(v) == 0, 0.0).otherwise(F.size(F.filter(v, lambda t: t)) / F.size(v)))
 
     shared = F.array_intersect(F.map_keys(a), F.map_keys(b))
     return F.when(text_a == text_b, 1.0).otherwise(F.coalesce(F.array_max(F.transform(shared, share)), F.lit(0.0)))
