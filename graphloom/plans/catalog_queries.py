@@ -471,7 +471,7 @@ def _(spark, d):
     return decode.assemble(parts, ["conv_id"], ["part"], 8).select("conv_id", F.array_join("tokens", ",").alias("tokens"))
 
 
-MENTIONS = "SELECT conv_id, role AS category, length(text) % 7 AS fid, turn AS ord FROM {conversations}"
+MENTIONS = "SELECT conv_id, role AS category, CAST(length(text) % 7 AS BIGINT) AS fid, turn AS ord FROM {conversations}"
 
 
 @query("i10_identity_remap", f"""SELECT m.conv_id, m.category, m.fid, m.ord, CAST(d.dense_id AS INTEGER) AS dense_id FROM ({MENTIONS}) m JOIN (
@@ -621,13 +621,13 @@ for _name, _sql in stats.QUERIES.items():
         return stats.run(sql, binaries=base(spark, d, BINARIES), phase1_files=base(spark, d, PHASE1), phase3_files=base(spark, d, PHASE3))
 
 
-@query("c14_two_candidate_join", """WITH a AS (SELECT concat('c', CAST(o_custkey AS STRING)) AS parent, concat('n', CAST(o_orderkey % 200 AS STRING)) AS stem, CAST(o_orderkey AS STRING) AS path, CAST(o_totalprice AS BIGINT) AS size_bytes FROM {orders}),
+@query("c14_two_candidate_join", """WITH a AS (SELECT concat('c', CAST(o_custkey AS STRING)) AS parent, concat('n', CAST(o_orderkey % 200 AS STRING)) AS stem, CAST(o_orderkey AS STRING) AS path, CAST(floor(o_totalprice) AS BIGINT) AS size_bytes FROM {orders}),
   s AS (SELECT concat('c', CAST(c_custkey AS STRING)) AS source, CAST(c_nationkey + 1 AS BIGINT) AS b FROM {customer} WHERE c_custkey % 2 = 0 UNION ALL SELECT concat('n', CAST(s_suppkey AS STRING)), CAST(s_nationkey AS BIGINT) FROM {supplier}),
   p AS (SELECT a.path, a.size_bytes, coalesce(x.source, y.source) AS source, coalesce(x.b, y.b) AS source_bytes FROM a LEFT JOIN s x ON x.source = a.parent LEFT JOIN s y ON y.source = a.stem),
   r AS (SELECT * FROM p UNION ALL SELECT NULL, NULL, s.source, s.b FROM s WHERE s.source NOT IN (SELECT source FROM p WHERE source IS NOT NULL))
   SELECT *, CASE WHEN source_bytes > 0 THEN size_bytes / source_bytes END AS ratio, CASE WHEN source IS NULL THEN 'no_source' WHEN path IS NULL THEN 'no_artifact' ELSE 'paired' END AS status FROM r""")
 def _(spark, d):
-    a = base(spark, d, "SELECT concat('c', CAST(o_custkey AS STRING)) AS parent, concat('n', CAST(o_orderkey % 200 AS STRING)) AS stem, CAST(o_orderkey AS STRING) AS path, CAST(o_totalprice AS DECIMAL(20,0)) AS size_bytes FROM {orders}").withColumn("size_bytes", F.col("size_bytes").cast("long"))
+    a = base(spark, d, "SELECT concat('c', CAST(o_custkey AS STRING)) AS parent, concat('n', CAST(o_orderkey % 200 AS STRING)) AS stem, CAST(o_orderkey AS STRING) AS path, CAST(floor(o_totalprice) AS BIGINT) AS size_bytes FROM {orders}")
     s = base(spark, d, "SELECT concat('c', CAST(c_custkey AS STRING)) AS path, CAST(c_nationkey + 1 AS BIGINT) AS size_bytes FROM {customer} WHERE c_custkey % 2 = 0 UNION ALL SELECT concat('n', CAST(s_suppkey AS STRING)), CAST(s_nationkey AS BIGINT) FROM {supplier}")
     return stats.pair_sizes(a, s)
 
@@ -673,12 +673,12 @@ def _(spark, d):
     return inspect.functions_passing(base(spark, d, "SELECT DISTINCT p_type FROM {part}"), base(spark, d, PARTS), {"p_size": ["?", "1"]}, "p_type")
 
 
-@query("b11_name_search", "SELECT p_partkey, p_name FROM {part} WHERE contains(lower(p_name), 'rt 1')")
+@query("b11_name_search", "SELECT p_partkey, p_name FROM {part} WHERE contains(lower(p_name), 'll w')")
 def _(spark, d):
-    return inspect.name_search(base(spark, d, "SELECT p_partkey, p_name FROM {part}"), "RT 1", "p_name")
+    return inspect.name_search(base(spark, d, "SELECT p_partkey, p_name FROM {part}"), "LL W", "p_name")
 
 
-@query("f2_natural_sort", f"SELECT p_partkey, CAST(row_number() OVER (ORDER BY p_brand, p_size NULLS LAST, p_partkey) - 1 AS INTEGER) AS place FROM (SELECT p_partkey, regexp_replace(p_brand, '([0-9]+)', '\\1') AS p_brand, p_size FROM ({PARTS}))")
+@query("f2_natural_sort", f"SELECT p_partkey, CAST(row_number() OVER (ORDER BY p_brand, p_size NULLS LAST, p_partkey) - 1 AS INTEGER) AS place FROM (SELECT p_partkey, CAST(substr(p_brand, 7) AS INTEGER) AS p_brand, p_size FROM ({PARTS}))")
 def _(spark, d):
     return inspect.natural_sort(base(spark, d, PARTS), ["p_brand", "p_size", "p_partkey"]).select("p_partkey", "place")
 
