@@ -27,8 +27,8 @@ def _unescape(c: Column, pairs=ESCAPES) -> Column:
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """One row per conversation: conv_id, formatted, loss.
 
-    turns: conv_id, turn, role, text. Turns are sorted by number, then role and text (equal numbers,
-    repeated rows and all stay); null roles and texts are empty; null conv_ids make one conversation.
+    turns: conv_id, turn, role, text. Turns are sorted by number, null first, then role and text (rows
+    with equal numbers and repeated rows stay); null roles and texts are empty; null conv_ids make one conversation.
     Adjacent turns of one role share a block, START role \\n text [SEP text ...] STOP. loss: (start, length)
     in codepoints of every text of loss_role. A conversation is one value of the result, so its turns
     meet in one row; nothing else of it is gathered.

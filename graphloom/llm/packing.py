@@ -306,7 +306,7 @@ def pack(items: DataFrame, capacity: int = 2048) -> DataFrame:
     """items (a column length between 1 and the capacity, any others) with sequence_id and offset.
 
     Every row is placed once; no sequence holds more than the capacity, without gaps. Rows that are
-    alike in all columns get places of their own. An empty table gives an empty one. The driver sees
+    alike in all columns get places of their own. Columns named like the two are replaced. An empty table gives an empty one. The driver sees
     one count per size (at most `capacity`); groups and segments are fewer than a few per size.
     """
     spark = items.sparkSession
@@ -314,18 +314,18 @@ def pack(items: DataFrame, capacity: int = 2048) -> DataFrame:
     parts = cut(fixed.groupBy("length", "__part").agg(F.count("*").alias("n")))
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows = segments(solve(histogram, capacity))
-    schema = "s_size bigint, s_from bigint, s_to bigint, s_base bigint, s_per bigint, s_offset bigint"
+    schema = "__s_size bigint, __s_from bigint, __s_to bigint, __s_base bigint, __s_per bigint, __s_offset bigint"
     places = spark.createDataFrame(rows, schema)
-    before = parts.select(F.col("length").alias("b_length"), F.col("__part").alias("b_part"), (F.sum("n").over(
-        W.partitionBy("length").orderBy("__part").rowsBetween(W.unboundedPreceding, -1))).alias("before"))
+    before = parts.select(F.col("length").alias("__b_length"), F.col("__part").alias("__b_part"), (F.sum("n").over(
+        W.partitionBy("length").orderBy("__part").rowsBetween(W.unboundedPreceding, -1))).alias("__before"))
     order = [c for c in ("id", "piece") if c in items.columns] or ["length"]
     ranked = fixed.withColumn("__rank", F.row_number().over(W.partitionBy("length", "__part").orderBy(*order)) - 1)
-    ranked = ranked.join(before, (F.col("length") == F.col("b_length")) & (F.col("__part") == F.col("b_part")))
-    ranked = ranked.withColumn("__rank", F.col("__rank") + F.coalesce("before", F.lit(0)))
-    placed = ranked.join(F.broadcast(places), (F.col("length") == F.col("s_size")) & (F.col("__rank") >= F.col("s_from")) & (F.col("__rank") < F.col("s_to")))
-    nth = F.col("__rank") - F.col("s_from")
-    return placed.select(*items.columns, (F.col("s_base") + F.floor(nth / F.col("s_per"))).alias("sequence_id"),
-                         (F.col("s_offset") + (nth % F.col("s_per")) * F.col("length")).alias("offset"))
+    ranked = ranked.join(before, (F.col("length") == F.col("__b_length")) & (F.col("__part") == F.col("__b_part")))
+    ranked = ranked.withColumn("__rank", F.col("__rank") + F.coalesce("__before", F.lit(0)))
+    placed = ranked.join(F.broadcast(places), (F.col("length") == F.col("__s_size")) & (F.col("__rank") >= F.col("__s_from")) & (F.col("__rank") < F.col("__s_to")))
+    nth = F.col("__rank") - F.col("__s_from")
+    return placed.select(*[F.col(f"`{c}`") for c in items.columns if c not in ("sequence_id", "offset")], (F.col("__s_base") + F.floor(nth / F.col("__s_per"))).alias("sequence_id"),
+                         (F.col("__s_offset") + (nth % F.col("__s_per")) * F.col("length")).alias("offset"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

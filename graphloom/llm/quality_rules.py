@@ -114,9 +114,11 @@ def score(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with all their columns; the text is read twice, never shuffled."""
-    lean = with_stats(docs, "text", ["lang", "source"])
-    limits = thresholds(lean.filter(~base_failed()))
-    return judge(with_stats(docs, "text"), limits).filter("kept").select(*docs.columns)
+    limits = thresholds(with_stats(docs, "text", ["lang", "source"]).filter(~base_failed()))
+    names = [f"c{i}" for i in range(len(docs.columns))]  # columns of any name pass through
+    given = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)], "lang", "source", "text")
+    good = judge(with_stats(given, "text", [*names, "lang", "source"]), limits).filter("kept")
+    return good.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

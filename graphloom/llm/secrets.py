@@ -52,7 +52,8 @@ def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
 
     def close(strings: set[str]) -> None:
         if strings and all(len(s) >= 3 for s in strings):
-            clauses.append(sorted({frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in strings}, key=sorted))
+            ways = {frozenset(s[i : i + 3] for i in range(len(s) - 2)) for s in strings}
+            clauses.append(sorted((w for w in ways if not any(v < w for v in ways)), key=sorted))
 
     def exact(items) -> set[str] | None:
         """The strings that a sequence matches, lower-cased, or None if they are too many or not known."""
@@ -181,11 +182,12 @@ def re_least_run(pattern: str, least: int) -> str | None:
     return None
 
 
-def find(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def find(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, out_col: str = "spans") -> DataFrame:
     """docs with `spans`: array of (start, kind, end) by start, then kind as listed in rules.
 
-    Null texts count as empty and have no spans. Rows, repeats and other columns stay as they are; columns
-    named like this operator's own are kept. Texts are found by a SHA-256 key, so ids may be null or repeated.
+    Null texts count as empty and have no spans. Rows, repeats and other columns stay as they are, but for
+    one named like out_col, which is replaced. Texts are found by a SHA-256 key, so ids may be null or
+    repeated. An empty table gives an empty one.
     """
     gated = tuple(r for r in rules if trigram_query(r.pattern))
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -210,7 +212,7 @@ def find(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
         if verified.count() <= BROADCAST_ROWS:
             verified = F.broadcast(verified)
         out = out.join(verified, F.col("__key") == F.col("__k"), "left").withColumn("__every", F.concat("__every", F.coalesce("__found", F.array().cast(f"array<{SPAN}>"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.array_sort("__every").alias("spans"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != out_col], F.array_sort("__every").alias(out_col))
 
 
 def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -225,7 +227,7 @@ def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RU
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     done = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    found = find(docs, text_col, rules).withColumnRenamed("spans", "__spans")
+    found = find(docs, text_col, rules, "__spans")
     new = F.when(F.size("__spans") > 0, done).otherwise(text)
     return found.select(*[new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
