@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -117,13 +117,33 @@ def near_edges(fps: DataFrame, radius: int, masks: list[int] | None = None, ever
     shared points instead: two words are within r bits if and only if the balls of floor(r / 2) bits
     around one and ceil(r / 2) around the other share a point, and within a bucket only the bits
     outside its mask can differ. A point has at most as many members as a ball has points, so the rows
-    are linear in the bucket. every_pair: all near pairs, u < v. Otherwise just enough edges to connect
+    are linear in the bucket. every_pair: all near pairs, u < v; large buckets are first cut by finer masks. Otherwise just enough edges to connect
     the same components: for an even radius each member is tied to the least one at its points; and
     for a radius over 3, whose balls are large, buckets of up to LOCAL_BUCKET fingerprints (32 kB) are
     compared in one task each, which gives a spanning forest of the bucket's links.
     """
     masks = covering_masks(radius) if masks is None else masks
-    entries = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "key"))
+    return _links(fps, masks, None, radius, every_pair).distinct()
+
+
+def _by_mask(masks: list[int], each) -> Column:
+    """each(mask), an array of longs, of the row's mask number t."""
+    out = F.lit(None).cast("array<bigint>")
+    for t, m in enumerate(masks):
+        out = F.when(F.col("t") == t, F.array(*[F.lit(_signed(x)).cast("long") for x in each(m)])).otherwise(out)
+    return out
+
+
+def _links(fps: DataFrame, masks: list[int], finer: list[list[int]] | None, radius: int, every_pair: bool) -> DataFrame:
+    """Edges within the buckets of the masks. finer: the masks are those in each row's own list, numbered by t."""
+    if finer is None:
+        entries = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "key"))
+    else:
+        masks = [m for group in finer for m in group]
+        wide = len(finer[0])
+        own = _by_mask([group[0] for group in finer], lambda m: next(g for g in finer if g[0] == m))
+        entries = fps.withColumn("m", own).select("fp", "t", F.posexplode(F.transform("m", lambda m: F.col("fp").bitwiseAND(m))).alias("j", "key")).select(
+            "fp", (F.col("t") * wide + F.col("j")).alias("t"), "key")
     sizes = entries.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = cut(entries.join(sizes, ["t", "key"]))
     small = PAIR_BUCKET if every_pair else SMALL_BUCKET
@@ -133,18 +153,18 @@ def near_edges(fps: DataFrame, radius: int, masks: list[int] | None = None, ever
     pairs = few.join(other, ["t", "key"]).filter((F.col("fp") < F.col("fp2")) & (apart <= radius)).select(
         F.col("fp").alias("u"), F.col("fp2").alias("v"))
     local = not every_pair and radius > 3
-    many = met.filter(F.col("n") > (LOCAL_BUCKET if local else small))
+    many = met.filter(F.col("n") > (LOCAL_BUCKET if local else small)).select("fp", "t")
     if local:
         mid = met.filter(F.col("n").between(SMALL_BUCKET + 1, LOCAL_BUCKET)).select("t", "key", "fp")
         pairs = pairs.unionByName(mid.groupBy("t", "key").applyInArrow(lambda rows: _forest(rows, radius), "u bigint, v bigint"))
-    free = F.lit(None).cast("array<bigint>")
-    for t, m in enumerate(masks):
-        spots = [_signed(1 << b) for b in range(64) if not m >> b & 1]
-        free = F.when(F.col("t") == t, F.array(*[F.lit(s).cast("long") for s in spots])).otherwise(free)
+    if every_pair and finer is None:
+        return pairs.unionByName(_links(many, masks, [_finer(m, radius) for m in masks], radius, every_pair))
+    spots = _by_mask(masks, lambda m: [1 << b for b in range(64) if not m >> b & 1])
     flips = [F.array(F.lit(0).cast("long"))]
     for _ in range((radius + 1) // 2):
-        flips.append(F.flatten(F.transform(flips[-1], lambda x: F.transform(free, lambda s: x.bitwiseXOR(s)))))
+        flips.append(F.flatten(F.transform(flips[-1], lambda x: F.transform("free", lambda s: x.bitwiseXOR(s)))))
     half, rest = F.array_distinct(F.concat(*flips[: radius // 2 + 1])), F.array_distinct(F.concat(*flips))
+    many = many.withColumn("free", spots)
     near = many.select("t", "fp", F.explode(half).alias("d")).select("t", "fp", F.col("fp").bitwiseXOR(F.col("d")).alias("point"))
     if radius % 2 == 0 and not every_pair:
         low = F.min("fp").over(W.partitionBy("t", "point"))
@@ -154,7 +174,13 @@ def near_edges(fps: DataFrame, radius: int, masks: list[int] | None = None, ever
             "t2", "fp2", F.col("fp2").bitwiseXOR(F.col("d")).alias("point2"))
         tied = near.join(far, (F.col("t") == F.col("t2")) & (F.col("point") == F.col("point2")) & (F.col("fp") < F.col("fp2"))).select(
             F.col("fp").alias("u"), F.col("fp2").alias("v"))
-    return pairs.unionByName(tied).distinct()
+    return pairs.unionByName(tied)
+
+
+def _finer(mask: int, radius: int) -> list[int]:
+    """The mask with each of radius + 1 parts of its free bits: words of one bucket within the radius agree on a part."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    return [mask | sum(1 << b for b in free[k :: radius + 1]) for k in range(radius + 1)]
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 2) -> DataFrame:

@@ -46,7 +46,7 @@ def test_covering_masks_meet_every_pair_within_the_radius():
             assert any(not apart & m for m in masks)
 
 
-@pytest.mark.parametrize(("radius", "every", "small", "local"), [(2, False, 2, 4096), (2, False, 12, 4096), (3, True, 2, 0), (4, False, 2, 4096), (4, False, 2, 3), (3, True, 512, 0)])
+@pytest.mark.parametrize(("radius", "every", "small", "local"), [(2, False, 2, 4096), (2, False, 12, 4096), (3, True, 2, 0), (3, True, 4, 0), (4, False, 2, 4096), (4, False, 2, 3), (3, True, 512, 0)])
 def test_near_edges(spark, monkeypatch, radius, every, small, local):
     monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
     monkeypatch.setattr(simhash, "PAIR_BUCKET", small)
@@ -110,7 +110,7 @@ def test_line_dedup(spark, docs, no_docs, monkeypatch, bound):
     key = {u: hashlib.md5(f"{'-' if u[0] is None else u[0]}\x00{u[1] or ''}".encode()).digest() for u in unit}
     lines = sorted(((-1 if u[0] is None else u[0]), key[u], p, b" ".join(w), u) for u in unit for p, w in enumerate(line_dedup.normal_lines(u[1] or "")) if w)
     forms = sorted({x[3] for x in lines})
-    sims = dict(zip(forms, line_dedup.simhashes([f.split() for f in forms]).tolist(), strict=True))
+    sims = dict(zip(forms, line_dedup.simhashes([list(dict.fromkeys(f.split())) for f in forms]).tolist(), strict=True))
     links = [(a, b) for a in forms for b in forms if a < b and (sims[a] ^ sims[b]).bit_count() <= 3 and edit(a.decode(), b.decode()) <= int(0.2 * max(len(a.decode()), len(b.decode())) + 1e-9)]
     group, seen, gone = components(forms, links), set(), {}
     for *_, p, form, u in lines:
