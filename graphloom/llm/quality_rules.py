@@ -24,7 +24,7 @@ RULES = {
     "symbols_per_word": ("n_symbols", "n_words", 0.1),
     "marks_per_word": ("n_marks", "n_words", 0.1),
     "upper_per_char": ("n_upper", "word_chars", 0.1),
-    "repeats_per_word": ("n_repeat_words", "n_words", 0.2),
+    "repeats_per_word": ("n_repeat_words", "n_words", 0.35),
     "chars_per_word": ("word_chars", "n_words", 1.0),
 }
 #: Up to so many rows of thresholds (some 200 bytes each) are broadcast; more are joined by key.
