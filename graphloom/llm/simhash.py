@@ -159,24 +159,29 @@ def _links(fps: DataFrame, masks: list[int], finer: list[list[int]] | None, radi
         pairs = pairs.unionByName(mid.groupBy("t", "key").applyInArrow(lambda rows: _forest(rows, radius), "u bigint, v bigint"))
     if every_pair and finer is None:
         return pairs.unionByName(_links(many, masks, [_finer(m, radius) for m in masks], radius, every_pair))
-    spots = _by_mask(masks, lambda m: [1 << b for b in range(64) if not m >> b & 1])
-    flips = [F.array(F.lit(0).cast("long"))]
-    for _ in range((radius + 1) // 2):
-        flips.append(F.flatten(F.transform(flips[-1], lambda x: F.transform("free", lambda s: x.bitwiseXOR(s)))))
-    half, rest = F.array_distinct(F.concat(*flips[: radius // 2 + 1])), F.array_distinct(F.concat(*flips))
-    many = many.withColumn("free", spots)
-    near = many.select("t", "fp", F.explode(half).alias("d")).select("t", "fp", F.col("fp").bitwiseXOR(F.col("d")).alias("point"))
+    many = cut(many)
+    if many.isEmpty():
+        return pairs
+    spark = fps.sparkSession
+    # The balls over each mask's free bits, as rows: as many as masks times a ball's points, whatever the input.
+    balls = [spark.createDataFrame([(t, d) for t, m in enumerate(masks) for d in _ball(m, k)], "bt int, d bigint") for k in (radius // 2, (radius + 1) // 2)]
+    near, far = (many.join(F.broadcast(ball), F.col("t") == F.col("bt")).select("t", "fp", F.col("fp").bitwiseXOR(F.col("d")).alias("point")) for ball in balls)
     if radius % 2 == 0 and not every_pair:
         low = F.min("fp").over(W.partitionBy("t", "point"))
         tied = near.select("fp", low.alias("low")).filter("fp <> low").select(F.col("fp").alias("u"), F.col("low").alias("v"))
     else:
-        far = many.select(F.col("t").alias("t2"), F.col("fp").alias("fp2"), F.explode(rest).alias("d")).select(
-            "t2", "fp2", F.col("fp2").bitwiseXOR(F.col("d")).alias("point2"))
+        far = far.toDF("t2", "fp2", "point2")
         tied = near.join(far, (F.col("t") == F.col("t2")) & (F.col("point") == F.col("point2")) & (F.col("fp") < F.col("fp2"))).select(
             F.col("fp").alias("u"), F.col("fp2").alias("v"))
     return pairs.unionByName(tied)
 
 
+def _ball(mask: int, radius: int) -> list[int]:
+    """Sums of up to `radius` bits that the mask leaves free."""
+    free = [1 << b for b in range(64) if not mask >> b & 1]
+    return [_signed(sum(c)) for k in range(radius + 1) for c in itertools.combinations(free, k)]
+
+
 def _finer(mask: int, radius: int) -> list[int]:
     """The mask with each of radius + 1 parts of its free bits: words of one bucket within the radius agree on a part."""
     free = [b for b in range(64) if not mask >> b & 1]
