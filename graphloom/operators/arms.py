@@ -83,3 +83,12 @@ def canonical_name(name: Column, comment: Column, thunk_key: Column) -> Column:
 def compare_outputs(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that one side has more often than the other, with side."""
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+
+
+def placeholder_names(rows: DataFrame, body: str = "body") -> DataFrame:
+    """rows with name: 'unnamed @' and eight hex digits of the body's hash; bodies whose digits collide are numbered in order of emission."""
+    digits = F.substring(F.sha2(F.col(body).cast("string"), 256), 1, 8)
+    first = rows.groupBy("program", body).agg(F.min("ord").alias("__first")).withColumn("__d", digits)
+    nth = F.row_number().over(W.partitionBy("program", "__d").orderBy("__first"))
+    named = first.select("program", F.col(body).alias("__body"), F.concat(F.lit("unnamed @"), "__d", F.when(nth > 1, F.concat(F.lit("_"), nth.cast("string"))).otherwise("")).alias("name")).withColumnRenamed("program", "__program")
+    return rows.join(named, (F.col("program") == F.col("__program")) & F.col(body).eqNullSafe(F.col("__body"))).drop("__program", "__body")

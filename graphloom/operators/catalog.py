@@ -141,3 +141,13 @@ def corruption_report(found: DataFrame, samples: int = 10) -> DataFrame:
     ranked = found.withColumn("__n", F.row_number().over(W.partitionBy("kind").orderBy("section_id", "variant_idx", "called_idx")))
     at = F.array_sort(F.collect_list(F.when(F.col("__n") <= samples, F.struct("section_id", "variant_idx", "called_idx"))))
     return ranked.groupBy("kind").agg(F.count("*").alias("n"), at.alias("samples"))
+
+
+def address_lookup(addresses: DataFrame, ranges: DataFrame, width: int = 4096) -> DataFrame:
+    """addresses (program, addr, ...) with the ranges (program, start, end, ...) that hold them, end exclusive.
+
+    Both sides are cut into bins of `width`, so this is an equi-join on (program, bin) with a filter. A
+    range costs one row for each bin that it touches; choose a width near the usual length.
+    """
+    cut = ranges.filter("`end` > start").withColumn("__bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))))
+    return addresses.withColumn("__bin", F.floor(F.col("addr") / width)).join(cut, ["program", "__bin"]).filter((F.col("addr") >= F.col("start")) & (F.col("addr") < F.col("end"))).drop("__bin")

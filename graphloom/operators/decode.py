@@ -192,3 +192,19 @@ def pad_redistribute(sections: DataFrame, slots_: int, key: Column) -> DataFrame
     donors = spare.withColumn("n", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(key, "section_id", "variant_idx"))).select(F.col("section_id").alias("donor"), F.col("variant_idx").alias("given"), "n")
     filled = holes.join(donors, "n", "left").select("section_id", "slot", F.coalesce("donor", "section_id").alias("source"), F.col("given").alias("variant_idx"))
     return base.filter("variant_idx is not null").select("section_id", "slot", F.col("section_id").alias("source"), "variant_idx").unionByName(filled)
+
+
+def allocate_identities(mentions: DataFrame, keys: list[str]) -> DataFrame:
+    """mentions (keys, category, addr, ord) with identity: numbers from 0 in the order of first mention; one address keeps its number."""
+    return remap_functions(mentions.withColumnRenamed("addr", "fid"), keys).withColumnsRenamed({"fid": "addr", "dense_id": "identity"})
+
+
+def concat_results(results: DataFrame) -> DataFrame:
+    """Rows of several programs as one batch, programs in alphabetical order: binary_id and row_id, both from 0.
+
+    results: program, row, ... of one batch, which is small; widths of tokens must agree.
+    """
+    order = W.partitionBy(F.lit(0)).orderBy("program", "row")
+    wide = F.size("tokens") == F.max(F.size("tokens")).over(W.partitionBy(F.lit(0)))
+    checked = F.when(wide, F.dense_rank().over(W.partitionBy(F.lit(0)).orderBy("program")) - 1).otherwise(F.raise_error(F.lit("rows differ in width")).cast("int"))
+    return results.withColumn("binary_id", checked).withColumn("row_id", F.row_number().over(order) - 1)

@@ -81,3 +81,10 @@ def valid_definitions(rows: DataFrame) -> DataFrame:
     """Definition rows that have the marker, a cell, and as many types as tokens."""
     n = F.size(definition_tokens(F.col("cell")))
     return rows.withColumn("is_valid", F.col("cell").isNotNull() & (n == F.size(definition_tokens(F.col("types")))))
+
+
+def frequency_remap(uses: DataFrame, keys: list[str], token: str = "token") -> DataFrame:
+    """(keys, token, rank): ids renumbered from 0 by falling use within keys, ties by the old id."""
+    counts = uses.groupBy(*keys, token).agg(F.count("*").alias("n"))
+    by = W.partitionBy(*keys).orderBy(F.desc("n"), token)
+    return counts.withColumn("rank", F.row_number().over(by) - 1)

@@ -817,3 +817,134 @@ def _(spark, d):
 @query("b5_missing_outputs", "SELECT p_partkey FROM {part} WHERE p_partkey NOT IN (SELECT l_partkey FROM {lineitem} GROUP BY l_partkey HAVING count(DISTINCT l_returnflag) >= 3)")
 def _(spark, d):
     return validate.missing_outputs(base(spark, d, "SELECT p_partkey FROM {part}"), base(spark, d, "SELECT l_partkey AS p_partkey, l_returnflag AS kind FROM {lineitem}"), "p_partkey", 3)
+
+
+# --- further operators
+
+RANGES = "SELECT concat('p', CAST(p_size % 3 AS STRING)) AS program, p_partkey * 10 AS start, p_partkey * 10 + p_size AS `end`, p_name AS section FROM {part}"
+ADDRESSES = "SELECT concat('p', CAST(o_custkey % 3 AS STRING)) AS program, o_orderkey AS addr FROM {orders}"
+
+
+@query("p2_address_lookup", f"SELECT a.program, a.addr, r.start, r.section FROM ({ADDRESSES}) a JOIN ({RANGES.replace('`end`', 'stop')}) r ON r.program = a.program AND a.addr >= r.start AND a.addr < r.stop")
+def _(spark, d):
+    return catalog.address_lookup(base(spark, d, ADDRESSES), base(spark, d, RANGES), 64).select("program", "addr", "start", "section")
+
+
+USES = "SELECT user_id, event_id AS ord, event_type AS category, CAST(value AS BIGINT) % 20 AS addr FROM {events}"
+
+
+@query("p5_identity_allocation", f"""SELECT e.user_id, e.ord, e.category, e.addr, CAST(i.n AS INTEGER) AS identity FROM ({USES.replace('CAST(value AS BIGINT)', 'CAST(floor(value) AS BIGINT)')}) e JOIN (
+  SELECT user_id, category, addr, row_number() OVER (PARTITION BY user_id, category ORDER BY min(ord)) - 1 AS n FROM ({USES.replace('CAST(value AS BIGINT)', 'CAST(floor(value) AS BIGINT)')}) GROUP BY user_id, category, addr) i USING (user_id, category, addr)""")
+def _(spark, d):
+    return decode.allocate_identities(base(spark, d, USES.replace("CAST(value AS BIGINT)", "CAST(floor(value) AS BIGINT)")), ["user_id"]).select("user_id", "ord", "category", "addr", "identity")
+
+
+@query("h36_frequency_remap", "SELECT l_suppkey, token, n, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, token) - 1 AS INTEGER) AS rank FROM (SELECT l_suppkey, l_partkey % 20 AS token, count(*) AS n FROM {lineitem} GROUP BY ALL)")
+def _(spark, d):
+    return vocab.frequency_remap(base(spark, d, "SELECT l_suppkey, l_partkey % 20 AS token FROM {lineitem}"), ["l_suppkey"])
+
+
+@query("h31_placeholder_names", f"SELECT program, ord, concat('unnamed @', substr(sha256(CAST(body AS STRING)), 1, 8)) AS name FROM ({FUNCS})")
+def _(spark, d):
+    return arms.placeholder_names(base(spark, d, FUNCS)).select("program", "ord", "name")
+
+
+@query("c19_batch_concat", "SELECT concat('p', CAST(p_size AS STRING)) AS program, p_partkey AS row, CAST(dense_rank() OVER (ORDER BY concat('p', CAST(p_size AS STRING))) - 1 AS INTEGER) AS binary_id, CAST(row_number() OVER (ORDER BY concat('p', CAST(p_size AS STRING)), p_partkey) - 1 AS INTEGER) AS row_id FROM {part}")
+def _(spark, d):
+    rows = base(spark, d, "SELECT concat('p', CAST(p_size AS STRING)) AS program, p_partkey AS row FROM {part}").withColumn("tokens", F.array(F.lit(9), F.lit(0)))
+    return decode.concat_results(rows).select("program", "row", "binary_id", "row_id")
+
+
+RUNS = "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, CAST(l_quantity AS BIGINT) % 4 + 1 AS run FROM {lineitem}"
+
+
+@query("e8_instructions_per_block", f"""SELECT l_orderkey, CAST(sum(run) AS BIGINT) AS n_tokens, count(*) AS n_insns FROM ({RUNS}) GROUP BY l_orderkey""")
+def _(spark, d):
+    runs = F.transform(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_quantity", "run"))), lambda x: x["run"].cast("int"))
+    rows = base(spark, d, RUNS).groupBy("l_orderkey").agg(runs.alias("insn")).withColumn("total", F.aggregate("insn", F.lit(0), lambda a, x: a + x))
+    blocks = F.when(F.col("total") > 3, F.array(F.lit(3), F.col("total") - 3)).otherwise(F.array("total"))
+    per = rows.select("l_orderkey", F.col("total").cast("long").alias("n_tokens"), decode.rebase_runs(F.col("insn"), blocks).alias("per"))
+    return per.select("l_orderkey", "n_tokens", F.aggregate("per", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_insns"))
+
+
+@query("h28_block_texts", "SELECT doc_id, md5(array_to_string(string_split(text, ' ')[1:3], ' ')) AS first_block FROM {documents} WHERE len(string_split(text, ' ')) >= 3")
+def _(spark, d):
+    words = base(spark, d, "SELECT doc_id, split(text, ' ', -1) AS w FROM {documents}").filter("size(w) >= 3")
+    blocks = decode.split_blocks(F.col("w"), F.array(F.lit(3), F.size("w") - 3))
+    return words.select("doc_id", F.md5(F.get(blocks, F.lit(0))).alias("first_block"))
+
+
+@query("b18_broken_floats", f"""SELECT conv_id, string_agg(CAST(turn AS STRING), ',' ORDER BY turn) AS positions FROM (SELECT conv_id, turn, token, lead(token) OVER (PARTITION BY conv_id ORDER BY turn) AS following FROM ({STREAM})) WHERE token = 257 AND coalesce(following, 256) >= 256 GROUP BY conv_id""")
+def _(spark, d):
+    rows = streams(spark, d).select("conv_id", metadata.broken_floats(F.col("tokens"), [257]).alias("p")).filter("size(p) > 0")
+    return rows.select("conv_id", F.array_join("p", ",").alias("positions"))
+
+
+@query("b17_token_patterns", f"""SELECT conv_id, regexp_matches(string_agg(CASE WHEN token < 256 THEN 'd' WHEN token = 256 THEN 's' WHEN token < 264 THEN 'n' WHEN token < 272 THEN 'i' ELSE 'c' END, '' ORDER BY turn), 'nd(d|s)?c') AS hit FROM ({STREAM}) GROUP BY conv_id""")
+def _(spark, d):
+    letters = F.transform("tokens", lambda t: F.element_at(F.create_map(*[F.lit(x) for p in (("digit", "d"), ("sign", "s"), ("number", "n"), ("identity", "i"), ("instruction", "c")) for x in p]), decode.band(t)))
+    return streams(spark, d).select("conv_id", metadata.matches_pattern(letters, "nd(d|s)?c").alias("hit"))
+
+
+@query("h17_literal_frames", "SELECT p_partkey, concat(p_brand, '_Lit_Start ', p_brand, '_', upper(lpad(printf('%x', p_size), 2, '0')), ' ', p_brand, '_Lit_End') AS frame FROM {part}")
+def _(spark, d):
+    p = base(spark, d, "SELECT p_partkey, p_brand, p_size FROM {part}")
+    return p.select("p_partkey", codecs.frame_literal(F.col("p_brand"), F.array("p_size")).alias("frame"))
+
+
+@query("h13_call_target_cells", "SELECT p_partkey, concat(CAST(p_size AS STRING), ',', printf('%x', p_partkey), ',1;0,ff,0') AS cell, p_partkey AS start FROM {part}")
+def _(spark, d):
+    p = base(spark, d, "SELECT p_partkey, p_size, CAST(p_partkey AS BIGINT) AS k FROM {part}")
+    targets = F.array(F.struct(F.col("p_size").alias("idx"), F.col("k").alias("start"), F.lit(1).alias("is_matched")), F.struct(F.lit(0).alias("idx"), F.lit(255).cast("long").alias("start"), F.lit(0).alias("is_matched")))
+    cells = p.select("p_partkey", codecs.join_targets(targets).alias("cell"))
+    return cells.select("p_partkey", "cell", F.get(codecs.split_targets(F.col("cell")), F.lit(0))["start"].alias("start"))
+
+
+@query("h35_tagged_blocks", "SELECT doc_id, len(string_split(text, '|')) AS n FROM {documents}")
+def _(spark, d):
+    rows = base(spark, d, "SELECT doc_id, concat('x<LDIS>', text, '</LDIS>y') AS cell FROM {documents}")
+    return rows.select("doc_id", F.size(metadata.tagged_blocks(F.col("cell"))).cast("long").alias("n"))
+
+
+@query("h34_toolchains", "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'x86_64' WHEN 1 THEN 'ARM' ELSE 'Unknown' END AS architecture, CASE p_partkey % 3 WHEN 0 THEN 'GCC' WHEN 1 THEN 'Clang' ELSE 'Unknown' END AS compiler, CASE WHEN p_partkey % 2 = 0 THEN '-O2' ELSE 'Unknown' END AS optimization FROM {part}")
+def _(spark, d):
+    p = base(spark, d, "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'ELF x86-64' WHEN 1 THEN 'ELF ARM' ELSE 'data' END AS f, concat(CASE p_partkey % 3 WHEN 0 THEN 'GCC: 9' WHEN 1 THEN 'clang 12' ELSE '' END, CASE WHEN p_partkey % 2 = 0 THEN ' -O2' ELSE ' -Ofast' END) AS s FROM {part}")
+    return p.select("p_partkey", axes.toolchain(F.col("f"), F.col("s")).alias("t")).select("p_partkey", "t.*")
+
+
+@query("j3_cross_spec_sample", f"SELECT program, mode, section_id, length FROM (SELECT *, 'max' AS mode FROM ({INDEX}) UNION ALL SELECT program, section_id, length - 1, 'p50' FROM ({INDEX})) WHERE length BETWEEN 20 AND 40 ORDER BY md5(concat_ws('|', '3', program, mode, section_id)), program, mode, section_id LIMIT 300")
+def _(spark, d):
+    one = base(spark, d, INDEX)
+    both = one.withColumn("mode", F.lit("max")).unionByName(one.withColumn("length", F.col("length") - 1).withColumn("mode", F.lit("p50")))
+    return sampling.sample_sections(both, 20, 40, 300, 3, ["program", "mode"]).select("program", "mode", "section_id", "length")
+
+
+@query("j14_first_sections", f"SELECT section_id, n_variants FROM ({SIZES}) WHERE section_id < 100")
+def _(spark, d):
+    return sampling.first_sections(base(spark, d, SIZES), 100)
+
+
+@query("n5_sidecar_pairs", "SELECT coalesce(a, b) AS k, CASE WHEN b IS NULL THEN 'left' ELSE 'right' END AS only_in FROM (SELECT DISTINCT o_custkey AS a FROM {orders}) FULL JOIN (SELECT c_custkey AS b FROM {customer}) ON a = b WHERE a IS NULL OR b IS NULL")
+def _(spark, d):
+    return validate.pair_consistency(base(spark, d, "SELECT o_custkey AS k FROM {orders}"), base(spark, d, "SELECT c_custkey AS k FROM {customer}"), "k")
+
+
+@query("d19_rollup", "SELECT l_returnflag, count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM {lineitem} GROUP BY l_returnflag")
+def _(spark, d):
+    return stats.rollup(base(spark, d, "SELECT l_returnflag, CAST(l_quantity AS BIGINT) AS quantity, CAST(l_linenumber AS BIGINT) AS lines FROM {lineitem}"), ["l_returnflag"], ["quantity", "lines"])
+
+
+@query("b12_axis_projection", "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 64 WHEN 1 THEN 32 WHEN 2 THEN 64 ELSE NULL END AS bitness FROM {part}")
+def _(spark, d):
+    p = base(spark, d, "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'amd64' WHEN 1 THEN 'armhf' WHEN 2 THEN 'ppc64le' ELSE NULL END AS arch FROM {part}")
+    return p.select("p_partkey", axes.bitness_of(axes.platform_of(F.col("arch"))).alias("bitness"))
+
+
+@query("m14_load_batch", f"""SELECT program, section_id, array_to_string(list_resize(list_slice(list(CAST(tok AS INTEGER) ORDER BY tok), 1, 6), 6, 0), ',') AS tokens FROM (
+  SELECT d.program, d.section_id, 16 + l_partkey % 100 AS tok FROM ({DRAWN}) d JOIN {{lineitem}} ON l_orderkey = d.section_id) GROUP BY program, section_id""")
+def _(spark, d):
+    """Sample a band, join the bodies of the drawn sections only, and assemble rows of fixed width."""
+    drawn = sampling.sample_sections(base(spark, d, INDEX), 20, 40, 500, 11, ["program"])
+    bodies = base(spark, d, "SELECT l_orderkey AS section_id, CAST(16 + l_partkey % 100 AS INTEGER) AS tok FROM {lineitem}")
+    parts = drawn.join(bodies, "section_id").groupBy("program", "section_id").agg(F.array_sort(F.collect_list("tok")).alias("tokens")).withColumn("part", F.lit(0))
+    return decode.assemble(parts, ["program", "section_id"], ["part"], 6).select("program", "section_id", F.array_join("tokens", ",").alias("tokens"))
