@@ -58,11 +58,11 @@ def backfill_occurrence(meta: Column, by_addr: Column) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def legacy_callees(cells: pd.Series) -> pd.Series:
-    """Distinct local functions of a legacy cell, a literal list of (name, kind, ...) tuples; errors have none."""
+    """Distinct local functions of a legacy cell, a literal list of tuples with name and kind in third and fourth place; errors have none."""
     def one(cell: str | None) -> list[str]:
         try:
             rows = ast.literal_eval(cell or "[]")
-            return list(dict.fromkeys(str(r[0]) for r in rows if len(r) > 1 and r[1] == "local_function"))
+            return list(dict.fromkeys(r[2] for r in rows if isinstance(r, tuple) and len(r) >= 5 and r[3] == "local_function"))
         except (ValueError, SyntaxError, TypeError, IndexError):
             return []
 

@@ -78,9 +78,9 @@ def inventory(axes: DataFrame) -> DataFrame:
 
 
 def valid_definitions(rows: DataFrame) -> DataFrame:
-    """Definition rows that have the marker, a cell, and as many types as tokens."""
+    """Definition rows (cell, types array) that have a cell and as many types as tokens."""
     n = F.size(definition_tokens(F.col("cell")))
-    return rows.withColumn("is_valid", F.col("cell").isNotNull() & (n == F.size(definition_tokens(F.col("types")))))
+    return rows.withColumn("is_valid", F.col("cell").isNotNull() & F.coalesce(n == F.size("types"), F.lit(False)))
 
 
 def frequency_remap(uses: DataFrame, keys: list[str], token: str = "token") -> DataFrame:

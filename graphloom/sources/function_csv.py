@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions import codecs, metadata
 
-PRELUDE, VOCAB_MARK = "version=2", "vocab_definition"
+PRELUDE, VOCAB_MARK = "version=", "vocabulary"
 HEADER = ["function_name", "occurrence", "tokens_base64", "block_runlength_base64", "instruction_runlength_base64", "metadata"]
-SCHEMA = ", ".join(f"{c} string" for c in HEADER)
+#: Vocabulary rows are wider than function rows.
+MORE = [f"more{i}" for i in range(12)]
+SCHEMA = ", ".join(f"{c} string" for c in HEADER + MORE)
 #: Records beyond these sizes are rejected; fixed values of the body format.
 MOST_INSN_RUNS, MOST_BLOCK_RUNS = 1 << 24, 1 << 16
 
@@ -20,19 +22,31 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("binary", F.regexp_extract(F.input_file_name(), r"([^/]+)_output\.csv$", 1))
 
 
+def _is_vocab() -> Column:
+    """A function may be called like the mark, but then an occurrence follows."""
+    return (F.col("function_name") == VOCAB_MARK) & ~F.coalesce(F.col("occurrence").rlike("^[0-9]"), F.lit(False))
+
+
+def _is_prelude() -> Column:
+    return F.startswith("function_name", F.lit(PRELUDE)) & F.col("occurrence").isNull()
+
+
 def versions(spark: SparkSession, path: str) -> DataFrame:
-    """(binary, format_version): 2 where the prelude is there, else 1."""
-    return read_rows(spark, path).groupBy("binary").agg(F.max(F.when(F.col("function_name") == PRELUDE, 2).otherwise(1)).alias("format_version"))
+    """(binary, format_version): that of the prelude, else 1."""
+    number = F.when(_is_prelude(), F.regexp_extract("function_name", r"(\d+)$", 1).cast("int")).otherwise(1)
+    return read_rows(spark, path).groupBy("binary").agg(F.max(number).alias("format_version"))
 
 
 def function_rows(rows: DataFrame) -> DataFrame:
     """Without preludes, headers and vocabulary rows."""
-    return rows.filter(~F.col("function_name").isin(PRELUDE, VOCAB_MARK, HEADER[0]))
+    return rows.filter(~(_is_prelude() | _is_vocab() | (F.col("function_name") == HEADER[0])))
 
 
 def definitions(rows: DataFrame) -> DataFrame:
-    """(binary, cell, types): the vocabulary row that ends each file."""
-    return rows.filter(F.col("function_name") == VOCAB_MARK).select("binary", F.coalesce("occurrence", F.lit("")).alias("cell"), F.col("tokens_base64").alias("types"))
+    """(binary, cell, types): the last vocabulary row of each file, earlier ones being checkpoints; types as an array."""
+    own = rows.withColumn("__n", F.monotonically_increasing_id()).filter(_is_vocab())  # a file is read in order, by one task
+    last = own.groupBy("binary").agg(F.max_by(F.struct("occurrence", "block_runlength_base64"), "__n").alias("d"))
+    return last.select("binary", F.coalesce("d.occurrence", F.lit("")).alias("cell"), codecs.text_to_array("d.block_runlength_base64").alias("types"))
 
 
 def parse(rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from graphloom.functions import axes
 
 #: File suffix -> kind of a per-binary output; fixed values of the layout.
-KINDS = {"_output.csv": "output_csv", "_strings.bin": "strings_bin", "_function_ranges.txt": "function_ranges", "_meta.json": "meta_json", "_output.mapping.b64c": "mapping"}
+KINDS = {"_output.csv": "output_csv", "_strings.bin": "strings_bin", "_function_ranges.txt": "function_ranges", "_meta.json": "meta_json", "_consts.txt": "consts_txt", "_output.mapping.b64c": "output_mapping"}
 
 
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -53,9 +53,9 @@ def strings_sidecar(spark: SparkSession, path: str) -> DataFrame:
 
 
 def function_ranges(spark: SparkSession, path: str) -> DataFrame:
-    """(binary, row, min_addr, max_addr) of lines with two hex addresses."""
+    """(binary, row, min_addr, max_addr) of lines with two hex addresses; lines with # are headings."""
     lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*_function_ranges.txt").option("wholetext", True).text(path)
-    rows = lines.select(F.regexp_extract(F.input_file_name(), r"([^/]+)_function_ranges\.txt$", 1).alias("binary"), F.posexplode(F.filter(F.split("value", "\n"), lambda x: x != "")).alias("row", "t"))
+    rows = lines.select(F.regexp_extract(F.input_file_name(), r"([^/]+)_function_ranges\.txt$", 1).alias("binary"), F.posexplode(F.filter(F.split("value", "\n"), lambda x: (x != "") & ~F.startswith(x, F.lit("#")))).alias("row", "t"))
     return rows.select("binary", "row", *[F.conv(F.regexp_replace(F.trim(F.split("t", ",")[i]), "^0x", ""), 16, 10).cast("long").alias(n) for i, n in enumerate(("min_addr", "max_addr"))])
 
 

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from graphloom.functions import codecs
+from graphloom.operators import vocab
 from graphloom.sources import function_csv, trees
 from graphloom.streaming import incremental
 
@@ -13,7 +14,7 @@ def csv_file(folder, name, version):
     folder.mkdir(parents=True, exist_ok=True)
     arr = codecs.encode_array
     meta = json.dumps({"local_funcs": [{"name": "g"}]}).replace('"', '""')
-    lines = ["version=2"] * (version == 2) + [",".join(function_csv.HEADER), f'f,0,{arr([300, 1])},{arr([2])},{arr([2])},"{meta}"', f'vocab_definition,"add,sub",{"x"},,,']
+    lines = ["version=2"] * (version == 2) + [",".join(function_csv.HEADER), f'f,0,{arr([300, 1])},{arr([2])},{arr([2])},"{meta}"', f'vocabulary,"add",norm,{arr([1])},p,{arr([1])},a,b,c,d,format_version,2', f'vocabulary,0,{arr([301])},{arr([1])},{arr([1])},""', f'vocabulary,"add,sub",norm,{arr([1, 2])},p,{arr([1, 1])},a,b,c,d,format_version,2']
     (folder / f"{name}_output.csv").write_text("\n".join(lines) + "\n")
 
 
@@ -24,17 +25,18 @@ def test_function_files(spark, tmp_path):
     assert {r["binary"]: r["format_version"] for r in function_csv.versions(spark, str(tmp_path)).collect()} == {"x64-gcc-9-O2_a": 2, "x64-gcc-9-O2_b": 1}
     good, bad = function_csv.split_rejects(function_csv.parse(rows))
     got = good.orderBy("binary").collect()
-    assert [(r["func_name"], r["tokens"], r["called"][0]["name"]) for r in got] == [("f", [300, 1], "g")] * 2 and bad.count() == 0
-    assert {r["cell"] for r in function_csv.definitions(rows).collect()} == {"add,sub"}
+    assert sorted((r["func_name"], r["tokens"], len(r["called"])) for r in got) == [("f", [300, 1], 1)] * 2 + [("vocabulary", [301], 0)] * 2 and bad.count() == 0
+    defs = vocab.valid_definitions(function_csv.definitions(rows))
+    assert {(r["cell"], r["is_valid"]) for r in defs.collect()} == {("add,sub", True)}
     function_csv.write(good.withColumn("metadata", F.lit("{}")), str(tmp_path / "out"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 4
 
 
 def test_trees(spark, tmp_path):
     csv_file(tmp_path / "pkg", "a", 2)
     (tmp_path / "pkg" / "a_strings.bin").write_bytes(b"x\\ny\nz\n")
     (tmp_path / "pkg" / "orphan_strings.bin").write_bytes(b"s\n")
-    (tmp_path / "pkg" / "a_function_ranges.txt").write_text("0x10,0x20\n30,40\n")
+    (tmp_path / "pkg" / "a_function_ranges.txt").write_text("# format=1\n0x10,0x20\n30,40\n")
     (tmp_path / "pkg" / "prog__0000002a.json").write_text(json.dumps({"arch": "x64", "compiler_family": "gcc", "compiler_version": "9", "optimization": "O2", "pkg": "p", "flag": "z"}))
     (tmp_path / "pkg" / "prog").write_bytes(b"\x7fELF...")
     assert {(r["fullname"], r["kind"]) for r in trees.outputs(trees.listing(spark, str(tmp_path))).collect()} == {("a", "output_csv"), ("a", "strings_bin"), ("a", "function_ranges")}
