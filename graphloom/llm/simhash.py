@@ -75,10 +75,13 @@ def covering_masks(radius: int, bits: int = 64, seed: int = 7) -> list[int]:
     positions whose vector has an odd product with v. For up to `radius` differing positions some
     non-zero v is orthogonal to all their vectors, so that mask drops every difference.
     """
-    top = 1 << (radius + 1)
-    order = np.random.default_rng(seed).permutation(bits)
-    vector = {int(p): 1 + k % (top - 1) for k, p in enumerate(order)}
-    return [sum(1 << p for p, x in vector.items() if (x & v).bit_count() % 2) for v in range(1, top)]
+    top, best = 1 << (radius + 1), []
+    for attempt in range(64):  # keep the deal whose shortest key is longest
+        rng = np.random.default_rng(seed + attempt)
+        dealt = np.concatenate([rng.permutation(top - 1) for _ in range(-(-bits // (top - 1)))])[:bits] + 1
+        masks = [sum(1 << p for p, x in enumerate(dealt.tolist()) if (x & v).bit_count() % 2) for v in range(1, top)]
+        best = max(best, masks, key=lambda m: min((x.bit_count() for x in m), default=0))
+    return best
 
 
 def _signed(x: int) -> int:
