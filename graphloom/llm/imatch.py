@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import cut, shuffle_width
+from graphloom.llm._util import cut, let, shuffle_width
 
 #: Share of documents that a term of the lexicon occurs in. At most (mean distinct terms a document) / LOW terms qualify.
 LOW, HIGH = 0.0005, 0.01
@@ -76,11 +76,6 @@ def in_order(docs: DataFrame) -> DataFrame:
     return rows.withColumn("rid", F.row_number().over(by)).withColumn("next_text", F.lead("text").over(by))
 
 
-def let(value: Column, use) -> Column:
-    """use(value) with the value computed once: lambdas would compute what they mention anew for every element."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def subset_hashes(codes: Column) -> Column:
     """map level -> array of SUBSETS hashes (8 hex digits; '' for a subset without terms) of a sorted array of codes."""
     size = F.size(codes)

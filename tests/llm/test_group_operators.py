@@ -99,6 +99,15 @@ def edit(a, b):
     return row[-1]
 
 
+def test_edit_bound():
+    rnd = random.Random(6)
+    for _ in range(1500):
+        a = "".join(rnd.choices("abcé", k=rnd.randint(0, 30)))
+        b = "".join(rnd.choices("abcé", k=rnd.randint(0, 30))) if rnd.random() < 0.3 else "".join(c for c in a if rnd.random() < 0.9) + "x" * rnd.randint(0, 2)
+        for most in (0, 1, 3, 8, 20):
+            assert line_dedup.within(a, b, most) == (edit(a, b) <= most)
+
+
 @pytest.mark.parametrize("bound", [0, line_dedup.BROADCAST_ROWS])
 def test_line_dedup(spark, docs, no_docs, monkeypatch, bound):
     monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", bound)
