@@ -132,6 +132,27 @@ def test_line_dedup(spark, docs, no_docs, monkeypatch, bound):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 
 
+def test_lines_with_a_changed_word_link(spark):
+    """Every pair with an edit similarity from 0.8 links: one changed word in 6 to 50 has it, though SimHashes are far apart."""
+    rnd = random.Random(12)
+    rows = []
+    for k in range(60):
+        line = ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(3, 7))) for _ in range((2, 6, 10, 20, 50)[k % 5])]
+        changed = list(line)
+        changed[rnd.randrange(len(line))] = "qrs" if k % 5 else line[0][:-1] + "q"
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(changed))]
+    links = [(i, j) for i, a in rows for j, b in rows if i < j and line_dedup.alike(a, b)]
+    want = {i for i, g in components([i for i, _ in rows], links).items() if g != i}
+    assert len(want) > 40
+    assert {r["doc_id"] for r in line_dedup.dedup_similar_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["n_removed"]} == want
+
+
+def test_large_groups_of_near_lines_link_through_one(spark):
+    words = prose(40, 9).split()
+    rows = [(i, " ".join([*words[:20], f"x{chr(97 + i % 26)}{chr(97 + i // 26)}", *words[21:]])) for i in range(300)]
+    assert [r["doc_id"] for r in line_dedup.dedup_similar_lines(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_removed = 0").collect()] == [0]
+
+
 URLS = [(1, None), (2, "no scheme"), (3, "http://A.B.COM/en/7?x=1"), (4, "https://example.com/en/77#t"), (5, "https://x.example.net/de/8"), (6, "https://x.example.net/de/"), (7, "ftp://notexample.net/de/8"),
         (8, "http://com/en/"), (8, "http://com/en/"), (None, "a://b://c.org/es/?q"), (9, "http://org?es"), (10, "http://exämple.com/en/é"), (11, "http://x.org/es/" + "a" * 5000), (12, "http://" + "a." * 3000 + "com/en/")]
 
