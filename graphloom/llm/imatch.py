@@ -17,6 +17,8 @@ from graphloom.llm._util import cut, let, shuffle_width
 
 #: Share of documents that a term of the lexicon occurs in. At most (mean distinct terms a document) / LOW terms qualify.
 LOW, HIGH = 0.0005, 0.01
+#: A text is common if fewer than one in SPARSE of its terms from LOW on are in the band: then they all count, however frequent.
+SPARSE = 8
 #: Subsets at each level, and the least level.
 SUBSETS, LEAST_LEVEL = 16, 4
 #: Up to so many terms (under 64 MB) are broadcast; a larger lexicon is joined by key.
@@ -33,11 +35,12 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame) -> DataFrame:
-    """(term, code) of the terms within the band, counted over all documents."""
-    n = docs.count()
-    df = docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    band = df.filter((F.col("df") >= LOW * n) & (F.col("df") <= max(HIGH * n, 1)) & (F.col("term") != "") & (F.col("term") != MARK))
-    return cut(band.select("term", F.hash("term").alias("code")))
+    """(term, code, band) of the terms from LOW on, counted over distinct texts; band: whether at most HIGH."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
+    n = texts.count()
+    df = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    known = df.filter((F.col("df") >= LOW * n) & (F.col("term") != "") & (F.col("term") != MARK))
+    return cut(known.select("term", F.hash("term").alias("code"), (F.col("df") <= max(HIGH * n, 1)).alias("band")))
 
 
 def ranges(docs: DataFrame, width: int) -> Column:
@@ -128,20 +131,29 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     rows = rows.select("rng", "rid", "guest", "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                        F.md5("text").alias("own"), F.md5("edited").alias("new"), F.posexplode(sides).alias("side", "t"))
     rows = rows.select("rng", "rid", "guest", "doc_id", "n_chars", "edited_sha256", "own", "new", "side", F.explode(F.concat(F.array(F.lit(MARK)), terms(F.col("t")))).alias("word"))
-    known = words.unionByName(words.sparkSession.createDataFrame([(MARK, None)], "term string, code int"))
+    known = words.unionByName(words.sparkSession.createDataFrame([(MARK, None, None)], "term string, code int, band boolean"))
     if words.count() <= BROADCAST_TERMS:
         known = F.broadcast(known)
     met = rows.join(known, F.col("word") == F.col("term"))
     one = met.groupBy("rng", "rid").agg(
         *[F.first(c).alias(c) for c in ("guest", "doc_id", "n_chars", "edited_sha256", "own", "new")],
-        *[F.array_sort(F.collect_set(F.when(F.col("side") == i, F.col("code")))).alias(f"codes{i}") for i in (0, 1)])
-    both = one.select("rng", "rid", "guest", "doc_id", "n_chars", "edited_sha256", subset_hashes(F.col("codes0")).alias("a"), subset_hashes(F.col("codes1")).alias("b"), "own", "new")
-    both = both.withColumn("fingerprint", as_text(F.col("a"), F.col("own"))).withColumn("edited_fingerprint", as_text(F.col("b"), F.col("new")))
+        *[F.array_sort(F.collect_set(F.when(F.col("side") == i, F.col("code")))).alias(f"all{i}") for i in (0, 1)],
+        *[F.array_sort(F.collect_set(F.when((F.col("side") == i) & F.col("band"), F.col("code")))).alias(f"codes{i}") for i in (0, 1)])
+    common = [F.size(f"codes{i}") * SPARSE < F.size(f"all{i}") for i in (0, 1)]
+    both = one.select("rng", "rid", "guest", "doc_id", "n_chars", "edited_sha256", subset_hashes(F.col("codes0")).alias("a"), subset_hashes(F.col("codes1")).alias("b"),
+                      "all0", "all1", common[0].alias("common0"), common[1].alias("common1"), "own", "new")
+    for i, band, name, text in ((0, "a", "fingerprint", "own"), (1, "b", "edited_fingerprint", "new")):
+        both = both.withColumn(name, as_text(F.when(F.col(f"common{i}"), subset_hashes(F.col(f"all{i}"))).otherwise(F.col(band)), F.col(text)))
     by = W.partitionBy("rng").orderBy("rid")
-    both = both.withColumn("c", F.lead("a").over(by)).withColumn("next_fingerprint", F.lead("fingerprint").over(by)).filter("not guest")
+    both = both.select("*", *[F.lead(c).over(by).alias(new) for c, new in (("a", "c"), ("all0", "all2"), ("common0", "common2"), ("fingerprint", "next_fingerprint"))]).filter("not guest")
+
+    def near(band: str, i: int, text: str) -> Column:
+        """Likeness by the band; by all terms where either text is common."""
+        wide = likeness(subset_hashes(F.col("all0")), subset_hashes(F.col(f"all{i}")), F.col("fingerprint"), F.col(text))
+        return F.when(F.col("common0") | F.col(f"common{i}"), wide).otherwise(likeness(F.col("a"), F.col(band), F.col("fingerprint"), F.col(text)))
+
     return both.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                       likeness(F.col("a"), F.col("b"), F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                       likeness(F.col("a"), F.col("c"), F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+                       near("b", 1, "edited_fingerprint").alias("near_edited"), near("c", 2, "next_fingerprint").alias("near_next"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -216,6 +216,21 @@ def test_edited_texts_are_nearer_than_next_ones(spark):
     assert len(got) == 40 and np.mean([r["near_edited"] for r in got]) > np.mean([r["near_next"] for r in got])
 
 
+def test_near_copies_of_a_large_group_are_near(spark):
+    """30 % of the rows are near copies, so all their shared terms are above the band."""
+    words = [f"{w}shared" for w in dict.fromkeys(prose(300).split())]
+    rows = [(i, " ".join([*words[:100], f"odd{i}", *words[101:]])) for i in range(120)]
+    rows += [(1000 + i, " ".join(f"{w}{i}" for w in dict.fromkeys(prose(120, i).split()))) for i in range(280)]
+    got = {r["doc_id"]: r for r in imatch.fingerprint_pairs(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert np.mean([got[i]["near_edited"] for i in range(120)]) > 0.3 and np.mean([got[i]["near_next"] for i in range(119)]) > 0.5
+    assert np.mean([got[1000 + i]["near_next"] for i in range(280)]) < 0.1
+
+
+def test_copies_do_not_count_for_document_frequency(spark):
+    rows = [(i, "one text in many copies") for i in range(300)] + [(1000 + i, f"own{i} words{i}") for i in range(200)]
+    assert imatch.lexicon(spark.createDataFrame(rows, "doc_id long, text string")).filter("term = 'copies' and band").count() == 1
+
+
 def test_rule_ensemble_learns(spark):
     rnd = random.Random(8)
     rows, labels = [], []
