@@ -89,6 +89,23 @@ def test_near_copies_go(spark):
     assert {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1, 4}
 
 
+def test_near_dedup_links_all_from_a_similarity_of_0_8(spark):
+    rnd = random.Random(3)
+    rows = []
+    for k in range(40):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(rnd.choice((30, 60, 120, 300)))]
+        for j in range(3):
+            changed = list(words)
+            for at in rnd.sample(range(len(words)), j * max(1, len(words) // 60)):
+                changed[at] = f"new{rnd.randrange(10**6)}"
+            rows.append((3 * k + j, " ".join(changed)))
+    sets = {i: {tuple(t.split()[a : a + 5]) for a in range(len(t.split()) - 4)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    far = sum((brute_fp(rows[a][1], 5) ^ brute_fp(rows[b][1], 5)).bit_count() > 6 for a, b in links)
+    kept = {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert far > 20 and kept == {i for i, g in components(sets, links).items() if i == g}
+
+
 def edit(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
