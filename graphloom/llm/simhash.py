@@ -270,17 +270,26 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: float = 0.8) -> DataFrame:
-    """The documents that stay: those whose id is the least of their group of similar_components. All columns stay.
+    """One row of each group of similar_components. All columns stay.
 
-    Rows with one id are one document. Rows with a null id stay only if no row of their group has an id.
-    The ids that go are broadcast while they are few, else joined by key.
+    The row with the least id stays, nulls last, then the one with the least row key. Each row is decided by
+    itself: an id that occurs with two texts, or no id, is no reason to go. Rows alike in id and text are told
+    apart by their other columns only: the least as JSON stays. The keys that go are broadcast while they are
+    few, else joined.
     """
     marked = cut(similar_components(docs, id_col, text_col, width, similar))
-    comps = marked.join(marked.groupBy("root").agg(F.min("id").alias("component")), "root")
-    gone = cut(comps.filter("id <> component or (id is null and component is not null)").select(F.col("id").alias("__gone")).distinct())
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+    docs_by = marked.groupBy("root", "rk").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "rk")
+    stays = docs_by.groupBy("root").agg(F.min(order)["rk"].alias("stays")).withColumnRenamed("root", "of")
+    judged = docs_by.join(stays, F.col("root") == F.col("of"))
+    told = cut(judged.filter("rk <> stays or n > 1").select(F.col("rk").alias("__rk"), (F.col("rk") == F.col("stays")).alias("__stays")))
+    if told.count() <= BROADCAST_IDS:
+        told = F.broadcast(told)
+    joined = docs.withColumn("__key", row_key(docs, id_col, text_col)).join(told, F.col("__key") == F.col("__rk"), "left")
+    alone = joined.filter("__rk is null").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = joined.filter("__stays").groupBy("__key").agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
+    return alone.unionByName(repeated)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

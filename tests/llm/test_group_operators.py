@@ -106,6 +106,15 @@ def test_near_dedup_links_all_from_a_similarity_of_0_8(spark):
     assert far > 20 and kept == {i for i, g in components(sets, links).items() if i == g}
 
 
+def test_near_dedup_decides_row_by_row(spark):
+    """A null id or a shared id is no reason to go: only the row that is a copy goes."""
+    copy, alone, lost = prose(60, 3), prose(60, 11).replace("a", "o"), prose(60, 5).replace("e", "u")
+    rows = [(1, copy), (None, copy), (None, alone), (7, copy), (7, lost), (None, "no id here " + lost[::-1]), (None, "no id here " + lost[::-1]), (9, "twice"), (9, "twice")]
+    got = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = [(0, alone), (0, "no id here " + lost[::-1]), (1, copy), (7, lost), (9, "twice")]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted(want)
+
+
 def edit(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
