@@ -28,7 +28,7 @@ from graphloom.llm._util import cut
 from graphloom.llm.byte_bpe import Merger
 
 #: Words in one generation of a worker's caches.
-CACHE = 400_000
+CACHE = 100_000
 #: Characters that Python's split takes for white space and the tokenizer doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Words of letters whose class and lower case all versions of Unicode agree on, and a closing mark.

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.llm._util import connected_components, cut, row_key
-from graphloom.llm.minhash import bands, linked
+from graphloom.llm.minhash import alike_pairs, band_keys, in_groups, linked, minima, sliced
 
 #: Shingles handled at a time, so that a very long text needs no more memory than this.
 CHUNK = 1 << 15
@@ -22,6 +22,8 @@ SMALL_BUCKET = 12
 LOCAL_BUCKET = 4096
 #: The same bound where all near pairs are asked for, as a ball of an odd radius has more points.
 PAIR_BUCKET = 512
+#: Bands of the MinHash signature of a shingle set, and values in each.
+BANDS, ROWS = 22, 5
 #: Up to so many ids (under 16 MB) are broadcast.
 BROADCAST_IDS = 500_000
 #: Byte -> eight counters, one in each byte of a 64-bit word.
@@ -220,52 +222,43 @@ def marked_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch.column(2).to_pylist()]
+            sets = [shingle_set(t.as_py(), width) for t in batch.column(2)]
             nodes = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64).view(np.int64)
-            keys = [bands((x >> np.uint64(32)).astype(np.uint32)) if len(x) else [] for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(nodes), pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "rk", "node", "size", "keys"])
+            sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+            keys: list[list[int]] = [[] for _ in sets]
+            own = np.flatnonzero(sizes)
+            for a, b in in_groups(sizes[own]):
+                low = minima(np.concatenate([(sets[i] >> np.uint64(32)).astype(np.uint32) for i in own[a:b].tolist()]), sizes[own[a:b]], BANDS * ROWS)
+                for i, of_one in zip(own[a:b].tolist(), band_keys(low, ROWS).T.tolist(), strict=True):
+                    keys[i] = of_one
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes), pa.array(sizes), pa.array(keys, pa.list_(pa.int64()))],
+                                             names=["id", "rk", "node", "size", "keys"])
 
     given = docs.select(F.col(id_col).alias("id"), row_key(docs, id_col, text_col).alias("rk"), F.col(text_col).alias("t"))
     return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, rk binary, node bigint, size bigint, keys array<bigint>")
 
 
-def similar_sets(pairs: DataFrame, width: int, similar: float) -> DataFrame:
-    """(u, v) of the pairs (u, v, x, y) whose texts x and y have a Jaccard similarity of `similar` or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = shingle_set(x, width), shingle_set(y, width)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                kept.append(both >= similar * (len(a) + len(b) - both) - 1e-9)
-            mask = pa.array(kept, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["u", "v"])
-
-    return pairs.mapInArrow(run, "u bigint, v bigint")
-
-
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: float = 0.8) -> DataFrame:
     """One row per row of docs: id, rk (its row_key), fp (of its shingle set) and root, equal for the rows of a group.
 
     Texts link if the Jaccard similarity of their word shingles is `similar` or more, also through others; texts
-    without words are one group. Candidates share one of 32 bands of four MinHash values (which a pair of
-    similarity 0.8 misses with a probability of 5e-8), and each link is verified on the texts.
+    without words are one group. Candidates share one of BANDS bands of ROWS MinHash values (which a pair of
+    similarity 0.8 misses with a probability of 2e-4), and each link is verified on the texts.
     """
     marked = cut(marked_sets(docs, id_col, text_col, width))
     sets = cut(marked.groupBy("node").agg(F.min("rk").alias("rk"), F.first("size").alias("size"), F.first("keys").alias("keys")))
 
+    def alike(a: np.ndarray, b: np.ndarray) -> bool:
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return both >= similar * (len(a) + len(b) - both) - 1e-9
+
     def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-        wanted = sets.select("node", F.col("rk").alias("__rk")).join(both, "node")
+        wanted = sliced(pairs).join(sets.select(F.col("node").alias("of"), F.col("rk").alias("__rk")), F.col("node") == F.col("of"))
         given = docs.select(row_key(docs, id_col, text_col).alias("rk"), F.col(text_col).alias("t"))
-        texts = cut(given.join(wanted, F.col("rk") == F.col("__rk")).groupBy("node").agg(F.max("t").alias("t")))
-        left, right = texts.select(F.col("node").alias("u"), F.col("t").alias("x")), texts.select(F.col("node").alias("v"), F.col("t").alias("y"))
-        return similar_sets(pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y"), width, similar)
+        texts = given.join(wanted, F.col("rk") == F.col("__rk")).select("u", "part", "node", F.coalesce("t", F.lit("")).alias("text"))
+        return alike_pairs(texts, lambda text: shingle_set(text, width), alike)
 
-    groups = linked(sets.select(F.explode(F.array_distinct("keys")).alias("key"), "node", "size"), similar, verified).withColumnRenamed("node", "of")
+    groups = linked(sets.select(F.explode("keys").alias("key"), "node", "size"), similar, verified).withColumnRenamed("node", "of")
     return marked.join(groups, F.col("node") == F.col("of"), "left").select("id", "rk", F.col("node").alias("fp"), F.coalesce("root", "node").alias("root"))
 
 
