@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Longs in the bitmap of a sieve: 16 MB as rows.
+SIEVE_WORDS = 1 << 20
+#: Edges of one node from which its edges are kept apart from the shuffle by node.
+HUB = 20_000
+
+
 def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
@@ -15,12 +19,14 @@ def session_of(df: DataFrame) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the reliable checkpoint folder and cut its lineage.
 
-    The folder is the one the cluster names in spark.checkpoint.dir; only where
-    that is unset (single-machine tests) a temporary one is set.
+    The folder is the one the cluster names in spark.checkpoint.dir, or that the session has set.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="graphloom-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or "spark-warehouse/checkpoints")
     return df.checkpoint(eager=True)
 
 
@@ -43,6 +49,33 @@ def row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit("\x00"), F.coalesce(F.col(text_col), F.lit("")))))
 
 
+def sieve(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """rows with a column __maybe: false only if `column` isn't among the keys (a DataFrame of one column of that type).
+
+    Each key sets a bit of a bitmap of SIEVE_WORDS longs, which is broadcast: its size is the same for any number
+    of keys. Null is never among the keys.
+    """
+    def hashed(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(SIEVE_WORDS * 64))
+
+    bit = F.expr("shiftleft(1L, cast(__h % 64 as int))")
+    words = keys.select(hashed(keys.columns[0]).alias("__h")).groupBy(F.expr("shiftright(__h, 6)").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    met = rows.withColumn("__h", F.when(F.col(column).isNotNull(), hashed(column))).join(F.broadcast(words), F.expr("shiftright(__h, 6)") == F.col("__word"), "left")
+    return met.withColumn("__maybe", F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))).drop("__h", "__word", "__bits")
+
+
+def beside(rows: DataFrame, column: str, table: DataFrame, key: str, few: bool) -> DataFrame:
+    """Left join of rows with a table by column = key. few: the table is within its caller's bound, and is broadcast.
+
+    Else only the rows that the table may know are shuffled; the others pass by.
+    """
+    if few:
+        return rows.join(F.broadcast(table), F.col(column) == F.col(key), "left")
+    marked = sieve(rows, column, table.select(key))
+    known = marked.filter("__maybe").join(table, F.col(column) == F.col(key), "left")
+    return known.unionByName(marked.filter("not __maybe"), allowMissingColumns=True).drop("__maybe")
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
     return tuple(row)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import connected_components, cut, row_key
+from graphloom.llm._util import beside, connected_components, cut, row_key, sieve
 from graphloom.llm.minhash import alike_pairs, band_keys, in_groups, linked, minima, sliced
 
 #: Shingles handled at a time, so that a very long text needs no more memory than this.
@@ -253,8 +253,12 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return both >= similar * (len(a) + len(b) - both) - 1e-9
 
     def verified(pairs: DataFrame) -> DataFrame:
-        wanted = sliced(pairs).join(sets.select(F.col("node").alias("of"), F.col("rk").alias("__rk")), F.col("node") == F.col("of"))
+        wanted = cut(sliced(pairs).join(sets.select(F.col("node").alias("of"), F.col("rk").alias("__rk")), F.col("node") == F.col("of")))
         given = docs.select(row_key(docs, id_col, text_col).alias("rk"), F.col(text_col).alias("t"))
+        if wanted.count() <= BROADCAST_IDS:
+            wanted = F.broadcast(wanted)
+        else:
+            given = sieve(given, "rk", wanted.select("__rk")).filter("__maybe")
         texts = given.join(wanted, F.col("rk") == F.col("__rk")).select("u", "part", "node", F.coalesce("t", F.lit("")).alias("text"))
         return alike_pairs(texts, lambda text: shingle_set(text, width), alike)
 
@@ -276,9 +280,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays = docs_by.groupBy("root").agg(F.min(order)["rk"].alias("stays")).withColumnRenamed("root", "of")
     judged = docs_by.join(stays, F.col("root") == F.col("of"))
     told = cut(judged.filter("rk <> stays or n > 1").select(F.col("rk").alias("__rk"), (F.col("rk") == F.col("stays")).alias("__stays")))
-    if told.count() <= BROADCAST_IDS:
-        told = F.broadcast(told)
-    joined = docs.withColumn("__key", row_key(docs, id_col, text_col)).join(told, F.col("__key") == F.col("__rk"), "left")
+    joined = beside(docs.withColumn("__key", row_key(docs, id_col, text_col)), "__key", told, "__rk", told.count() <= BROADCAST_IDS)
     alone = joined.filter("__rk is null").select(*[F.col(f"`{c}`") for c in docs.columns])
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     repeated = joined.filter("__stays").groupBy("__key").agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
