@@ -101,7 +101,6 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.own = Tokenizer.from_file(path)
-        self.own.encode_special_tokens = True
         self.merger = WordMerger(path)
         self.words, self.parts = Recent(self._words), Recent(self._parts)
 
@@ -181,52 +180,70 @@ class Plan:
             self.groups.append([count, contents])
 
 
+def _smallest(left: dict[int, int], sizes: list[int], big: int, k: int) -> list[int]:
+    """The k smallest pieces beside one of `big`, or as many as there are."""
+    out: list[int] = []
+    for s in sizes:
+        out += [s] * min(k - len(out), left[s] - (s == big))
+        if len(out) == k:
+            break
+    return out
+
+
+def _largest(left: dict[int, int], sizes: list[int], room: int, used: tuple[int, ...]) -> int:
+    """The largest piece that fits into room beside those used; 0 if none does."""
+    k = bisect.bisect_right(sizes, room) - 1
+    while k >= 0 and left[sizes[k]] <= used.count(sizes[k]):
+        k -= 1
+    return sizes[k] if k >= 0 else 0
+
+
+def _dominating(left: dict[int, int], sizes: list[int], big: int, capacity: int) -> tuple[int, ...] | None:
+    """A set of one to three pieces with `big` that dominates every other set with it, if one is found.
+
+    A set dominates another if each piece of the other, or some of them together, fit in the place of a piece of
+    the set. Nothing fits beside: the piece alone. The largest that fits fills the sequence, or no two others fit:
+    that pair. Where two others fit at most: the pair too, if no two others are larger together than the largest
+    that fits; else the largest and the largest beside both, if that is no less than the lesser of any two that fit.
+    """
+    room = capacity - big
+    mate = _largest(left, sizes, room, (big,))
+    if not mate:
+        return (big,)
+    few = _smallest(left, sizes, big, 3)
+    if mate == room or len(few) < 2 or sum(few[:2]) > room:
+        return (big, mate)
+    if len(few) == 3 and sum(few) <= room:
+        return None
+    best, lesser = _best_two(left, sizes, big, room)
+    if best <= mate:
+        return (big, mate)
+    third = _largest(left, sizes, room - mate, (big, mate))
+    return (big, mate, third) if third and third >= lesser else None
+
+
 def reduce_dominated(left: dict[int, int], capacity: int, plan: Plan) -> None:
-    """Fixes the sets of at most three pieces that dominate all other sets with the same largest piece.
+    """Fixes dominating sets, largest piece first, as often as their pieces allow; left is shrunk in place.
 
-    Largest size first. A set dominates if it fills the sequence, if nothing fits beside the
-    piece, or if just one more piece fits and it is the largest that does; and a pair does if its
-    second piece is at least as large as any two that fit in its place. left is shrunk in place.
+    Fixing a set only takes pieces away, so its copies stay dominating while all of its sizes are left. Some
+    optimal packing holds all fixed sets.
     """
     sizes = sorted(s for s, n in left.items() if n)
-    for big in reversed(list(sizes)):
-        while left.get(big, 0):
-            n, room = left[big], capacity - big
-            own = left[big] - 1
-            if room == 0:
-                plan.add(n, [(big, 1)])
-                left[big] = 0
+    for big in reversed(sizes):
+        while left[big]:
+            found = _dominating(left, sizes, big, capacity)
+            if found is None:
                 break
-            # largest piece that fits beside one of `big`, and the two smallest
-            k = bisect.bisect_right(sizes, room) - 1
-            while k >= 0 and not (left[sizes[k]] - (sizes[k] == big)) > 0:
-                k -= 1
-            if k < 0:
-                plan.add(n, [(big, 1)])
-                left[big] = 0
-                break
-            mate = sizes[k]
-            small: list[int] = []
-            for s in sizes:
-                small += [s] * min(2 - len(small), left[s] - (s == big))
-                if len(small) == 2:
-                    break
-            two = sum(small) if len(small) == 2 else capacity + 1
-            if mate != room and two <= room and not _best_two(left, sizes, big, room) <= mate:
-                break
-            take = n // 2 if mate == big else min(n, left[mate])
-            if take == 0 or own < 0:
-                break
-            # a second copy stays right while the mate is still the largest that fits
-            plan.add(take, [(big, 2)] if mate == big else [(big, 1), (mate, 1)])
-            left[big] -= 2 * take if mate == big else take
-            if mate != big:
-                left[mate] -= take
+            parts = [(s, found.count(s)) for s in dict.fromkeys(found)]
+            take = min(left[s] // k for s, k in parts)
+            plan.add(take, parts)
+            for s, k in parts:
+                left[s] -= take * k
 
 
-def _best_two(left: dict[int, int], sizes: list[int], big: int, room: int) -> int:
-    """Largest sum of two further pieces that fit into room; 0 if none do."""
-    best, i, j = 0, 0, len(sizes) - 1
+def _best_two(left: dict[int, int], sizes: list[int], big: int, room: int) -> tuple[int, int]:
+    """Of all two further pieces that fit into room together: the largest sum, and the largest lesser piece; zeros if none do."""
+    best, lesser, i, j = 0, 0, 0, len(sizes) - 1
     have = lambda s: left[s] - (s == big)
     while i <= j:
         s, t = sizes[i], sizes[j]
@@ -235,9 +252,9 @@ def _best_two(left: dict[int, int], sizes: list[int], big: int, room: int) -> in
         elif have(t) < 1 or s + t > room:
             j -= 1
         else:
-            best = max(best, s + t)
+            best, lesser = max(best, s + t), max(lesser, s)
             i += 1
-    return best
+    return best, lesser
 
 
 def best_fit(left: dict[int, int], capacity: int, plan: Plan) -> None:
@@ -280,12 +297,58 @@ def best_fit(left: dict[int, int], capacity: int, plan: Plan) -> None:
             plan.add(count, contents)
 
 
+def _fullest(left: dict[int, int], room: int) -> list[tuple[int, int]]:
+    """(size, how many) of the pieces left that fill room best: reachable sums are the bits of an integer."""
+    within, reach, steps = (1 << room + 1) - 1, 1, []
+    for size in sorted((s for s, n in left.items() if n and s <= room), reverse=True):
+        n, part = min(left[size], room // size), 1
+        while n:
+            part = min(part, n)
+            steps.append((reach, size, part))
+            reach |= reach << size * part & within
+            if reach >> room:
+                break
+            n, part = n - part, 2 * part
+        if reach >> room:
+            break
+    total, out = reach.bit_length() - 1, {}
+    for before, size, part in reversed(steps):
+        if not before >> total & 1:
+            out[size] = out.get(size, 0) + part
+            total -= size * part
+    return list(out.items())
+
+
+def fill(left: dict[int, int], capacity: int, plan: Plan) -> None:
+    """Best fit of sets: the largest piece left, with the pieces that fill its sequence best, as often as they allow."""
+    for big in sorted((s for s, n in left.items() if n), reverse=True):
+        while left[big]:
+            left[big] -= 1
+            beside = dict(_fullest(left, capacity - big))
+            left[big] += 1
+            beside[big] = beside.get(big, 0) + 1
+            take = min(left[s] // k for s, k in beside.items())
+            plan.add(take, sorted(beside.items(), reverse=True))
+            for s, k in beside.items():
+                left[s] -= take * k
+
+
 def solve(histogram: dict[int, int], capacity: int) -> list[list]:
-    """Groups [count, [(size, how many), ...]] that hold every piece of the histogram."""
+    """Groups [count, [(size, how many), ...]] that hold every piece of the histogram.
+
+    Reduction, then best fit; if that needs more sequences than the pieces left fill, also best fit of sets, and
+    the fewer of both.
+    """
     plan, left = Plan(), dict(histogram)
     reduce_dominated(left, capacity, plan)
-    best_fit(left, capacity, plan)
-    return plan.groups
+    ways = []
+    for way in (best_fit, fill):
+        own = Plan()
+        way(dict(left), capacity, own)
+        ways.append(own.groups)
+        if sum(n for n, _ in own.groups) <= -(-sum(s * n for s, n in left.items()) // capacity):
+            break
+    return plan.groups + min(ways, key=lambda groups: sum(n for n, _ in groups))
 
 
 def segments(groups: list[list]) -> list[tuple[int, int, int, int, int, int]]:

@@ -15,24 +15,24 @@ from graphloom.llm.text_stats import with_stats
 GAMMA = 1.02
 #: Bucket of zero; positive values have larger ones.
 ZERO = -1_000_000
-#: Groups with fewer texts take the merged sketch of their language, and that failing of all texts.
-LEAST_GROUP = 200
-#: A fence lies so many interquartile ranges outside the middle half, and at least `slack` outside it.
-REACH = 3.0
-#: Rule -> (numerator, denominator, slack).
+#: A group's sketch counts as if so many texts were dealt like those of its language, and a language's like those of all texts.
+PRIOR = 200
+#: A fence lies so many spreads outside the middle half. A spread is the interquartile range of the group or of its
+#: language, or what chance alone makes of a count in a text of that length, whichever is largest.
+REACH = 6.0
+#: Rule -> (numerator, denominator). Repetition is left to the base rules.
 RULES = {
-    "symbols_per_word": ("n_symbols", "n_words", 0.1),
-    "marks_per_word": ("n_marks", "n_words", 0.1),
-    "upper_per_char": ("n_upper", "word_chars", 0.1),
-    "repeats_per_word": ("n_repeat_words", "n_words", 0.35),
-    "chars_per_word": ("word_chars", "n_words", 1.0),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "marks_per_word": ("n_marks", "n_words"),
+    "upper_per_char": ("n_upper", "word_chars"),
+    "chars_per_word": ("word_chars", "n_words"),
 }
 #: Up to so many rows of thresholds (some 200 bytes each) are broadcast; more are joined by key.
 BROADCAST_ROWS = 50_000
 
 
 def _value(rule: str) -> Column:
-    top, bottom, _ = RULES[rule]
+    top, bottom = RULES[rule]
     return F.when(F.col(f"stats.{bottom}") > 0, F.col(f"stats.{top}") / F.col(f"stats.{bottom}")).otherwise(F.lit(0.0))
 
 
@@ -53,39 +53,48 @@ def sketch(texts: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys, F.col("e.rule").alias("rule"), bucket.alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def fences(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Low and high fence per group and rule, from the quartiles of the merged sketch."""
-    merged = counts.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
+def blended(counts: DataFrame, keys: list[str], parent: DataFrame, above: list[str]) -> DataFrame:
+    """(keys, rule, bucket, w): each group's counts and PRIOR texts dealt like its parent's (above, rule, bucket, w)."""
+    own = counts.groupBy(*keys, "rule", "bucket").agg(F.sum("n").cast("double").alias("w"))
+    whole = parent.groupBy(*above, "rule").agg(F.sum("w").alias("total")).select(*[F.col(k).alias(f"t_{k}") for k in above], F.col("rule").alias("t_rule"), "total")
+    dealt = parent.select(*[F.col(k).alias(f"p_{k}") for k in above], F.col("rule").alias("p_rule"), "bucket", F.col("w").alias("p_w"))
+    here, there, totals = F.col("rule") == F.col("p_rule"), F.col("rule") == F.col("t_rule"), own.select(*keys, "rule").distinct()
+    for k in above:
+        here, there = here & F.col(k).eqNullSafe(F.col(f"p_{k}")), there & F.col(k).eqNullSafe(F.col(f"t_{k}"))
+    prior = totals.join(whole, there).join(dealt, here).select(*keys, "rule", "bucket", (F.lit(float(PRIOR)) * F.col("p_w") / F.col("total")).alias("w"))
+    return own.unionByName(prior).groupBy(*keys, "rule", "bucket").agg(F.sum("w").alias("w"))
+
+
+def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, rule, q1, q3) of sketches (keys, rule, bucket, w), w being counts or weights."""
     by = W.partitionBy(*keys, "rule")
-    upto = merged.withColumn("upto", F.sum("n").over(by.orderBy("bucket"))).withColumn("total", F.sum("n").over(by))
+    upto = sketches.withColumn("upto", F.sum("w").over(by.orderBy("bucket"))).withColumn("total", F.sum("w").over(by) * (1 - 1e-9))
     at = F.when(F.col("bucket") == ZERO, 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bucket")))
-    quart = upto.groupBy(*keys, "rule").agg(
-        F.max("total").alias("n"), F.min(F.when(F.col("upto") * 4 >= F.col("total"), at)).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, at)).alias("q3"))
-    slack = F.lit(0.0)
-    for r, (_, _, s) in RULES.items():
-        slack = F.when(F.col("rule") == r, s).otherwise(slack)
-    room = F.greatest(REACH * (F.col("q3") - F.col("q1")), slack)
-    return quart.select(*keys, "rule", "n", (F.col("q1") - room).alias("low"), (F.col("q3") + room).alias("high"))
+    return upto.groupBy(*keys, "rule").agg(F.min(F.when(F.col("upto") * 4 >= F.col("total"), at)).alias("q1"), F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, at)).alias("q3"))
 
 
 def thresholds(texts: DataFrame) -> DataFrame:
-    """One row per (lang, source): map rule -> (low, high), from the finest level with enough texts.
+    """One row per (lang, source): for each rule a struct (q1, q3, spread).
 
-    texts: lang, source, stats of texts that pass the base rules. Counts cover all of them.
+    texts: lang, source, stats of texts that pass the base rules. Counts cover all of them. Sketches are blended by
+    weight, alike at every size: a group of a few texts is judged nearly as its language, one of many by itself.
     """
     counts = cut(sketch(texts, ["lang", "source"]))
-    fine, lang, every = fences(counts, ["lang", "source"]), fences(counts, ["lang"]), fences(counts, [])
-    lang = lang.select(F.col("lang").alias("l"), F.col("rule").alias("r"), *[F.col(c).alias(f"{c}2") for c in ("n", "low", "high")])
-    every = every.select(F.col("rule").alias("r3"), F.col("low").alias("low3"), F.col("high").alias("high3"))
-    joined = fine.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("r")), "left").join(
-        F.broadcast(every), F.col("rule") == F.col("r3"))  # one row per rule
+    every = counts.groupBy("rule", "bucket").agg(F.sum("n").cast("double").alias("w"))
+    lang = cut(blended(counts, ["lang"], every, []))
+    own = quartiles(blended(counts, ["lang", "source"], lang, ["lang"]), ["lang", "source"])
+    wide = quartiles(lang, ["lang"]).select(F.col("lang").alias("l"), F.col("rule").alias("r"), (F.col("q3") - F.col("q1")).alias("wide"))
+    joined = own.join(wide, F.col("lang").eqNullSafe(F.col("l")) & (F.col("rule") == F.col("r")))
+    limit = F.struct("q1", "q3", F.greatest(F.col("q3") - F.col("q1"), "wide").alias("spread"))
+    return cut(joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rule") == r, limit)).alias(r) for r in RULES]))
 
-    def pick(c: str) -> Column:
-        return F.when(F.col("n") >= LEAST_GROUP, F.col(c)).when(F.col("n2") >= LEAST_GROUP, F.col(f"{c}2")).otherwise(F.col(f"{c}3"))
 
-    return cut(joined.groupBy("lang", "source").agg(
-        *[F.max(F.when(F.col("rule") == r, F.struct(pick("low").alias("low"), pick("high").alias("high")))).alias(r) for r in RULES]))
+def within_fences(rule: str, limit: str) -> Column:
+    """Whether the text's value is inside the fences around q1 and q3 of the struct `limit`; true without one."""
+    n = F.greatest(F.col(f"stats.{RULES[rule][1]}"), F.lit(1))
+    chance = F.sqrt(F.greatest(F.col(f"{limit}.q3") * n, F.lit(1.0))) / n
+    room = REACH * F.greatest(F.col(f"{limit}.spread"), chance)
+    return F.coalesce(_value(rule).between(F.col(f"{limit}.q1") - room, F.col(f"{limit}.q3") + room), F.lit(True))
 
 
 def judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
@@ -96,7 +105,7 @@ def judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
     joined = stats.join(limits, F.col("lang").eqNullSafe(F.col("__l")) & F.col("source").eqNullSafe(F.col("__s")), "left")
     good = F.lit(True)
     for r in RULES:
-        good = good & F.coalesce(_value(r).between(F.col(f"__{r}.low"), F.col(f"__{r}.high")), F.lit(True))
+        good = good & within_fences(r, f"__{r}")
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & good).drop(
         "__l", "__s", *[f"__{r}" for r in RULES])
 

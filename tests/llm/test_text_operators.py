@@ -2,19 +2,22 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from llm_rows import ROWS
+from llm_rows import ROWS, prose
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from graphloom.llm import byte_bpe, packing, quality_rules, secrets
-from graphloom.llm.text_stats import text_stats
+from graphloom.llm.text_stats import STATS, text_stats
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -56,7 +59,6 @@ def test_byte_bpe_frames(docs, no_docs):
 
 def test_word_tokens_equal_the_library(monkeypatch):
     own = Tokenizer.from_file(WORDS)
-    own.encode_special_tokens = True
     texts = mixtures(3000, 3)
     want = [e.ids for e in own.encode_batch(texts, add_special_tokens=False)]
     coder = packing.WordTokens(WORDS)
@@ -100,20 +102,38 @@ def fewest(items, capacity):
     return best[0]
 
 
+def reduced(items, capacity):
+    """Fixed sequences, and the pieces left."""
+    left = {s: items.count(s) for s in items}
+    plan = packing.Plan()
+    packing.reduce_dominated(left, capacity, plan)
+    assert all(sum(s * k for s, k in contents) <= capacity for _, contents in plan.groups)
+    return sum(n for n, _ in plan.groups), [s for s, n in left.items() for _ in range(n)]
+
+
 @pytest.mark.parametrize("seed", range(60))
 def test_reduction_keeps_an_optimum(seed):
     rnd = random.Random(seed)
     items = [rnd.randint(1, 20) for _ in range(rnd.randint(1, 9))]
-    left = {s: items.count(s) for s in items}
-    plan = packing.Plan()
-    packing.reduce_dominated(left, 20, plan)
-    rest = [s for s, n in left.items() for _ in range(n)]
-    assert sum(n for n, _ in plan.groups) + fewest(rest, 20) == fewest(items, 20)
+    fixed, rest = reduced(items, 20)
+    assert fixed + fewest(rest, 20) == fewest(items, 20)
+
+
+def test_reduction_keeps_an_optimum_of_many_instances():
+    """Among them many small pieces beside large ones, where three and more fit in the place of one."""
+    rnd, threes = random.Random(5), 0
+    for _ in range(2500):
+        capacity = rnd.choice([60, 100, 150, 200])
+        items = [rnd.randint(1, capacity) if rnd.random() < 0.5 else rnd.randint(capacity // 8, capacity // 3) for _ in range(rnd.randint(4, 10))]
+        fixed, rest = reduced(items, capacity)
+        threes += len(items) > len(rest)
+        assert fixed + fewest(rest, capacity) == fewest(items, capacity)
+    assert threes > 1000
+    assert sum(n for n, _ in packing.solve({120: 1, 118: 1, 56: 1, 26: 4}, 200)) == 2
 
 
 def test_packing_frames(docs, no_docs):
     own = Tokenizer.from_file(WORDS)
-    own.encode_special_tokens = True
     pieces = packing.pieces(docs, WORDS, capacity=64, with_ids=True)
     want = []
     for i, t, *_ in ROWS:
@@ -190,13 +210,70 @@ def test_sketches_merge_and_bound_the_quartiles(spark):
     rnd = random.Random(1)
     xs = [rnd.lognormvariate(0, 1) for _ in range(2000)] + [0.0] * 100
     rows = [("en", f"s{i % 3}", (100, round(100 * x), *[0] * 9)) for i, x in enumerate(xs)]
-    from graphloom.llm.text_stats import STATS
-
     texts = spark.createDataFrame(rows, f"lang string, source string, stats struct<{','.join(f'{s}:bigint' for s in STATS)}>")
-    counts = quality_rules.sketch(texts, ["lang", "source"])
-    got = quality_rules.fences(counts, ["lang"]).filter("rule = 'chars_per_word'").first()
+    counts = quality_rules.sketch(texts, ["lang", "source"]).withColumnRenamed("n", "w")
+    got = quality_rules.quartiles(counts.groupBy("lang", "rule", "bucket").agg(F.sum("w").alias("w")), ["lang"]).filter("rule = 'chars_per_word'").first()
     exact = sorted(round(100 * x) / 100 for x in xs)
     q1, q3 = exact[-(-len(exact) // 4) - 1], exact[-(-len(exact) * 3 // 4) - 1]
-    room = max(3 * (q3 - q1), 1.0)
-    assert abs(got["low"] - (q1 - room)) < 0.1 * room and abs(got["high"] - (q3 + room)) < 0.1 * room
-    assert quality_rules.fences(quality_rules.sketch(texts, ["lang"]), ["lang"]).collect() == quality_rules.fences(counts, ["lang"]).collect()
+    assert q1 <= got["q1"] <= 1.03 * q1 and q3 <= got["q3"] <= 1.03 * q3
+    merged = quality_rules.sketch(texts, ["lang"]).withColumnRenamed("n", "w")
+    assert quality_rules.quartiles(merged, ["lang"]).filter("rule = 'chars_per_word'").first() == got
+
+
+def brute_kept(rows):
+    """kept of rows (id, text, lang, source), by sketches as dictionaries."""
+    stats = [dict(zip(STATS, text_stats(t), strict=True)) for _, t, *_ in rows]
+    base = [s["n_words"] < 50 or 100 * s["n_repeat_words"] > 50 * s["n_words"] for s in stats]
+
+    def value(s, rule):
+        top, bottom = quality_rules.RULES[rule]
+        return s[top] / s[bottom] if s[bottom] else 0.0
+
+    def sketched(keep, rule):
+        out = Counter()
+        for s, failed, row in zip(stats, base, rows, strict=True):
+            if not failed and keep(row):
+                x = value(s, rule)
+                out[math.ceil(math.log(x) / math.log(quality_rules.GAMMA)) if x > 0 else quality_rules.ZERO] += 1
+        return out
+
+    def blend(own, parent):
+        total = sum(parent.values())
+        return {b: own.get(b, 0) + quality_rules.PRIOR * parent.get(b, 0) / total for b in {*own, *parent}}
+
+    def quarters(sketch):
+        total, upto, out = sum(sketch.values()), 0, []
+        for b in sorted(sketch):
+            upto += sketch[b]
+            while len(out) < 2 and 4 * upto >= (3 if out else 1) * total * (1 - 1e-9):
+                out.append(0.0 if b == quality_rules.ZERO else quality_rules.GAMMA**b)
+        return out
+
+    kept = []
+    for (_, _, lang, source), s, failed in zip(rows, stats, base, strict=True):
+        good = not failed
+        for rule in quality_rules.RULES:
+            group = sketched(lambda r: r[2:] == (lang, source), rule)  # noqa: B023
+            if failed or not group:
+                continue
+            of_lang = blend(sketched(lambda r: r[2] == lang, rule), sketched(lambda r: True, rule))  # noqa: B023
+            q1, q3 = quarters(blend(group, of_lang))
+            n = max(1, s[quality_rules.RULES[rule][1]])
+            wide = quarters(of_lang)
+            room = quality_rules.REACH * max(q3 - q1, wide[1] - wide[0], math.sqrt(max(q3 * n, 1)) / n)
+            good = good and q1 - room <= value(s, rule) <= q3 + room
+        kept.append(good)
+    return kept
+
+
+def test_kept_equals_brute_force(spark):
+    rnd = random.Random(2)
+    rows = []
+    for i in range(260):
+        words = prose(rnd.randint(20, 160), i).split()
+        kind = rnd.randrange(8)
+        words = [w.upper() if kind == 0 and rnd.random() < 0.7 else w * 4 if kind == 1 else w + "#$" if kind == 2 and rnd.random() < 0.4 else w + "!" if kind == 3 and rnd.random() < 0.5 else w for w in words]
+        rows.append((i, rnd.choice([" ".join(words)] * 9 + [None]), rnd.choice(["en", "de", None]), rnd.choice(["a", "b", "c", None])))
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.score(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)).collect()}
+    want = brute_kept(rows)
+    assert [got[i] for i in range(260)] == want and 20 < sum(want) < 240
