@@ -1,10 +1,9 @@
 """Document fingerprints by I-Match with randomised lexicon subsets, in DataFrame expressions only.
 
-Terms inside a band of document frequency make the lexicon. A document's terms in it, sorted and
-distinct, are hashed once for each of several random subsets of the lexicon, so an edit changes only
-the hashes of the subsets that hold a changed term. Subsets come at rates of one in 2**level; a
-document is hashed at the level at which a subset holds about one or two of its terms, and at both
-levels beside it, so that documents of like size share levels.
+Terms inside a band of document frequency make the lexicon. Fixed random sub-lexicons, the same for all
+documents, hold one in 16, 64, ... 4096 of its terms. The terms that each sub-lexicon leaves of a document,
+sorted and distinct, are hashed, so an edit changes only the hashes of the sub-lexicons that hold a changed
+term: small ones tell near copies of long texts, large ones those of short texts.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ from graphloom.llm._util import cut, let, shuffle_width
 LOW, HIGH = 0.0005, 0.01
 #: A text is common if fewer than one in SPARSE of its terms from LOW on are in the band: then they all count, however frequent.
 SPARSE = 8
-#: Subsets at each level, and the least level.
-SUBSETS, LEAST_LEVEL = 16, 4
+#: Sub-lexicons of each rate, which are disjoint, and the rates: one in so many terms.
+SUBSETS, RATES = 16, (16, 64, 256, 1024, 4096)
 #: Up to so many terms (under 64 MB) are broadcast; a larger lexicon is joined by key.
 BROADCAST_TERMS = 1_000_000
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -80,47 +79,40 @@ def in_order(docs: DataFrame) -> DataFrame:
 
 
 def subset_hashes(codes: Column) -> Column:
-    """map level -> array of SUBSETS hashes (8 hex digits; '' for a subset without terms) of a sorted array of codes."""
-    size = F.size(codes)
-    middle = F.greatest(F.lit(LEAST_LEVEL), F.floor(F.log2(F.greatest(size, F.lit(1)) / 1.5)).cast("int"))
-    levels = F.when(size == 0, F.array().cast("array<int>")).otherwise(let(middle, lambda m: F.array(*[m + k for k in (-1, 0, 1)])))
-
-    def at(level: Column) -> Column:
-        rate = F.pow(F.lit(2.0), level).cast("long")
-        used = F.filter(codes, lambda c: F.pmod(F.xxhash64(c, level), rate) < SUBSETS)
-        marked = F.transform(used, lambda c: F.struct(F.pmod(F.xxhash64(c, level), rate).alias("s"), c.alias("c")))
-        return let(marked, lambda m: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: let(F.filter(m, lambda x: x["s"] == s), hashed)))
+    """For each rate and sub-lexicon, the hash of its terms in a sorted array of codes: 8 hex digits, '' for none. Empty for no codes."""
 
     def hashed(own: Column) -> Column:
         text = F.right(F.lpad(F.lower(F.hex(F.xxhash64(F.transform(own, lambda x: x["c"])))), 16, "0"), F.lit(8))
         return F.when(F.size(own) == 0, "").otherwise(text)
 
-    return let(levels, lambda ls: F.map_from_arrays(ls, F.transform(ls, at)))
+    def at(rate: int) -> Column:
+        marked = F.transform(codes, lambda c: F.struct(F.pmod(F.xxhash64(c, F.lit(rate)), F.lit(rate)).alias("s"), c.alias("c")))
+        used = F.filter(marked, lambda x: x["s"] < SUBSETS)
+        return let(used, lambda m: F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda s: let(F.filter(m, lambda x: x["s"] == s), hashed)))
+
+    return F.when(F.size(codes) == 0, F.array().cast("array<string>")).otherwise(F.concat(*[at(r) for r in RATES]))
 
 
 def as_text(hashes: Column, text_hash: Column) -> Column:
-    """The fingerprint as text; of a text without lexicon terms, a hash of its words."""
+    """The fingerprint as text: each rate's hashes; of a text without lexicon terms, a hash of the text."""
     return F.when(F.size(hashes) == 0, F.concat(F.lit("w:"), text_hash)).otherwise(
-        F.array_join(F.transform(F.map_entries(hashes), lambda e: F.concat_ws(":", e["key"].cast("string"), F.array_join(e["value"], "."))), " "))
+        F.concat_ws(" ", *[F.concat(F.lit(f"{r}:"), F.array_join(F.slice(hashes, SUBSETS * i + 1, SUBSETS), ".")) for i, r in enumerate(RATES)]))
 
 
 def likeness(a: Column, b: Column, text_a: Column, text_b: Column) -> Column:
-    """1 for equal fingerprints; else the largest share, over shared levels, of equal hashes among subsets with terms."""
-    def share(level: Column) -> Column:
-        x, y = F.element_at(a, level), F.element_at(b, level)
-        both = F.filter(F.zip_with(x, y, lambda p, q: F.when((p == "") & (q == ""), F.lit(None)).otherwise(p == q)), lambda v: v.isNotNull())
-        return let(both, lambda v: F.when(F.size(v) == 0, 0.0).otherwise(F.size(F.filter(v, lambda t: t)) / F.size(v)))
-
-    shared = F.array_intersect(F.map_keys(a), F.map_keys(b))
-    return F.when(text_a == text_b, 1.0).otherwise(F.coalesce(F.array_max(F.transform(shared, share)), F.lit(0.0)))
+    """1 for equal fingerprints; else the share of equal hashes among the sub-lexicons with a term of either text."""
+    same = F.filter(F.zip_with(a, b, lambda p, q: F.when((p != "") | (q != ""), p == q)), lambda v: v.isNotNull())
+    share = let(same, lambda v: F.when(F.size(v) == 0, 0.0).otherwise(F.size(F.filter(v, lambda t: t)) / F.size(v)))
+    return F.when(text_a == text_b, 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of docs.
 
     The edited text has its last quarter replaced by the beginning of the next document. Null texts are
-    empty; null ids sort first, equal ids by text; a single document is its own next. Equal texts have
-    equal fingerprints. Other columns are not read. An empty table gives an empty one.
+    empty; null ids sort first, equal ids by text; a single document is its own next. Ids are whole numbers;
+    others count as null for their place in the order. Equal texts have equal fingerprints. Other columns are
+    not read. An empty table gives an empty one.
     """
     docs = docs.select("doc_id", "text")
     words = lexicon(docs)

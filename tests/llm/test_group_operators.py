@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -236,6 +238,64 @@ def test_fingerprints(spark, docs, no_docs):
     assert imatch.fingerprint_pairs(spark.createDataFrame([(5, "one two three four")], "doc_id long, text string")).first()["near_next"] == 1.0
 
 
+def chained(x, seed):
+    return xxhash.xxh64_intdigest(struct.pack("<i", x), seed)
+
+
+def brute_fingerprint(codes, text):
+    """Hashes of the terms in each sub-lexicon, and the text of the fingerprint."""
+    hashes = []
+    for rate in imatch.RATES if codes else ():
+        for sub in range(imatch.SUBSETS):
+            own, h = [c for c in sorted(codes) if (lambda x: x - (x >> 63 << 64))(chained(rate, chained(c, 42))) % rate == sub], 42
+            for c in own:
+                h = chained(c, h)
+            hashes.append(f"{h:016x}"[8:] if own else "")
+    n = imatch.SUBSETS
+    parts = [f"{r}:" + ".".join(hashes[n * i : n * i + n]) for i, r in enumerate(imatch.RATES)]
+    return hashes, " ".join(parts) if codes else "w:" + hashlib.md5(text.encode()).hexdigest()
+
+
+def test_fingerprints_equal_brute_force(spark):
+    """Own words, shared words, near copies of a large group, a text without terms and repeated rows."""
+    rnd, rows = random.Random(21), []
+    shared = [f"s{k}" for k in range(300)]
+    for i in range(150):
+        rows.append((3 * i, " ".join([f"own{i}x{k}" for k in range(3)] + rnd.sample(shared, 12))))
+    base = [f"group{k}" for k in range(90)]
+    for i in range(70):
+        rows.append((1000 + i, " ".join([*base[:60], f"odd{i}", *base[61:]])))
+    rows += [(2000, ""), (2001, None), (2002, " ".join(shared[:40])), (2002, " ".join(shared[:40]))]
+    got = imatch.fingerprint_pairs(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    order = sorted((i, t or "") for i, t in rows)
+    texts = {t for _, t in order}
+    df = Counter(w for t in texts for w in {x.lower() for x in t.split()})
+    known = sorted(w for w, n in df.items() if n >= imatch.LOW * len(texts))
+    code = {r["w"]: r["c"] for r in spark.createDataFrame([(w,) for w in known], "w string").select("w", F.hash("w").alias("c")).collect()}
+    band = {w for w in known if df[w] <= max(imatch.HIGH * len(texts), 1)}
+
+    def prints(t):
+        words = {x.lower() for x in t.split()} & code.keys()
+        every, narrow = {code[w] for w in words}, {code[w] for w in words & band}
+        common = len(narrow) * imatch.SPARSE < len(every)
+        wide, own = brute_fingerprint(every, t), brute_fingerprint(narrow, t)
+        return common, wide[0], own[0], (wide if common else own)[1]
+
+    def like(x, y):
+        if x[3] == y[3]:
+            return 1.0
+        a, b = (x[1], y[1]) if x[0] or y[0] else (x[2], y[2])
+        both = [p == q for p, q in zip(a, b, strict=False) if p or q] if a and b else []
+        return sum(both) / len(both) if both else 0.0
+
+    want = []
+    for k, (i, t) in enumerate(order):
+        q, following = len(t) // 4, order[(k + 1) % len(order)][1]
+        one, new, after = prints(t), prints(t[: len(t) - q] + following[:q]), prints(following)
+        want.append((i, one[3], new[3], round(like(one, new), 9), round(like(one, after), 9)))
+    assert sorted((r["doc_id"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in got) == sorted(want)
+
+
 def test_edited_texts_are_nearer_than_next_ones(spark):
     rows = [(i * i, " ".join(f"{w}{i // 2}" for w in dict.fromkeys(prose(300, 17 * i).split()))) for i in range(40)]
     got = imatch.fingerprint_pairs(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
