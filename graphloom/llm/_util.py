@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 #: Longs in the bitmap of a sieve: 16 MB as rows.
 SIEVE_WORDS = 1 << 20
-#: Edges of one node from which its edges are kept apart from the shuffle by node.
-HUB = 20_000
+#: Up to so many edges, a row for each node (at most twice as many, 24 bytes each, 24 MB) is broadcast.
+BROADCAST_EDGES = 500_000
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -86,20 +86,22 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     edges: columns u, v of one comparable type; repeats and loops are allowed.
     Returns (node, root): root is the smallest node of its component. Nodes without
-    an edge to another node don't appear. Every step is an aggregation with map-side
-    partials and a join on the node, so no node's neighbourhood is ever gathered in
-    one place; rounds are checkpointed, and the driver sees a count and a checksum only.
+    an edge to another node don't appear. Least neighbours are aggregated with map-side partials. They meet the
+    edges by broadcast while edges are few; beyond that they are checkpointed first, so that the join reads two plain
+    shuffles and Spark splits the edges of a hub among tasks. Rounds are checkpointed, and the driver sees a count
+    and a checksum only.
     """
     e = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _state(e)
     for _ in range(max_rounds):
         if before[0] == 0:
             break
+        ready = F.broadcast if before[0] <= BROADCAST_EDGES else cut
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        low = ready(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.unionByName(low.filter("m < u").select("u", F.col("m").alias("v"))).distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        low2 = ready(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low2, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e2 = cut(small.unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
         after = _state(e2)

@@ -10,9 +10,11 @@ The slices then go through pair merging, cached by slice.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 import heapq
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +36,7 @@ SHORT, LONG = "stmd", ("re", "ve", "ll")
 
 SENTINEL = 0x110000
 BLOCK, COLUMNS = 1 << 20, 256
-CACHE = 600_000
+CACHE = 400_000
 
 
 @functools.lru_cache(maxsize=1)
@@ -269,6 +271,7 @@ class ByteBPE:
         self.classes = np.frombuffer(zlib.decompress(classes), dtype=np.uint8)
         self.merger = Merger(self.ranks)
         self.tokens = {i: t for t, i in self.ranks.items()}
+        self.decoded: dict[bytes, bytes] = {}
 
     def pieces(self, texts: list[str]) -> list[tuple[list[int], list[str]]]:
         """Starts and slices of each text's pieces."""
@@ -300,6 +303,18 @@ class ByteBPE:
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
+    def decode_pieces(self, ids: bytes, tokens: list[int]) -> list[bytes]:
+        """The bytes of each piece of ids, whose pieces begin at the tokens of these numbers; a piece seen before is looked up."""
+        out, known = [], self.decoded
+        for a, b in itertools.pairwise([*tokens, len(ids) >> 2]):
+            own = ids[4 * a : 4 * b]
+            if (text := known.get(own)) is None:
+                if len(known) >= CACHE:
+                    known.clear()
+                text = known[own] = self.decode(own)
+            out.append(text)
+        return out
+
 
 _coders: dict[str, ByteBPE] = {}
 
@@ -335,22 +350,37 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return given.mapInArrow(run, f"id {kind}, ids array<int>, piece_starts array<int>, piece_tokens array<int>")
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """id and text (bytes that aren't UTF-8 become replacement characters) of id and ids."""
+def decode(encoded: DataFrame, path: str, start: int = 0, end: int | None = None) -> DataFrame:
+    """id and text of the rows of `encode`, or of the codepoints from start to end of each text.
+
+    The offsets kept by encode name the pieces that hold the codepoints asked for; only their ids are decoded.
+    Bytes that aren't UTF-8 become replacement characters. Null ids or offsets count as empty.
+    """
     classes = class_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, classes)
         for batch in batches:
-            texts = [coder.decode(np.array(x or [], dtype="<u4").tobytes()).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
+            texts = []
+            for ids, starts, tokens in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                ids, starts, tokens = ids or [], starts or [], tokens or []
+                a = max(0, bisect.bisect_right(starts, start) - 1)
+                b = len(starts) if end is None else bisect.bisect_left(starts, end)
+                own = tokens[a:b]
+                stop = tokens[b] if b < len(tokens) else len(ids)
+                first = own[0] if own else stop
+                raw = np.array(ids[first:stop], dtype="<u4").tobytes()
+                text = b"".join(coder.decode_pieces(raw, [t - first for t in own])).decode("utf-8", "replace") if own else ""
+                base = starts[a] if own else start
+                texts.append(text[max(0, start - base) : None if end is None else max(0, end - base)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
-    given = encoded.select("id", "ids")
+    given = encoded.select("id", "ids", "piece_starts", "piece_tokens")
     return given.mapInArrow(run, f"id {given.schema['id'].dataType.simpleString()}, text string")
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again and digests both, in one pass."""
+    """id, n_tokens, ids_sha256, decoded_sha256: encodes, decodes the ids again by the pieces' offsets and digests both, in one pass."""
     classes = class_table()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,10 +388,10 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             n, ids, decoded = [], [], []
             for pieces, _ in coder.encode([t or "" for t in batch.column(1).to_pylist()]):
-                encoded = b"".join(pieces)
+                encoded, tokens = b"".join(pieces), list(itertools.accumulate((len(x) >> 2 for x in pieces[:-1]), initial=0)) if pieces else []
                 n.append(len(encoded) // 4)
                 ids.append(hashlib.sha256(encoded).hexdigest())
-                decoded.append(hashlib.sha256(coder.decode(encoded)).hexdigest())
+                decoded.append(hashlib.sha256(b"".join(coder.decode_pieces(encoded, tokens))).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                                              names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

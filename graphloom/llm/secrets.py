@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import cut
+from graphloom.llm._util import beside, cut
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ RULES = BASE + ADDED
 SPAN = "struct<start:int,kind:int,end:int>"
 #: Strings that an alternation may expand to before the query is cut at that place.
 MOST_STRINGS = 64
-#: Up to so many rows (a 64-character key and a few spans each, under 64 MB together) are broadcast; more are joined by key.
+#: Up to so many rows (a 64-character key each) and spans together (under 64 MB) are broadcast; more are joined by key.
 BROADCAST_ROWS = 200_000
 
 
@@ -209,9 +209,8 @@ def find(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
             found = F.concat(found, F.when(F.array_contains("rules", i), matches(F.col("text"), r, rules.index(r))).otherwise(none))
         verified = keyed.join(picked, F.col("key") == F.col("k")).select("key", found.alias("found")).filter(F.size("found") > 0)
         verified = cut(verified.groupBy("key").agg(F.max("found").alias("__found")).withColumnRenamed("key", "__k"))
-        if verified.count() <= BROADCAST_ROWS:
-            verified = F.broadcast(verified)
-        out = out.join(verified, F.col("__key") == F.col("__k"), "left").withColumn("__every", F.concat("__every", F.coalesce("__found", F.array().cast(f"array<{SPAN}>"))))
+        held = verified.agg(F.count("*"), F.sum(F.size("__found"))).first()
+        out = beside(out, "__key", verified, "__k", held[0] + (held[1] or 0) <= BROADCAST_ROWS).withColumn("__every", F.concat("__every", F.coalesce("__found", F.array().cast(f"array<{SPAN}>"))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != out_col], F.array_sort("__every").alias(out_col))
 
 

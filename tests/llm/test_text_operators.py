@@ -52,6 +52,9 @@ def test_byte_bpe_frames(docs, no_docs):
     encoded = byte_bpe.encode(docs, RANKS)
     back = sorted((r["id"] or 0, r["text"]) for r in byte_bpe.decode(encoded, RANKS).collect())
     assert back == sorted((i or 0, t or "") for i, t, *_ in ROWS)
+    for start, end in ((0, 3), (5, 9), (7, None), (400, 900), (3, 3)):
+        part = sorted((r["id"] or 0, r["text"]) for r in byte_bpe.decode(encoded, RANKS, start, end).collect())
+        assert part == sorted((i or 0, (t or "")[start:end]) for i, t, *_ in ROWS)
     digests = byte_bpe.digests(docs, RANKS).collect()
     assert sorted(r["decoded_sha256"] for r in digests) == sorted(hashlib.sha256((t or "").encode()).hexdigest() for _, t, *_ in ROWS)
     assert byte_bpe.digests(no_docs, RANKS).count() == byte_bpe.encode(no_docs, RANKS).count() == 0
