@@ -96,14 +96,23 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        ready = F.broadcast if before[0] <= BROADCAST_EDGES else cut
+        few = before[0] <= BROADCAST_EDGES
+
+        def kept(df: DataFrame) -> DataFrame:
+            """While edges are few, in as many partitions as they need, whatever the width of a shuffle."""
+            return df.coalesce(1 + before[0] // 50_000) if few else df
+
+        def ready(df: DataFrame) -> DataFrame:
+            return F.broadcast(kept(df)) if few else cut(df)
+
+        e = kept(e)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = ready(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.unionByName(low.filter("m < u").select("u", F.col("m").alias("v"))).distinct()
+        large = kept(large.unionByName(low.filter("m < u").select("u", F.col("m").alias("v"))).distinct())
         low2 = ready(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low2, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e2 = cut(small.unionByName(low2.select("u", F.col("m").alias("v"))).distinct())
+        e2 = cut(kept(small.unionByName(low2.select("u", F.col("m").alias("v"))).distinct()))
         after = _state(e2)
         e, done, before = e2, after == before, after
         if done:
