@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,14 +21,15 @@ def session_of(df: DataFrame) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise `df` in the reliable checkpoint folder and cut its lineage.
 
-    The folder is the one the cluster names in spark.checkpoint.dir, or that the session has set.
+    The folder is the one the cluster names in spark.checkpoint.dir, or that the session has set; a temporary
+    one only on a single machine where neither is.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None and not sc.master.startswith("local"):
+        if folder is None and not (sc.master.startswith("local") and "cluster" not in sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(folder or "spark-warehouse/checkpoints")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="graphloom-"))
     return df.checkpoint(eager=True)
 
 
