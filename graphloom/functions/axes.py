@@ -147,9 +147,19 @@ def is_elf(content: Column, name: Column) -> Column:
     return (F.hex(F.substring(content, 1, 4)) == "7F454C46") & ~F.endswith(name, F.lit(".debug"))
 
 
+# What a tool's output holds, and the name that stands for it, first match first.
+ARCHITECTURES = [("x86-64", "x86_64"), ("ARM", "ARM"), ("aarch64", "ARM64")]
+COMPILERS = [("GCC:", "GCC"), ("clang", "Clang"), ("Microsoft", "MSVC")]
+LEVELS = "-O[0123s]"
+UNKNOWN = "Unknown"
+
+
+def named_by(text: Column, marks: list[tuple[str, str]]) -> Column:
+    """The name of the first mark in the list that the text holds."""
+    return F.coalesce(*[F.when(F.contains(text, F.lit(mark)), F.lit(name)) for mark, name in marks], F.lit(UNKNOWN))
+
+
 def toolchain(file_output: Column, strings_output: Column) -> Column:
     """struct(architecture, compiler, optimization) guessed from the output of file and strings."""
-    arch = F.when(F.contains(file_output, F.lit("x86-64")), "x86_64").when(F.contains(file_output, F.lit("ARM")), "ARM").when(F.contains(file_output, F.lit("aarch64")), "ARM64").otherwise("Unknown")
-    comp = F.when(F.contains(strings_output, F.lit("GCC:")), "GCC").when(F.contains(strings_output, F.lit("clang")), "Clang").when(F.contains(strings_output, F.lit("Microsoft")), "MSVC").otherwise("Unknown")
-    level = F.regexp_extract(strings_output, "-O[0123s]", 0)
-    return F.struct(arch.alias("architecture"), comp.alias("compiler"), F.when(level == "", "Unknown").otherwise(level).alias("optimization"))
+    level = F.coalesce(F.nullif(F.regexp_extract(strings_output, LEVELS, 0), F.lit("")), F.lit(UNKNOWN))
+    return F.struct(named_by(file_output, ARCHITECTURES).alias("architecture"), named_by(strings_output, COMPILERS).alias("compiler"), level.alias("optimization"))

@@ -1,4 +1,4 @@
-"""Corpus statistics over three tables: binaries, phase1_files, phase3_files. All are plain SQL."""
+"""Corpus statistics: sizes of artifacts beside those of the units they come from, along any axes."""
 
 from __future__ import annotations
 
@@ -6,34 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _ratio(axis: str) -> str:
-    return f"""
-SELECT b.{axis}, count(*) AS n, avg(CAST(p.size_bytes AS DOUBLE) / b.raw_size) AS avg_strings_ratio
-FROM {{binaries}} b JOIN {{phase1_files}} p ON p.binary_id = b.id AND p.kind = 'strings_bin'
-WHERE b.raw_size > 0 GROUP BY b.{axis}"""
+def share_by(units: DataFrame, artifacts: DataFrame, axes: list[str], unit: str, of: str, whole: str, part: str) -> DataFrame:
+    """(axes, files, mean_share): mean of part / whole over the artifacts, by axes of their units.
+
+    units: unit, whole and the axes; artifacts: of (their unit) and part, of the kind asked for. Units whose size is
+    null or not positive have no share and are left out, as are artifacts without a unit.
+    """
+    sized = units.filter(F.col(whole) > 0).select(F.col(unit).alias("__unit"), F.col(whole).alias("__whole"), *axes)
+    shares = artifacts.select(F.col(of).alias("__of"), F.col(part).cast("double").alias("__part")).join(sized, F.col("__of") == F.col("__unit"))
+    return shares.groupBy(*axes).agg(F.count("*").alias("files"), F.avg(F.col("__part") / F.col("__whole")).alias("mean_share"))
 
 
-STRINGS_RATIO_BY_FAMILY, STRINGS_RATIO_BY_ISA = _ratio("isa_family"), _ratio("isa_exact")
+def sums_by_kind(files: DataFrame, key: str, kind: str, size: str, apart: list[str]) -> DataFrame:
+    """(key, a column for each kind set apart, rest, total): sizes summed in one pass; a kind without files has 0."""
+    of = [F.sum(F.when(F.col(kind) == k, F.col(size)).otherwise(0)).alias(k) for k in apart]
+    rest = F.sum(F.when(F.coalesce(F.col(kind).isin(apart), F.lit(False)), 0).otherwise(F.col(size))).alias("rest")
+    return files.groupBy(key).agg(*of, rest, F.sum(size).alias("total"))
 
-RAW_AGAINST_PHASE3 = """
-SELECT coalesce(r.program, p.program) AS program, r.n_variants_with_raw, r.n_variants, r.raw_total, p.data_bin, p.other, p.phase3_total,
-       CASE WHEN r.raw_total > 0 THEN CAST(p.phase3_total AS DOUBLE) / r.raw_total END AS phase3_over_raw
-FROM (SELECT program, count(raw_size) AS n_variants_with_raw, count(*) AS n_variants, CAST(sum(raw_size) AS BIGINT) AS raw_total FROM {binaries} GROUP BY program) r
-FULL OUTER JOIN (SELECT program, CAST(sum(CASE WHEN kind = 'data_bin' THEN size_bytes ELSE 0 END) AS BIGINT) AS data_bin,
-                        CAST(sum(CASE WHEN kind = 'data_bin' THEN 0 ELSE size_bytes END) AS BIGINT) AS other, CAST(sum(size_bytes) AS BIGINT) AS phase3_total
-                 FROM {phase3_files} GROUP BY program) p ON p.program = r.program"""
 
-VOCAB_BY_COMPILER = """
-SELECT comp, optim_level, count(*) AS n, avg(vocab_size) AS avg_vocab_size FROM {binaries}
-WHERE vocab_size IS NOT NULL GROUP BY comp, optim_level"""
+def against(units: DataFrame, built: DataFrame, key: str, whole: str) -> DataFrame:
+    """Sizes of the units of each key beside what was built of them (columns of sums_by_kind); keys of one side stay.
 
-QUERIES = {"strings_ratio_by_family": STRINGS_RATIO_BY_FAMILY, "strings_ratio_by_isa": STRINGS_RATIO_BY_ISA, "raw_against_phase3": RAW_AGAINST_PHASE3, "vocab_by_compiler": VOCAB_BY_COMPILER}
+    units, known and whole_total: how many units there are, of how many the size is known, and their sum. growth: total
+    over whole_total, null where nothing is known.
+    """
+    sources = units.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("units"), F.count(whole).alias("known"), F.sum(whole).alias("whole_total"))
+    both = sources.join(built, F.col("__key") == F.col(key), "full_outer").withColumn(key, F.coalesce(F.col("__key"), F.col(key))).drop("__key")
+    return both.withColumn("growth", F.when(F.col("whole_total") > 0, F.col("total") / F.col("whole_total")))
 
 
-def run(sql: str, **tables: DataFrame) -> DataFrame:
-    session = next(iter(tables.values())).sparkSession
-    used = {k: v for k, v in tables.items() if f"{{{k}}}" in sql}
-    return session.sql(sql, **used)
+def mean_by(rows: DataFrame, axes: list[str], value: str) -> DataFrame:
+    """(axes, known, mean) of the rows whose value is known."""
+    return rows.filter(F.col(value).isNotNull()).groupBy(*axes).agg(F.count("*").alias("known"), F.avg(value).alias("mean"))
 
 
 def pair_sizes(artifacts: DataFrame, sources: DataFrame) -> DataFrame:

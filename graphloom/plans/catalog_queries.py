@@ -611,14 +611,31 @@ PHASE1 = "SELECT l_partkey AS binary_id, CASE WHEN l_linenumber % 2 = 0 THEN 'st
 PHASE3 = "SELECT CASE WHEN l_partkey % 10 = 0 THEN concat('only', CAST(l_partkey % 7 AS STRING)) ELSE p_brand END AS program, CASE WHEN l_returnflag = 'A' THEN 'data_bin' ELSE 'sections_bin' END AS kind, CAST(l_quantity AS BIGINT) AS size_bytes FROM {lineitem} JOIN {part} ON p_partkey = l_partkey"
 
 
-def _stats_sql(sql: str) -> str:
-    return sql.replace("{binaries}", f"({BINARIES})").replace("{phase1_files}", f"({PHASE1})").replace("{phase3_files}", f"({PHASE3})")
+def _share_sql(axis: str) -> str:
+    return f"""WITH known AS (SELECT id, {axis}, raw_size FROM ({BINARIES}) WHERE raw_size > 0),
+  texts AS (SELECT binary_id, size_bytes FROM ({PHASE1}) WHERE kind = 'strings_bin')
+SELECT {axis}, count(*) AS files, avg(size_bytes / raw_size) AS mean_share FROM texts, known WHERE id = binary_id GROUP BY ALL"""
 
 
-for _name, _sql in stats.QUERIES.items():
-    @query({"strings_ratio_by_family": "c12_", "strings_ratio_by_isa": "d15_", "raw_against_phase3": "c13_", "vocab_by_compiler": "d15b_"}[_name] + _name, _stats_sql(_sql))
-    def _(spark, d, sql=_sql):
-        return stats.run(sql, binaries=base(spark, d, BINARIES), phase1_files=base(spark, d, PHASE1), phase3_files=base(spark, d, PHASE3))
+for _name, _axis in (("c12_strings_ratio_by_family", "isa_family"), ("d15_strings_ratio_by_isa", "isa_exact")):
+    @query(_name, _share_sql(_axis))
+    def _(spark, d, axis=_axis):
+        texts = base(spark, d, PHASE1).filter("kind = 'strings_bin'")
+        return stats.share_by(base(spark, d, BINARIES), texts, [axis], "id", "binary_id", "raw_size", "size_bytes")
+
+
+@query("c13_raw_against_phase3", f"""WITH units AS ({BINARIES}), files AS ({PHASE3}), programs AS (SELECT program FROM units UNION SELECT program FROM files)
+SELECT program, u.n AS units, u.known, u.bytes AS whole_total, f.data AS data_bin, f.bytes - f.data AS rest, f.bytes AS total, CASE WHEN u.bytes > 0 THEN f.bytes / u.bytes END AS growth
+FROM programs LEFT JOIN (SELECT program, count(*) AS n, count(raw_size) AS known, CAST(sum(raw_size) AS BIGINT) AS bytes FROM units GROUP BY program) u USING (program)
+LEFT JOIN (SELECT program, CAST(sum(size_bytes) AS BIGINT) AS bytes, CAST(coalesce(sum(size_bytes) FILTER (kind = 'data_bin'), 0) AS BIGINT) AS data FROM files GROUP BY program) f USING (program)""")
+def _(spark, d):
+    built = stats.sums_by_kind(base(spark, d, PHASE3), "program", "kind", "size_bytes", ["data_bin"])
+    return stats.against(base(spark, d, BINARIES), built, "program", "raw_size")
+
+
+@query("d15b_vocab_by_compiler", f"SELECT comp, optim_level, count(vocab_size) AS known, avg(vocab_size) AS mean FROM ({BINARIES}) GROUP BY ALL HAVING known > 0")
+def _(spark, d):
+    return stats.mean_by(base(spark, d, BINARIES), ["comp", "optim_level"], "vocab_size")
 
 
 @query("c14_two_candidate_join", """WITH a AS (SELECT concat('c', CAST(o_custkey AS STRING)) AS parent, concat('n', CAST(o_orderkey % 200 AS STRING)) AS stem, CAST(o_orderkey AS STRING) AS path, CAST(floor(o_totalprice) AS BIGINT) AS size_bytes FROM {orders}),
