@@ -44,16 +44,22 @@ def natural_sort(rows: DataFrame, columns: list[str], within: list[str] | None =
     return rows.withColumn(place, F.row_number().over(W.partitionBy(*(within or [F.lit(0)])).orderBy(*keys)) - 1)
 
 
+def group_leaves(variants: DataFrame, grouping: list[str], rest: list[str], leaf: str) -> DataFrame:
+    """(grouping, place, leaf): every leaf of every group as a row, numbered in the order of the remaining axes."""
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("?")).alias(c) for c in grouping]
+    order = F.struct(*[natural_key(F.coalesce(F.col(c).cast("string"), F.lit("￿"))).alias(f"k{i}") for i, c in enumerate(rest)], F.col(leaf).alias("leaf"))
+    rows = variants.select(*keys, order.alias("o"))
+    return rows.select(*grouping, (F.row_number().over(W.partitionBy(*grouping).orderBy("o")) - 1).alias("place"), F.col("o.leaf").alias("leaf"))
+
+
 def group_tree(variants: DataFrame, grouping: list[str], rest: list[str], leaf: str, most: int = 100_000) -> DataFrame:
     """One row per group: its values, size and leaves in the order of the remaining axes.
 
     A group's leaves are listed for people to read; of larger groups the first `most` are, and the size counts all.
+    group_leaves has all of them as rows.
     """
-    keys = [F.coalesce(F.col(c).cast("string"), F.lit("?")).alias(c) for c in grouping]
-    rows = variants.select(*keys, F.struct(*[natural_key(F.coalesce(F.col(c).cast("string"), F.lit("￿"))).alias(f"k{i}") for i, c in enumerate(rest)], F.col(leaf).alias("leaf")).alias("o"))
-    ranked = rows.withColumn("__n", F.row_number().over(W.partitionBy(*grouping).orderBy("o")))
-    leaves = F.transform(F.array_sort(F.collect_list(F.when(F.col("__n") <= most, F.col("o")))), lambda x: x["leaf"])
-    return ranked.groupBy(*grouping).agg(F.count("*").alias("n"), leaves.alias("leaves"))
+    listed = F.collect_list(F.when(F.col("place") < most, F.struct("place", "leaf")))
+    return group_leaves(variants, grouping, rest, leaf).groupBy(*grouping).agg(F.count("*").alias("n"), F.transform(F.array_sort(listed), lambda x: x["leaf"]).alias("leaves"))
 
 
 def metadata_keys(rows: DataFrame, extra: str = "extra") -> DataFrame:

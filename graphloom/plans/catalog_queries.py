@@ -705,6 +705,11 @@ def _(spark, d):
     return inspect.group_tree(base(spark, d, PARTS), ["p_brand", "p_size"], ["p_type"], "p_partkey").withColumn("leaves", F.array_join("leaves", ","))
 
 
+@query("m18b_group_leaves", f"SELECT p_brand, coalesce(CAST(p_size AS STRING), '?') AS p_size, CAST(row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_type, p_partkey) - 1 AS INTEGER) AS place, p_partkey AS leaf FROM ({PARTS})")
+def _(spark, d):
+    return inspect.group_leaves(base(spark, d, PARTS), ["p_brand", "p_size"], ["p_type"], "p_partkey")
+
+
 @query("g7_axis_values", f"SELECT DISTINCT 'p_brand' AS axis, p_brand AS value FROM ({PARTS}) UNION SELECT DISTINCT 'p_size', coalesce(CAST(p_size AS STRING), '?') FROM ({PARTS})")
 def _(spark, d):
     return inspect.axis_values(base(spark, d, PARTS), ["p_brand", "p_size"])
@@ -884,11 +889,15 @@ def _(spark, d):
     return per.select("l_orderkey", "n_tokens", F.aggregate("per", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_insns"))
 
 
-@query("h28_block_texts", "SELECT doc_id, md5(array_to_string(string_split(text, ' ')[1:3], ' ')) AS first_block FROM {documents} WHERE len(string_split(text, ' ')) >= 3")
+@query("h28_block_texts", """SELECT doc_id, CASE WHEN len(w) > 8 THEN 3 WHEN len(w) > 3 THEN 2 ELSE 1 END AS n_blocks, md5(concat(array_to_string(w[1:3], ' '),
+  CASE WHEN len(w) > 3 THEN concat(chr(10), array_to_string(w[4:8], ' ')) ELSE '' END, CASE WHEN len(w) > 8 THEN concat(chr(10), array_to_string(w[9:], ' ')) ELSE '' END)) AS blocks_md5
+FROM (SELECT doc_id, string_split(text, ' ') AS w FROM {documents} WHERE text IS NOT NULL)""")
 def _(spark, d):
-    words = base(spark, d, "SELECT doc_id, split(text, ' ', -1) AS w FROM {documents}").filter("size(w) >= 3")
-    blocks = decode.split_blocks(F.col("w"), F.array(F.lit(3), F.size("w") - 3))
-    return words.select("doc_id", F.md5(F.get(blocks, F.lit(0))).alias("first_block"))
+    words = base(spark, d, "SELECT doc_id, split(text, ' ', -1) AS w FROM {documents} WHERE text IS NOT NULL")
+    n = F.size("w")
+    sizes = F.filter(F.array(F.least(n, F.lit(3)), F.least(n - 3, F.lit(5)), n - 8), lambda x: x > 0)
+    blocks = words.select("doc_id", decode.split_blocks(F.col("w"), sizes).alias("blocks"))
+    return blocks.select("doc_id", F.size("blocks").alias("n_blocks"), F.md5(F.array_join("blocks", "\n")).alias("blocks_md5"))
 
 
 @query("b18_broken_floats", f"""SELECT conv_id, string_agg(CAST(turn AS STRING), ',' ORDER BY turn) AS positions FROM (SELECT conv_id, turn, token, lead(token) OVER (PARTITION BY conv_id ORDER BY turn) AS following FROM ({STREAM})) WHERE token = 257 AND coalesce(following, 256) >= 256 GROUP BY conv_id""")
