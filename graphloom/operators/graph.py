@@ -43,6 +43,7 @@ def included(roots: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     in the order of (parent, slot).
     """
     rows = roots.groupBy("root").agg(F.countDistinct("lane").alias("n_lanes"))
+    edges = materialized(edges.select("section_id", "variant_idx", "called_idx", "callee_section", "callee_variant"))
     level = roots.select("root", "lane", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("ord"), F.col("root").alias("section_id"), "variant_idx", F.lit(-1).alias("via"))
     seen = roots.select("root", "lane", F.col("root").alias("section_id")).distinct()
     found = [level]
@@ -50,14 +51,13 @@ def included(roots: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
         step = level.select("root", "lane", F.col("ord").alias("parent"), "section_id", "variant_idx").join(edges, ["section_id", "variant_idx"]).select(
             "root", "lane", "parent", F.col("called_idx").alias("via"), F.col("callee_section").alias("section_id"), F.col("callee_variant").alias("variant_idx"))
         first = step.groupBy("root", "lane", "section_id").agg(F.min(F.struct("parent", "via", "variant_idx")).alias("f"))
-        first = materialized(first.select("root", "lane", "section_id", "f.parent", "f.via", "f.variant_idx"))
-        after = materialized(seen.unionByName(first.select("root", "lane", "section_id")).distinct())
-        common = after.groupBy("root", "section_id").agg(F.count("*").alias("n")).join(rows, "root").filter("n = n_lanes").select("root", "section_id")
-        fresh = first.join(seen, ["root", "lane", "section_id"], "left_anti").join(common, ["root", "section_id"], "left_anti")
+        met = materialized(first.join(seen, ["root", "lane", "section_id"], "left_anti").select("root", "lane", "section_id", "f.parent", "f.via", "f.variant_idx"))
+        seen = seen.unionByName(met.select("root", "lane", "section_id"))  # met pairs are new, so all stay distinct
+        common = seen.groupBy("root", "section_id").agg(F.count("*").alias("n")).join(rows, "root").filter("n = n_lanes").select("root", "section_id")
+        fresh = met.join(common, ["root", "section_id"], "left_anti")
         number = F.row_number().over(W.partitionBy("root", "lane").orderBy("parent", "via")).cast("long") - 1
         level = materialized(fresh.withColumn("ord", number).select("root", "lane", F.lit(depth).alias("depth"), "ord", "section_id", "variant_idx", "via"))
         found.append(level)
-        seen = after
     return reduce(DataFrame.unionByName, found)
 
 

@@ -329,10 +329,10 @@ def _(spark, d):
 
 # --- graph
 
-def levels_sql(depth: int, select: str) -> str:
-    """Once-only inclusion, unrolled."""
-    out = [f"WITH v AS MATERIALIZED ({VARS})", f"e AS MATERIALIZED ({EDGES})", "k AS (SELECT section_id AS root, count(*) AS n FROM v GROUP BY section_id)",
-           "l0 AS (SELECT section_id AS root, variant_idx AS lane, 0 AS depth, CAST(0 AS BIGINT) AS ord, section_id, variant_idx, -1 AS via FROM v)", "s0 AS (SELECT DISTINCT root, lane, root AS section_id FROM l0)"]
+def levels_sql(depth: int, select: str, start: str = "SELECT section_id AS root, variant_idx AS lane, variant_idx FROM v") -> str:
+    """Once-only inclusion from the rows of start, unrolled."""
+    out = [f"WITH v AS MATERIALIZED ({VARS})", f"e AS MATERIALIZED ({EDGES})", f"rows AS MATERIALIZED ({start})", "k AS (SELECT root, count(*) AS n FROM rows WHERE variant_idx IS NOT NULL GROUP BY root)",
+           "l0 AS (SELECT root, lane, 0 AS depth, CAST(0 AS BIGINT) AS ord, root AS section_id, variant_idx, -1 AS via FROM rows WHERE variant_idx IS NOT NULL)", "s0 AS (SELECT DISTINCT root, lane, root AS section_id FROM l0)"]
     for i in range(1, depth + 1):
         out.append(f"""f{i} AS MATERIALIZED (SELECT l.root, l.lane, l.ord AS parent, e.called_idx AS via, e.callee_section AS section_id, e.callee_variant AS variant_idx FROM l{i - 1} l JOIN e ON e.section_id = l.section_id AND e.variant_idx = l.variant_idx
   QUALIFY row_number() OVER (PARTITION BY l.root, l.lane, e.callee_section ORDER BY l.ord, e.called_idx, e.callee_variant) = 1)""")
@@ -371,7 +371,8 @@ def _(spark, d):
     return graph.spliced_lengths(nodes, base(spark, d, VARS).select("section_id", "variant_idx", "body_len"), [0, 1, 3])
 
 
-@query("i5_excluded_pool")
+@query("i5_excluded_pool", f"""SELECT root, lane, depth, section_id, variant_idx FROM ({levels_sql(2, "SELECT * FROM every WHERE lane < 2")})
+  ANTI JOIN ({levels_sql(2, "SELECT * FROM every", "SELECT section_id AS root, variant_idx AS lane, variant_idx FROM v WHERE variant_idx < 2")}) USING (root, lane, section_id)""")
 def _(spark, d):
     e = edges(spark, d)
     some = roots(spark, d).filter("lane < 2")
@@ -459,7 +460,9 @@ def _(spark, d):
     return decode.geometry(streams(spark, d)).filter("body_len > 0").select("conv_id", *[F.col(c).cast("long") for c in ("body_len", "id_count", "value_count")])
 
 
-@query("d10_category_distinct")
+@query("d10_category_distinct", f"""SELECT conv_id, id AS category, count(DISTINCT value) AS n_ids FROM (SELECT conv_id, unit, max(token) FILTER (token > 256) AS id, coalesce(sum(token * 256 ** back) FILTER (token < 256), 0) AS value FROM (
+  SELECT *, count(*) FILTER (token < 256) OVER (PARTITION BY conv_id, unit ORDER BY turn DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS back FROM (
+    SELECT *, sum(CASE WHEN token > 256 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS unit FROM ({STREAM}))) GROUP BY conv_id, unit) WHERE id IN (264, 268, 269, 270, 271) GROUP BY conv_id, id""")
 def _(spark, d):
     return decode.category_distinct(streams(spark, d), ["conv_id"])
 
@@ -825,7 +828,8 @@ def _(spark, d):
     return validate.compare_sources(o.filter("o_orderkey % 10 <> 0").withColumn("body", changed), o.filter("o_orderkey % 7 <> 0"), ["o_orderkey"])
 
 
-@query("n4_mismatch_positions")
+@query("n4_mismatch_positions", f"""SELECT a.conv_id, CAST(a.n AS INTEGER) AS position, a.token AS "left", b.token AS "right" FROM (SELECT conv_id, token, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM ({STREAM})) a
+  JOIN (SELECT conv_id, token, row_number() OVER (PARTITION BY conv_id ORDER BY token) - 1 AS n FROM ({STREAM})) b USING (conv_id, n) WHERE a.token <> b.token""")
 def _(spark, d):
     rows = streams(spark, d)
     return rows.select("conv_id", F.explode(validate.mismatch_positions(F.col("tokens"), F.sort_array("tokens"))).alias("m")).select("conv_id", "m.position", "m.left", "m.right")

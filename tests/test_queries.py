@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from graphloom.plans import batch_queries
 from graphloom.plans import catalog_queries as Q
 
 DATA = "/root/testdata/sf0.001"
@@ -42,6 +43,10 @@ def test_runs(spark, name):
     assert Q.QUERIES[name](spark, DATA).count() > 0
 
 
+def test_batch_queries_are_registered():
+    assert batch_queries.QUERIES is Q.QUERIES and "m6_batch_decode" in Q.ORACLE
+
+
 def test_entry(spark):
     import __spark_entry__
 
