@@ -88,3 +88,61 @@ def frequency_remap(uses: DataFrame, keys: list[str], token: str = "token") -> D
     counts = uses.groupBy(*keys, token).agg(F.count("*").alias("n"))
     by = W.partitionBy(*keys).orderBy(F.desc("n"), token)
     return counts.withColumn("rank", F.row_number().over(by) - 1)
+
+
+def saved_rows(vocabulary: DataFrame, types: DataFrame) -> DataFrame:
+    """(binary, cell, types, runs) of a vocabulary row: tokens behind the reserved ids in order, and their types as runs.
+
+    vocabulary: binary, local_id, token. types: token, type_id. A vocabulary has at most 65535 ids, so each is one row.
+    """
+    own = vocabulary.filter(F.col("local_id") >= RESERVED).join(types, "token", "left").withColumn("type_id", F.coalesce("type_id", F.lit(-1)))
+    by = W.partitionBy("binary").orderBy("local_id")
+    island = F.row_number().over(by) - F.row_number().over(W.partitionBy("binary", "type_id").orderBy("local_id"))
+    runs = own.withColumn("__g", island).groupBy("binary", "type_id", "__g").agg(F.min("local_id").alias("at"), F.count("*").alias("n"))
+    run = runs.groupBy("binary").agg(F.array_sort(F.collect_list(F.struct("at", "type_id", "n"))).alias("r"))
+    cells = own.groupBy("binary").agg(F.array_sort(F.collect_list(F.struct("local_id", "token"))).alias("t"))
+    return cells.join(run, "binary").select("binary", F.array_join(F.transform("t", lambda x: x["token"]), ",").alias("cell"), F.transform("r", lambda x: x["type_id"]).alias("types"), F.transform("r", lambda x: x["n"]).alias("runs"))
+
+
+def ids_of(tokens: DataFrame, unified: DataFrame, token: str = "token") -> DataFrame:
+    """tokens with unified_id; an unknown token is an error."""
+    missing = F.raise_error(F.concat(F.lit("unknown token "), F.coalesce(F.col(token), F.lit("null")))).cast("int")
+    return tokens.join(unified.withColumnRenamed("token", token), token, "left").withColumn("unified_id", F.coalesce("unified_id", missing))
+
+
+def tokens_of(ids: DataFrame, unified: DataFrame) -> DataFrame:
+    """ids with token; an id without one has null."""
+    return ids.join(unified, "unified_id", "left")
+
+
+def encode_records(records: DataFrame, unified: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ids): ids of each record's axis tokens, in order; an unknown token is an error. records: keys, tokens (array, a few)."""
+    rows = records.select(*keys, F.posexplode("tokens").alias("pos", "token"))
+    return ids_of(rows, unified).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "unified_id"))), lambda x: x["unified_id"]).alias("ids"))
+
+
+def decode_records(records: DataFrame, unified: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, tokens): the inverse of encode_records; an unknown id is an error."""
+    rows = tokens_of(records.select(*keys, F.posexplode("ids").alias("pos", "unified_id")), unified)
+    known = F.coalesce("token", F.raise_error(F.lit("unknown id")).cast("string"))
+    return rows.withColumn("token", known).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("tokens"))
+
+
+def cross_check(records: DataFrame, sources: DataFrame, unified: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, kind) of records whose tokens aren't those of the source, and of those that one side lacks."""
+    a = decode_records(records, unified, keys).select(*keys, F.col("tokens").alias("__a"))
+    b = sources.select(*keys, F.col("tokens").alias("__b"))
+    kind = F.when(F.col("__a").isNull(), "source_only").when(F.col("__b").isNull(), "record_only").when(F.col("__a") != F.col("__b"), "differs")
+    return a.join(b, keys, "full_outer").withColumn("kind", kind).filter("kind is not null").select(*keys, "kind")
+
+
+def gate_version(header: DataFrame, version: int, fingerprint: str) -> DataFrame:
+    """header (version, fingerprint), an error where one of them isn't as expected or is missing."""
+    good = F.coalesce((F.col("version") == version) & (F.col("fingerprint") == fingerprint), F.lit(False))
+    return header.filter(F.when(good, F.lit(True)).otherwise(F.raise_error(F.lit("vocabulary of another version")).cast("boolean")))
+
+
+def readable_axes(names: DataFrame, parsed: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows whose axes could be read, as axes, and the others as warnings. parsed: a struct with comp, null where unreadable."""
+    rows = names.withColumn("axes", parsed)
+    return rows.filter("axes.comp is not null"), rows.filter("axes.comp is null").drop("axes").withColumn("warning", F.lit("axes are not readable"))

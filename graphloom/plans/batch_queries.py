@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.operators import batch, decode, lengths, vocab
-from graphloom.plans.catalog_queries import CALLS, EDGES, ITEMS, LOCAL, QUERIES, SIZES, STREAM, TOTAL, UNIFIED, VARS, base, edges, levels_sql, query, streams, unified
+from graphloom.plans.catalog_queries import EDGES, ITEMS, LOCAL, QUERIES, SIZES, STREAM, TOTAL, UNIFIED, VARS, base, edges, levels_sql, query, streams, unified
+from graphloom.sources import catalog_tables
 
 # Body of each variant of a part: three ids a step, a carrier, its low digit, then a second digit, a sign or an instruction.
 STEPS = "(VALUES (0), (1), (2), (3), (4), (5)) AS g(i)"
@@ -25,8 +27,6 @@ def bodies(spark, d):
 
 
 def targets(spark, d):
-    from pyspark.sql import Window as W
-
     place = F.row_number().over(W.partitionBy("section_id", "variant_idx").orderBy("called_idx")) - 1
     return edges(spark, d).select("section_id", "variant_idx", F.lit(9).alias("category"), place.alias("place"), F.col("callee_section").alias("fid"))
 
@@ -131,3 +131,84 @@ def _(spark, d):
 @query("b8_eligible_sections", f"SELECT section_id, length FROM ({LENGTHS}) WHERE length BETWEEN 1 AND 6")
 def _(spark, d):
     return lengths.in_band(base(spark, d, LENGTHS), 0, 6)
+
+
+WORDS_OF = "SELECT p_partkey, string_split(p_name, ' ') AS tokens FROM {part}"
+WORD_IDS = "SELECT token, CAST(row_number() OVER (ORDER BY token) + 271 AS INTEGER) AS unified_id FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS token FROM {part})"
+
+
+def words_and_ids(spark, d):
+    records = base(spark, d, "SELECT p_partkey, split(p_name, ' ') AS tokens FROM {part}")
+    words = records.select(F.explode("tokens").alias("token")).withColumn("file_ord", F.lit(0)).withColumn("local_id", F.lit(0)).distinct()
+    ordered = words.select("token", F.lit(0).alias("axis_ord"))
+    return records, vocab.unify(words.limit(0), ordered)
+
+
+@query("h5_axis_records", f"SELECT p_partkey, string_agg(CAST(unified_id AS VARCHAR), ',' ORDER BY pos) AS ids FROM (SELECT p_partkey, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM ({WORDS_OF})) JOIN ({WORD_IDS}) USING (token) GROUP BY p_partkey")
+def _(spark, d):
+    records, ids = words_and_ids(spark, d)
+    return vocab.encode_records(records, ids, ["p_partkey"]).select("p_partkey", F.array_join("ids", ",").alias("ids"))
+
+
+@query("h18_tokens_of_ids", f"SELECT k.unified_id, w.token FROM (SELECT DISTINCT CAST(270 + p_partkey % 30 AS INTEGER) AS unified_id FROM {{part}}) k LEFT JOIN ({WORD_IDS}) w USING (unified_id)")
+def _(spark, d):
+    _, ids = words_and_ids(spark, d)
+    return vocab.tokens_of(base(spark, d, "SELECT DISTINCT CAST(270 + p_partkey % 30 AS INT) AS unified_id FROM {part}"), ids)
+
+
+@query("n3_variant_cross_check", "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'source_only' WHEN p_partkey % 7 = 0 THEN 'record_only' ELSE 'differs' END AS kind FROM {part} WHERE (p_partkey % 5 = 0) <> (p_partkey % 7 = 0) OR (p_partkey % 11 = 0 AND p_partkey % 5 <> 0 AND p_partkey % 7 <> 0)")
+def _(spark, d):
+    records, ids = words_and_ids(spark, d)
+    encoded = vocab.encode_records(records, ids, ["p_partkey"]).filter("p_partkey % 5 <> 0")
+    sources = records.filter("p_partkey % 7 <> 0").withColumn("tokens", F.when(F.col("p_partkey") % 11 == 0, F.concat("tokens", F.array(F.lit("x")))).otherwise(F.col("tokens")))
+    return vocab.cross_check(encoded, sources, ids, ["p_partkey"])
+
+
+@query("a9_saved_vocab", """WITH own AS (SELECT user_id AS b, event_id, concat(event_type, event_id) AS token, length(event_type) AS type_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM {events}),
+  g AS (SELECT *, n - row_number() OVER (PARTITION BY b, type_id ORDER BY n) AS island FROM own),
+  r AS (SELECT b, string_agg(type_id || 'x' || c, ',' ORDER BY least_n) AS runs FROM (SELECT b, type_id, island, min(n) AS least_n, count(*) AS c FROM g GROUP BY ALL) GROUP BY b)
+  SELECT b AS binary, string_agg(token, ',' ORDER BY n) AS cell, any_value(runs) AS runs FROM own JOIN r USING (b) GROUP BY b""")
+def _(spark, d):
+    own = base(spark, d, "SELECT user_id AS binary, event_id, concat(event_type, event_id) AS token, length(event_type) AS type_id FROM {events}")
+    local = own.select("binary", "token", (F.row_number().over(W.partitionBy("binary").orderBy("event_id")) + 256).alias("local_id"))
+    reserved = own.select("binary", F.lit("reserved").alias("token"), F.lit(7).alias("local_id")).distinct()
+    saved = vocab.saved_rows(local.unionByName(reserved), own.select("token", "type_id").distinct())
+    return saved.select("binary", "cell", F.array_join(F.zip_with("types", "runs", lambda t, n: F.concat(t.cast("string"), F.lit("x"), n.cast("string"))), ",").alias("runs"))
+
+
+@query("m13_collection", "SELECT s.program, t.mode, t.depth, i.program IS NOT NULL AS has_index FROM (SELECT DISTINCT p_brand AS program FROM {part}) s CROSS JOIN (VALUES ('max', 0), ('p50', 2)) t(mode, depth) LEFT JOIN (SELECT DISTINCT p_brand AS program, CASE WHEN p_size % 2 = 0 THEN 'max' ELSE 'p50' END AS mode, CAST(p_size % 4 AS INTEGER) AS depth FROM {part} WHERE p_size < 3) i ON i.program = s.program AND i.mode = t.mode AND i.depth = t.depth")
+def _(spark, d):
+    indexes = base(spark, d, "SELECT p_brand AS program, CASE WHEN p_size % 2 = 0 THEN 'max' ELSE 'p50' END AS mode, CAST(p_size % 4 AS INT) AS depth FROM {part} WHERE p_size < 3")
+    return catalog_tables.collection(base(spark, d, "SELECT p_brand AS program FROM {part}"), indexes, [("max", 0), ("p50", 2)], "keep")
+
+
+@query("a30_discovered_programs", "SELECT DISTINCT p_brand AS program FROM {part} WHERE p_brand IN ('Brand#11', 'Brand#23', 'Brand#31', 'Brand#44') ORDER BY program LIMIT 3")
+def _(spark, d):
+    return catalog_tables.discover(base(spark, d, "SELECT p_brand AS program FROM {part}"), ["Brand#44", "Brand#23", "Brand#11", "Brand#31"], 3)
+
+
+@query("m16_function_by_name", f"SELECT o_orderkey AS section_id, l_linenumber AS variant_idx, l_partkey AS body_id FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' AND o_custkey % 50 = 7")
+def _(spark, d):
+    sections = base(spark, d, "SELECT o_orderpriority AS program, o_orderkey AS section_id, concat('f', CAST(o_custkey % 50 AS STRING)) AS func_name FROM {orders}")
+    variants = base(spark, d, "SELECT o_orderpriority AS program, l_orderkey AS section_id, l_linenumber AS variant_idx, l_partkey AS body_id FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey")
+    return catalog_tables.function_by_name(sections, variants, "1-URGENT", "f7").select("section_id", "variant_idx", "body_id")
+
+
+@query("d24_float_inventory", "SELECT l_returnflag, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_found FROM (SELECT l_returnflag, l_suppkey, count(*) FILTER (l_quantity > 45) AS n FROM {lineitem} GROUP BY ALL) WHERE n > 0 GROUP BY l_returnflag")
+def _(spark, d):
+    return catalog_tables.files_with(base(spark, d, "SELECT l_returnflag, l_suppkey, l_quantity FROM {lineitem}"), "l_returnflag", "l_suppkey", (F.col("l_quantity") > 45).cast("long"))
+
+
+@query("f9_report_rows", f"SELECT * FROM ({SECTIONS}) ORDER BY section_id LIMIT 10")
+def _(spark, d):
+    return catalog_tables.report_rows(base(spark, d, f"SELECT DISTINCT section_id FROM ({VARS})"), ["section_id"])
+
+
+@query("a13_records", "SELECT conv_id, n, kind FROM (SELECT conv_id, count(*) AS n, CASE WHEN conv_id % 3 = 0 THEN 'uneven' ELSE 'record' END AS kind FROM {conversations} GROUP BY conv_id)")
+def _(spark, d):
+    rows = base(spark, d, "SELECT conv_id, count(*) AS n FROM {conversations} GROUP BY conv_id")
+    parsed = rows.select(F.lit("b").alias("binary"), F.col("conv_id").cast("string").alias("func_name"), F.array_repeat(F.lit(272), F.col("n").cast("int")).alias("tokens"),
+                         F.array(F.col("n") + F.when(F.col("conv_id") % 3 == 0, 1).otherwise(0)).alias("block_rl"), F.array_repeat(F.lit(1), F.col("n").cast("int")).alias("insn_rl"))
+    good, bad = catalog_tables.assemble_records(parsed)
+    found = good.select("func_name", F.lit("record").alias("kind")).unionByName(bad.select("func_name", F.col("reason").alias("kind")))
+    return rows.join(found, F.col("func_name") == F.col("conv_id").cast("string")).select("conv_id", "n", "kind")
