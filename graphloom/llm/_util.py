@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 SIEVE_WORDS = 1 << 20
 #: Up to so many edges, a row for each node (at most twice as many, 24 bytes each, 24 MB) is broadcast.
 BROADCAST_EDGES = 500_000
+#: Numbers in a block of summed(), blocks that are added at a time, and rounds of that: 2 million tasks.
+BLOCK, FAN, ROUNDS = 8192, 128, 3
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -79,6 +84,35 @@ def beside(rows: DataFrame, column: str, table: DataFrame, key: str, few: bool)
     return known.unionByName(marked.filter("not __maybe"), allowMissingColumns=True).drop("__maybe")
 
 
+def part_rows(part: int, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One task's numbers as rows for summed(): block int, part bigint, numbers array<double>."""
+    for at in range(0, len(flat), BLOCK):
+        values = pa.array([flat[at : at + BLOCK]], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([part], pa.int64()), values], names=["block", "part", "numbers"])
+
+
+PARTS = "block int, part bigint, numbers array<double>"
+
+
+def summed(parts: DataFrame) -> np.ndarray:
+    """The sum of all tasks' numbers (rows of part_rows), added in order of part, so that it's the same in every run.
+
+    At most FAN blocks meet in a group; the driver receives one sum, as long as one task's numbers. Empty without parts.
+    """
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        order = np.argsort(rows["part"].to_numpy(), kind="stable")
+        values = rows["numbers"].combine_chunks().flatten().to_numpy().reshape(len(order), -1)
+        total = values[order[0]].copy()
+        for i in order[1:]:
+            total += values[i]
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int64()), "numbers": pa.array([total], pa.list_(pa.float64()))})
+
+    for _ in range(ROUNDS):
+        parts = parts.groupBy("block", F.expr(f"part div {FAN}").alias("group")).applyInArrow(add, PARTS)
+    blocks = {r["block"]: r["numbers"] for r in parts.select("block", "numbers").collect()}
+    return np.concatenate([np.array(blocks[b]) for b in sorted(blocks)]) if blocks else np.zeros(0)
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
     return tuple(row)
