@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graphloom.llm import byte_bpe, chat, imatch, line_dedup, packing, quality_rules, rule_ensemble, secrets, simhash, url_rules, whitening
+from graphloom.llm import byte_bpe, chat, imatch, line_dedup, packing, phrases, quality_rules, rule_ensemble, secrets, simhash, url_rules, whitening
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
@@ -16,8 +16,10 @@ QUERIES = {
     "op9_simhash_near_dedup": simhash.query,
     "op10_document_fingerprints": imatch.query,
     "op12_embedding_whitening": whitening.query,
+    "op13_phrase_collocations": phrases.query,
 }
 ORACLE: dict[str, str] = {
     "op5_chat_formatting": chat.SQL,
     "op8_url_filters": url_rules.SQL,
+    "op13_phrase_collocations": phrases.SQL,
 }
