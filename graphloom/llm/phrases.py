@@ -1,24 +1,27 @@
 """Phrase collocations by hierarchical pair naming.
 
-Texts become chunks of unit numbers. On every level the distinct units of a chunk are counted over all chunks of the
-corpus, frequent ones get one global id, and the ids go back to the chunks that hold them; adjacent named units are
+Texts become chunks of unit numbers. On every level the distinct units of a chunk meet those of all chunks of the
+corpus by buckets of their hash, which are shuffled compressed; frequent ones get one global id, and the ids go back to
+the chunks that hold them; adjacent named units are
 the units of the next level. A phrase of k words is so a pair of phrases of k-1 words, its parents, which give it
 its words, the counts of all its first and last parts, and the shorter phrases that it holds.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import cut
+from graphloom.llm._util import cut, shuffle_width
 from graphloom.llm.word_codes import byte_table, words_of
 
 #: Separators of words and of pieces; fixed values of the contract.
@@ -26,10 +29,14 @@ GAPS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 #: Occurrences that make a candidate, words of the longest, share of occurrences in a longer candidate that drops it (in 100ths), and rows a language.
 LEAST, LONGEST, SHARE, TOP = 100, 5, 100, 2000
 #: Words of a chunk; the last text may go beyond.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: A unit's handle: its chunk (task, chunk of the task) and its number there.
 AT_BITS, SEQ_BITS = 30, 13
 STATE = "chunk bigint, held binary"
+#: Units of a chunk go to this many buckets for each shuffle partition, compressed; one task sums a bucket at a time.
+BUCKETS = 2
+UNITS = "bucket int, chunk bigint, lang string, number binary, first binary, second binary, count binary"
+NAMES = "chunk bigint, number binary, id binary, f binary"
 #: Parts of one language's candidates that are ranked before all are.
 SALTS = 64
 
@@ -92,59 +99,138 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _word_chunk(seq, words, langs, firsts, list(names))
 
 
-def _unit_rows(keys: list[str]):
-    """Rows (keys, count, handle) of all units of a chunk."""
+def _lang_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each language in a chunk."""
+    for batch in batches:
+        for held in batch.column(1):
+            got = _unpack(held.as_py())
+            langs = got["lang"].dictionary_encode()
+            sums = np.bincount(langs.indices.to_numpy(), weights=got["count"].to_numpy())
+            yield _rows([(lang, int(n)) for lang, n in zip(langs.dictionary.to_pylist(), sums.tolist(), strict=True)], "lang string, count bigint")
+
+
+def _packed(a: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+
+
+def _numbers(held: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(held), dtype=kind)
+
+
+def _mixed(a: np.ndarray) -> np.ndarray:
+    """A hash of each number, unsigned."""
+    a = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (a ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(16)
+
+
+def _rows(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    fields = [f.split() for f in ddl.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _unit_rows(words: bool, buckets: int):
+    """Rows UNITS of all units of a chunk: their numbers, keys and counts. A word's bucket follows its CRC-32."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                got = _unpack(held.as_py())
-                if keys == ["left", "right"]:
-                    ids = got["ids"]
-                    got |= {k: ids.take(got[k]) for k in keys}
-                handles = (chunk << AT_BITS) + np.arange(len(got["count"]), dtype=np.int64)
-                whole = pa.table([*[got[k].cast(pa.string()) if pa.types.is_large_string(got[k].type) else got[k] for k in keys], got["count"].cast(pa.int64()), pa.array(handles)], names=[*keys, "count", "handle"])
-                yield from whole.to_batches(max_chunksize=1 << 16)
+                got, out = _unpack(held.as_py()), []
+                count = got["count"].to_numpy()
+                if words:
+                    text = np.array(got["word"].cast(pa.large_binary()).to_pylist(), dtype=object)
+                    langs = got["lang"].dictionary_encode()
+                    kind, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
+                    key = np.fromiter(map(zlib.crc32, text), dtype=np.int64, count=len(text)) % buckets * len(names) + kind
+                else:
+                    ids = got["ids"].to_numpy()
+                    left, right = ids[got["left"].to_numpy()], ids[got["right"].to_numpy()]
+                    key = (_mixed(left) + _mixed(right + 1) * np.uint64(31)) % np.uint64(buckets)
+                order = np.argsort(key, kind="stable")
+                cuts = np.flatnonzero(np.diff(key[order])) + 1
+                for part in np.split(order, cuts) if len(order) else []:
+                    at = int(key[part[0]])
+                    if words:
+                        row = (at // len(names), chunk, names[at % len(names)], _packed(part.astype(np.int32)), zstandard.compress(b"\n".join(text[part]), 1), None, _packed(count[part]))
+                    else:
+                        row = (at, chunk, None, _packed(part.astype(np.int32)), _packed(left[part]), _packed(right[part]), _packed(count[part]))
+                    out.append(row)
+                yield _rows(out, UNITS)
 
     return run
 
 
-def _named(units: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Handles of frequent units, with the id that all chunks give the unit. At its first chunk, f and the keys stand too."""
-    by = W.partitionBy(*keys)
-    known = units.withColumn("f", F.sum("count").over(by)).withColumn("id", F.min("handle").over(by)).filter(F.col("f") >= least)
-    here = F.col("handle") == F.col("id")
-    return known.select(F.shiftright("handle", AT_BITS).alias("chunk"), "handle", "id", *[F.when(here, F.col(c)).alias(c) for c in (*keys, "f")])
+def _named(words: bool, least: int):
+    """Names the frequent units of a bucket: rows NAMES, one for each chunk that holds any. f: their count, where the chunk's unit gave the id."""
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        chunks = rows["chunk"].to_pylist()
+        numbers = [_numbers(x.as_py(), np.int32) for x in rows["number"]]
+        sizes = np.array([len(x) for x in numbers])
+        if words:
+            texts = pa.array([w for x in rows["first"] for w in zstandard.decompress(x.as_py()).split(b"\n")], pa.binary()).dictionary_encode()
+            langs = rows["lang"].combine_chunks().dictionary_encode().indices.to_numpy()
+            codes = np.repeat(langs, sizes).astype(np.int64) * len(texts.dictionary) + texts.indices.to_numpy()
+        else:
+            left, right = (np.unique(np.concatenate([_numbers(x.as_py(), np.int64) for x in rows[c]]), return_inverse=True)[1] for c in ("first", "second"))
+            codes = left.astype(np.int64) * (int(right.max()) + 1) + right
+        handles = np.repeat(np.array(chunks, dtype=np.int64) << AT_BITS, sizes) + np.concatenate(numbers)
+        counts = np.concatenate([_numbers(x.as_py(), np.int32) for x in rows["count"]])
+        order = np.lexsort((handles, codes))
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(codes[order]) != 0]))
+        f = np.add.reduceat(counts[order].astype(np.int64), starts)
+        spread = np.diff(np.append(starts, len(order)))
+        each = np.empty(len(order), dtype=np.int64)
+        each[order] = np.repeat(f, spread)
+        ids = np.empty(len(order), dtype=np.int64)
+        ids[order] = np.repeat(handles[order][starts], spread)
+        out, ends = [], np.cumsum(sizes)
+        for i, end in enumerate(ends.tolist()):
+            own = slice(end - int(sizes[i]), end)
+            keep = each[own] >= least
+            if keep.any():
+                here = keep & (ids[own] == handles[own])
+                out.append((chunks[i], _packed(numbers[i][keep]), _packed(ids[own][keep]), _packed(each[own][here])))
+        return pa.Table.from_batches([_rows(out, NAMES)])
+
+    return run
 
 
 def _next_level(keys: list[str]):
     """Puts ids in the place of units, and pairs adjacent ones: (chunk, held, and what is named here)."""
     def run(key: tuple, states: pa.Table, names: pa.Table) -> pa.Table:
         chunk = key[0].as_py()
-        names = names.sort_by("handle")
-        handles, ids = names["handle"].to_numpy(), names["id"].to_numpy()
-        first = handles == ids
-        fresh = names.filter(pa.array(first)).select(["id", *keys, "f"])
+        got = _unpack(states["held"][0].as_py())
+        number, ids, f = (np.concatenate([_numbers(x.as_py(), t) for x in names[c]] or [np.zeros(0, dtype=t)]) for c, t in (("number", np.int32), ("id", np.int64), ("f", np.int64)))
+        here = number[ids == (chunk << AT_BITS) + number]  # f goes with these, in this order
+        if "left" in keys:
+            held_ids = got["ids"]
+            own = [held_ids.take(got[k].take(pa.array(here))) for k in keys]
+        else:
+            own = [got[k].take(pa.array(here)).cast(pa.string()) for k in keys]
+        fresh = {"id": pa.array((chunk << AT_BITS) + here.astype(np.int64)), **dict(zip(keys, own, strict=True)), "f": pa.array(f)}
         held = b""
-        if states.num_rows and len(handles):
-            got = _unpack(states["held"][0].as_py())
-            number = np.full(len(got["count"]) + 1, -1, dtype=np.int64)  # the last is what -1 finds
-            number[handles - (chunk << AT_BITS)] = np.arange(len(handles))
-            codes = number[got["codes"].to_numpy()]
-            pair = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * len(handles) + codes[1:], -1)
+        if len(number):
+            order = np.argsort(number)
+            ids = ids[order]
+            code = np.full(len(got["count"]) + 1, -1, dtype=np.int64)  # the last is what -1 finds
+            code[number[order]] = np.arange(len(number))
+            codes = code[got["codes"].to_numpy()]
+            pair = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * len(ids) + codes[1:], -1)
             pair = pair[(pair >= 0) | np.concatenate([[True], pair[:-1] >= 0])] if len(pair) else pair  # one -1 of a run
             distinct, counts, at = _units(pair)
             if len(distinct):
-                held = _pack(codes=at, ids=ids, left=(distinct // len(handles)).astype(np.int32), right=(distinct % len(handles)).astype(np.int32), count=counts)
-        fresh = {c: [fresh[c].combine_chunks()] for c in fresh.column_names}
-        lists = {c: pa.ListArray.from_arrays(pa.array([0, len(v[0])], pa.int32()), v[0]) for c, v in fresh.items()}
+                held = _pack(codes=at, ids=ids, left=(distinct // len(ids)).astype(np.int32), right=(distinct % len(ids)).astype(np.int32), count=counts)
+        lists = {c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in fresh.items()}
         return pa.table({"chunk": pa.array([chunk], pa.int64()), "held": pa.array([held], pa.binary()), **lists})
 
     return run
 
 
 def _level(state: DataFrame, keys: list[str], kind: str, least: int) -> DataFrame:
-    units = state.mapInArrow(_unit_rows(keys), ", ".join(f"{k} {kind}" for k in keys) + ", count bigint, handle bigint")
-    names = _named(units, keys, least)
+    words = "word" in keys
+    units = state.mapInArrow(_unit_rows(words, BUCKETS * shuffle_width(state.sparkSession)), UNITS)
+    names = units.groupBy("bucket").applyInArrow(_named(words, least), NAMES)
     lists = ", ".join(f"{c} array<{t}>" for c, t in [("id", "bigint"), *[(k, kind) for k in keys], ("f", "bigint")])
     return cut(state.groupBy("chunk").cogroup(names.groupBy("chunk")).applyInArrow(_next_level(keys), f"{STATE}, {lists}"))
 
@@ -161,7 +247,7 @@ def levels(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", leas
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
     state = cut(texts.mapInArrow(_chunks, STATE))
-    totals = state.mapInArrow(_unit_rows(["lang", "word"]), "lang string, word string, count bigint, handle bigint").groupBy("lang").agg(F.sum("count").alias("n"))
+    totals = state.mapInArrow(_lang_rows, "lang string, count bigint").groupBy("lang").agg(F.sum("count").alias("n"))
     keys, kind, found = ["lang", "word"], "string", []
     for k in range(1, longest + 1):
         level = _level(state, keys, kind, least)
