@@ -202,7 +202,7 @@ def _next_level(keys: list[str]):
         chunk = key[0].as_py()
         got = _unpack(states["held"][0].as_py())
         number, ids, f = (np.concatenate([_numbers(x.as_py(), t) for x in names[c]] or [np.zeros(0, dtype=t)]) for c, t in (("number", np.int32), ("id", np.int64), ("f", np.int64)))
-        here = number[ids == (chunk << AT_BITS) + number]  # f goes with these, in this order
+        here = number[ids == (chunk << AT_BITS) + number.astype(np.int64)]  # f goes with these, in this order
         if "left" in keys:
             held_ids = got["ids"]
             own = [held_ids.take(got[k].take(pa.array(here))) for k in keys]
