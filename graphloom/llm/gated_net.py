@@ -13,12 +13,14 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Width of the state.
-HIDDEN = 24
+HIDDEN = 16
 #: Lanes and steps of a window where documents are scored, and where the network learns.
 LANES, STEPS = 256, 32
-TRAIN_LANES, TRAIN_STEPS = 128, 16
+TRAIN_LANES, TRAIN_STEPS = 256, 16
 #: Longest part of a document that a lane learns from at a time; the next part starts from a zero state.
 TRAIN_PART = 2048
+#: Logits are held at most here, so that their exponentials stay finite.
+HIGHEST = 60
 #: Learning rate, and the squared gradient that every weight starts with.
 RATE, START = 0.08, 1e-6
 
@@ -46,7 +48,7 @@ class Output:
         return np.concatenate([np.repeat(np.arange(n), np.diff(self.edges)), np.arange(n, len(self.prior))]).astype(np.int32)
 
 
-def fresh(out: Output, hidden: int = HIDDEN, seed: int = 11) -> dict[str, np.ndarray]:
+def fresh(out: Output, hidden: int, seed: int = 11) -> dict[str, np.ndarray]:
     """Weights that give every target its share of the corpus. Targets are the inputs, too."""
     rng = np.random.default_rng(seed)
     return {"table": rng.normal(0, 0.3, (out.targets, 3 * hidden)).astype(np.float32), "state": rng.normal(0, hidden**-0.5, (hidden, 3 * hidden)).astype(np.float32),
@@ -154,11 +156,11 @@ class Net:
         own = self.class_of[targets]
         logits = states @ self.w["class"]
         logits += self.out.prior
-        logits -= logits.max(axis=1, keepdims=True)
+        np.minimum(logits, HIGHEST, out=logits)
         rows = np.arange(len(targets))
         at = logits[rows, own]
         np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
+        total = logits @ np.ones(logits.shape[1], dtype=np.float32)
         found = at - np.log(total)
         back = None
         if learn:
@@ -177,11 +179,11 @@ class Net:
             h = states[some]
             inner = h @ self.w["word"][:, a:b]
             inner += self.out.bias[a:b]
-            inner -= inner.max(axis=1, keepdims=True)
+            np.minimum(inner, HIGHEST, out=inner)
             place, every = targets[some] - a, np.arange(len(some))
             at = inner[every, place]
             np.exp(inner, out=inner)
-            total = inner.sum(axis=1)
+            total = inner @ np.ones(b - a, dtype=np.float32)
             found[some] += at - np.log(total)
             if learn:
                 inner /= total[:, None]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from graphloom.llm import byte_bpe, chat, imatch, line_dedup, packing, phrases, quality_rules, rule_ensemble, secrets, simhash, url_rules, whitening
+from graphloom.llm import byte_bpe, chat, gated_lm, imatch, line_dedup, packing, phrases, quality_rules, rule_ensemble, secrets, simhash, url_rules, whitening
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filters": url_rules.query,
     "op9_simhash_near_dedup": simhash.query,
     "op10_document_fingerprints": imatch.query,
+    "op11_lm_scoring": gated_lm.query,
     "op12_embedding_whitening": whitening.query,
     "op13_phrase_collocations": phrases.query,
 }
