@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import cut, shuffle_width
+from graphloom.llm._util import cut, release, shuffle_width
 from graphloom.llm.word_codes import byte_table, words_of
 
 #: Separators of words and of pieces; fixed values of the contract.
 GAPS, BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
 #: Occurrences that make a candidate, words of the longest, share of occurrences in a longer candidate that drops it (in 100ths), and rows a language.
 LEAST, LONGEST, SHARE, TOP = 100, 5, 100, 2000
-#: Words of a chunk; the last text may go beyond.
+#: Words of a chunk; the last block may go beyond, and so does a longer piece.
 CHUNK = 1 << 20
 #: A unit's handle: its chunk (task, chunk of the task) and its number there.
 AT_BITS, SEQ_BITS = 30, 13
@@ -52,6 +52,15 @@ def _pack(**arrays: np.ndarray | pa.Array) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def _planes(a: np.ndarray) -> np.ndarray:
+    """The first bytes of all numbers, then the second ones, ..., which compress better. -1 becomes 0."""
+    return (np.ascontiguousarray(a) + a.dtype.type(1)).view(np.uint8).reshape(-1, a.dtype.itemsize).T.ravel()
+
+
+def _joined(planes: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel() - kind(1)
+
+
 def _unpack(held: bytes) -> dict[str, pa.Array]:
     batch = pa.ipc.open_stream(held).read_next_batch()
     return {name: batch.column(i).flatten() for i, name in enumerate(batch.schema.names)}
@@ -75,10 +84,14 @@ def _word_chunk(chunk: int, words: list[pa.Array], langs: list[np.ndarray], firs
     coded = pa.chunked_array(words).combine_chunks().dictionary_encode()
     size = len(coded.dictionary)
     distinct, counts, at = _units(np.concatenate(langs) * size + coded.indices.to_numpy().astype(np.int64))
+    order = np.argsort(-counts, kind="stable")  # small numbers for frequent words
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order))
+    distinct, counts, at = distinct[order], counts[order], rank[at]
     first = np.concatenate(firsts)
     codes = np.full(len(at) + int(first.sum()), -1, dtype=np.int32)
     codes[np.arange(len(at)) + np.cumsum(first)] = at
-    held = _pack(codes=codes, word=coded.dictionary.take(pa.array(distinct % size)), lang=pa.array(names).take(pa.array(distinct // size)), count=counts)
+    held = _pack(codes=_planes(codes), word=coded.dictionary.take(pa.array(distinct % size)), lang=pa.array(names).take(pa.array(distinct // size)), count=counts)
     return _state(chunk, held)
 
 
@@ -88,13 +101,13 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         own = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], dtype=np.int64)
         for block, text, first in words_of(batch.column(1), table):
+            if size >= CHUNK and first[0]:
+                yield _word_chunk(seq, words, langs, firsts, list(names))
+                words, langs, firsts, size, seq = [], [], [], 0, seq + 1
             words.append(block)
             langs.append(own[text])
             firsts.append(first)
             size += len(block)
-        if size >= CHUNK:
-            yield _word_chunk(seq, words, langs, firsts, list(names))
-            words, langs, firsts, names, size, seq = [], [], [], {}, 0, seq + 1
     if size:
         yield _word_chunk(seq, words, langs, firsts, list(names))
 
@@ -110,11 +123,16 @@ def _lang_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(a: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+    return zstandard.compress(_planes(a).tobytes(), 1)
 
 
 def _numbers(held: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(held), dtype=kind)
+    return _joined(np.frombuffer(zstandard.decompress(held), dtype=np.uint8), kind)
+
+
+def _steps(numbers: np.ndarray) -> bytes:
+    """Ascending numbers by their differences."""
+    return _packed(np.diff(numbers, prepend=0).astype(np.int32))
 
 
 def _mixed(a: np.ndarray) -> np.ndarray:
@@ -151,9 +169,9 @@ def _unit_rows(words: bool, buckets: int):
                 for part in np.split(order, cuts) if len(order) else []:
                     at = int(key[part[0]])
                     if words:
-                        row = (at // len(names), chunk, names[at % len(names)], _packed(part.astype(np.int32)), zstandard.compress(b"\n".join(text[part]), 1), None, _packed(count[part]))
+                        row = (at // len(names), chunk, names[at % len(names)], _steps(part), zstandard.compress(b"\n".join(text[part]), 1), None, _packed(count[part]))
                     else:
-                        row = (at, chunk, None, _packed(part.astype(np.int32)), _packed(left[part]), _packed(right[part]), _packed(count[part]))
+                        row = (at, chunk, None, _steps(part), _packed(left[part]), _packed(right[part]), _packed(count[part]))
                     out.append(row)
                 yield _rows(out, UNITS)
 
@@ -165,7 +183,7 @@ def _named(words: bool, least: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
         chunks = rows["chunk"].to_pylist()
-        numbers = [_numbers(x.as_py(), np.int32) for x in rows["number"]]
+        numbers = [np.cumsum(_numbers(x.as_py(), np.int32)) for x in rows["number"]]
         sizes = np.array([len(x) for x in numbers])
         if words:
             texts = pa.array([w for x in rows["first"] for w in zstandard.decompress(x.as_py()).split(b"\n")], pa.binary()).dictionary_encode()
@@ -190,7 +208,7 @@ def _named(words: bool, least: int):
             keep = each[own] >= least
             if keep.any():
                 here = keep & (ids[own] == handles[own])
-                out.append((chunks[i], _packed(numbers[i][keep]), _packed(ids[own][keep]), _packed(each[own][here])))
+                out.append((chunks[i], _steps(numbers[i][keep]), _packed(ids[own][keep]), _packed(each[own][here])))
         return pa.Table.from_batches([_rows(out, NAMES)])
 
     return run
@@ -201,26 +219,27 @@ def _next_level(keys: list[str]):
     def run(key: tuple, states: pa.Table, names: pa.Table) -> pa.Table:
         chunk = key[0].as_py()
         got = _unpack(states["held"][0].as_py())
-        number, ids, f = (np.concatenate([_numbers(x.as_py(), t) for x in names[c]] or [np.zeros(0, dtype=t)]) for c, t in (("number", np.int32), ("id", np.int64), ("f", np.int64)))
-        here = number[ids == (chunk << AT_BITS) + number.astype(np.int64)]  # f goes with these, in this order
+        number = np.concatenate([np.cumsum(_numbers(x.as_py(), np.int32)) for x in names["number"]] or [np.zeros(0, dtype=np.int64)])
+        ids, f = (np.concatenate([_numbers(x.as_py(), np.int64) for x in names[c]] or [np.zeros(0, dtype=np.int64)]) for c in ("id", "f"))
+        here = number[ids == (chunk << AT_BITS) + number]  # f goes with these, in this order
         if "left" in keys:
             held_ids = got["ids"]
             own = [held_ids.take(got[k].take(pa.array(here))) for k in keys]
         else:
             own = [got[k].take(pa.array(here)).cast(pa.string()) for k in keys]
-        fresh = {"id": pa.array((chunk << AT_BITS) + here.astype(np.int64)), **dict(zip(keys, own, strict=True)), "f": pa.array(f)}
+        fresh = {"id": pa.array((chunk << AT_BITS) + here), **dict(zip(keys, own, strict=True)), "f": pa.array(f)}
         held = b""
         if len(number):
             order = np.argsort(number)
             ids = ids[order]
             code = np.full(len(got["count"]) + 1, -1, dtype=np.int64)  # the last is what -1 finds
             code[number[order]] = np.arange(len(number))
-            codes = code[got["codes"].to_numpy()]
+            codes = code[_joined(got["codes"].to_numpy(), np.int32)]
             pair = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * len(ids) + codes[1:], -1)
             pair = pair[(pair >= 0) | np.concatenate([[True], pair[:-1] >= 0])] if len(pair) else pair  # one -1 of a run
             distinct, counts, at = _units(pair)
             if len(distinct):
-                held = _pack(codes=at, ids=ids, left=(distinct // len(ids)).astype(np.int32), right=(distinct % len(ids)).astype(np.int32), count=counts)
+                held = _pack(codes=_planes(at), ids=ids, left=(distinct // len(ids)).astype(np.int32), right=(distinct % len(ids)).astype(np.int32), count=counts)
         lists = {c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in fresh.items()}
         return pa.table({"chunk": pa.array([chunk], pa.int64()), "held": pa.array([held], pa.binary()), **lists})
 
@@ -261,6 +280,7 @@ def levels(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", leas
             known = both.select("id", "left", "right", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
                                 F.concat("starts", F.array("f")).alias("starts"), F.concat("ends", F.array("f")).alias("ends"))
         found.append(cut(known))
+        release(docs.sparkSession)
         state, keys, kind = level.select("chunk", "held").filter(F.length("held") > 0), ["left", "right"], "bigint"
     return totals, found
 
