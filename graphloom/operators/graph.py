@@ -34,31 +34,76 @@ def closure(roots: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def included(roots: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
-    """(root, lane, depth, ord, section_id, variant_idx, via): nodes that each lane splices, the root itself at depth 0.
+#: Type of an edge: the raw id, less 256, of the function category that names its callee; fixed values of the format.
+LOCAL_CALL, PLT_CALL, EXTERN_CALL = 9, 10, 11
+
+
+def _resolved(edges: DataFrame) -> DataFrame:
+    """Edges to bodies: type is LOCAL_CALL and matched true unless given; extern callees have no body."""
+    kind = F.col("type") if "type" in edges.columns else F.lit(LOCAL_CALL)
+    matched = F.col("matched") if "matched" in edges.columns else F.lit(True)
+    return edges.select("section_id", "variant_idx", "called_idx", "callee_section", "callee_variant", kind.cast("int").alias("type"), matched.alias("matched")).filter(F.col("type") != EXTERN_CALL)
+
+
+def behind_unmatched(level: DataFrame, edges: DataFrame, keys: list[str], hops: int) -> DataFrame:
+    """Matched callees behind unmatched ones, through at most `hops` of those: (keys, order, path, callee_section, callee_variant, type).
+
+    level: keys, order, path (slots taken so far), section_id and variant_idx of an unmatched callee. edges: as of
+    _resolved. A way never returns to an unmatched section on it. Of ways that may go on alike, only the first in
+    order of (order, path) does: a state is the section and, while another unmatched hop may follow, those before it,
+    so with three hops there are no more states than edges between unmatched callees.
+    """
+    level = level.select(*keys, "order", "path", "section_id", "variant_idx", F.array().cast("array<bigint>").alias("before"))
+    found = []
+    for i in range(hops):
+        step = level.join(edges, ["section_id", "variant_idx"]).select(*keys, "order", F.concat("path", F.array("called_idx")).alias("path"), "before", "section_id", "callee_section", "callee_variant", "type", "matched")
+        found.append(step.filter("matched").select(*keys, "order", "path", "callee_section", "callee_variant", "type"))
+        if i + 1 == hops:
+            break
+        on = step.filter(~F.col("matched") & (F.col("callee_section") != F.col("section_id")) & ~F.array_contains("before", F.col("callee_section").cast("long")))
+        held = F.concat("before", F.array(F.col("section_id").cast("long"))) if i + 2 < hops else F.array().cast("array<bigint>")
+        least = on.withColumn("before", held).groupBy(*keys, "before", F.col("callee_section").alias("section_id"), F.col("callee_variant").alias("variant_idx")).agg(F.min(F.struct("order", "path")).alias("w"))
+        level = materialized(least.select(*keys, "w.order", "w.path", "section_id", "variant_idx", "before"))
+    return reduce(DataFrame.unionByName, found) if found else level.join(edges, ["section_id", "variant_idx"]).filter(F.lit(False)).select(*keys, "order", "path", "callee_section", "callee_variant", "type")
+
+
+def included(roots: DataFrame, edges: DataFrame, max_depth: int | None = None, unmatched_hops: int | None = None) -> DataFrame:
+    """(root, lane, depth, ord, section_id, variant_idx, via, and type if edges have it): nodes that each lane splices, the root itself at depth 0.
 
     At each level a child is included for a lane if that lane hasn't seen its section, it is the first such
     child of the level, and not all lanes of the root have seen the section by then. Seen pairs stay seen
     even when excluded; the root is seen by all lanes from the start. ord numbers a lane's nodes of a level
     in the order of (parent, slot).
+
+    roots may have a depth of their own for each lane, max_depth: one walk serves all, as a lane's nodes leave it at its
+    depth, and lanes of one root and depth decide together. edges may have type (a root is LOCAL_CALL) and matched.
+    Unmatched callees are dropped, or with unmatched_hops replaced by the matched ones behind them, in place.
     """
-    rows = roots.groupBy("root").agg(F.countDistinct("lane").alias("n_lanes"))
-    edges = materialized(edges.select("section_id", "variant_idx", "called_idx", "callee_section", "callee_variant"))
-    level = roots.select("root", "lane", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("ord"), F.col("root").alias("section_id"), "variant_idx", F.lit(-1).alias("via"))
-    seen = roots.select("root", "lane", F.col("root").alias("section_id")).distinct()
-    found = [level]
-    for depth in range(1, max_depth + 1):
-        step = level.select("root", "lane", F.col("ord").alias("parent"), "section_id", "variant_idx").join(edges, ["section_id", "variant_idx"]).select(
-            "root", "lane", "parent", F.col("called_idx").alias("via"), F.col("callee_section").alias("section_id"), F.col("callee_variant").alias("variant_idx"))
-        first = step.groupBy("root", "lane", "section_id").agg(F.min(F.struct("parent", "via", "variant_idx")).alias("f"))
-        met = materialized(first.join(seen, ["root", "lane", "section_id"], "left_anti").select("root", "lane", "section_id", "f.parent", "f.via", "f.variant_idx"))
-        seen = seen.unionByName(met.select("root", "lane", "section_id"))  # met pairs are new, so all stay distinct
-        common = seen.groupBy("root", "section_id").agg(F.count("*").alias("n")).join(rows, "root").filter("n = n_lanes").select("root", "section_id")
-        fresh = met.join(common, ["root", "section_id"], "left_anti")
-        number = F.row_number().over(W.partitionBy("root", "lane").orderBy("parent", "via")).cast("long") - 1
-        level = materialized(fresh.withColumn("ord", number).select("root", "lane", F.lit(depth).alias("depth"), "ord", "section_id", "variant_idx", "via"))
+    typed, given = "type" in edges.columns, "max_depth" in roots.columns
+    lanes = roots.select("root", "lane", "variant_idx", (F.col("max_depth") if given else F.lit(max_depth)).cast("int").alias("reach"))
+    deepest = (lanes.agg(F.max("reach")).first()[0] or 0) if given else max_depth
+    rows = lanes.groupBy("root", "reach").agg(F.countDistinct("lane").alias("n_lanes"))
+    edges = materialized(_resolved(edges))
+    level = lanes.select("root", "lane", "reach", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("ord"), F.col("root").alias("section_id"), "variant_idx", F.lit(-1).alias("via"), F.lit(LOCAL_CALL).alias("type"))
+    seen = lanes.select("root", "lane", "reach", F.col("root").alias("section_id")).distinct()
+    found, keys = [level], ["root", "lane", "reach"]
+    for depth in range(1, deepest + 1):
+        step = level.filter(F.col("reach") >= depth).select(*keys, F.col("ord").alias("order"), "section_id", "variant_idx").join(edges, ["section_id", "variant_idx"]).select(
+            *keys, "order", F.array("called_idx").alias("path"), "callee_section", "callee_variant", "type", "matched")
+        children = step.filter("matched").drop("matched")
+        if unmatched_hops:
+            start = step.filter("not matched").select(*keys, "order", "path", F.col("callee_section").alias("section_id"), F.col("callee_variant").alias("variant_idx"))
+            children = children.unionByName(behind_unmatched(start, edges, keys, unmatched_hops))
+        first = children.groupBy(*keys, F.col("callee_section").alias("section_id")).agg(F.min(F.struct("order", "path", F.col("callee_variant").alias("variant_idx"), "type")).alias("f"))
+        met = materialized(first.join(seen, [*keys, "section_id"], "left_anti").select(*keys, "section_id", "f.order", "f.path", "f.variant_idx", "f.type"))
+        seen = seen.unionByName(met.select(*keys, "section_id"))  # met pairs are new, so all stay distinct
+        common = seen.groupBy("root", "reach", "section_id").agg(F.count("*").alias("n")).join(rows, ["root", "reach"]).filter("n = n_lanes").select("root", "reach", "section_id")
+        fresh = met.join(common, ["root", "reach", "section_id"], "left_anti")
+        number = F.row_number().over(W.partitionBy("root", "lane").orderBy("order", "path")).cast("long") - 1
+        level = materialized(fresh.withColumn("ord", number).select(*keys, F.lit(depth).alias("depth"), "ord", "section_id", "variant_idx", F.col("path")[0].alias("via"), "type"))
         found.append(level)
-    return reduce(DataFrame.unionByName, found)
+    nodes = reduce(DataFrame.unionByName, found).drop("reach")
+    return nodes if typed else nodes.drop("type")
 
 
 def spliced_lengths(nodes: DataFrame, bodies: DataFrame, depths: list[int]) -> DataFrame:
@@ -78,31 +123,32 @@ def excluded_pool(full: DataFrame, sampled: DataFrame) -> DataFrame:
 
 
 def surface_matched(start: DataFrame, edges: DataFrame, matched: DataFrame, max_hops: int = 3) -> DataFrame:
-    """(root, section_id, hops): matched sections behind unmatched ones, through at most max_hops of those.
+    """(root, section_id, hops): matched sections behind unmatched ones, through at least and at most so many (max_hops) of those.
 
-    start: root, section_id of unmatched callees; matched: section_id. A path doesn't return to itself.
+    start: root, section_id of unmatched callees; matched: section_id. The state is (root, section): the shortest
+    way to an unmatched section serves all that lies behind it.
     """
     hop = edges.select("section_id", "callee_section").distinct()
-    level = start.select("root", "section_id", F.array("section_id").alias("path")).distinct()
+    known = matched.select("section_id", F.lit(True).alias("m")).distinct()
+    level = seen = start.select("root", "section_id").distinct()
     found = []
     for hops in range(1, max_hops + 1):
-        step = level.join(hop, "section_id").filter(~F.array_contains("path", F.col("callee_section"))).select(
-            "root", F.col("callee_section").alias("section_id"), F.concat("path", F.array("callee_section")).alias("path"))
-        known = matched.select("section_id", F.lit(True).alias("m"))
-        step = materialized(step.join(known, "section_id", "left"))
+        step = level.join(hop, "section_id").select("root", F.col("callee_section").alias("section_id")).distinct()
+        step = materialized(step.join(seen, ["root", "section_id"], "left_anti").join(known, "section_id", "left"))
         found.append(step.filter("m").select("root", "section_id", F.lit(hops).alias("hops")))
-        level = step.filter("m is null").select("root", "section_id", "path").dropDuplicates(["root", "section_id", "path"])
+        level = step.filter("m is null").select("root", "section_id")
+        seen = seen.unionByName(level)
     return reduce(DataFrame.unionByName, found).groupBy("root", "section_id").agg(F.min("hops").alias("hops"))
 
 
-def backfill(pool: Column, budget: Column) -> Column:
-    """Items of the pool array (struct with length) that fit wholly into what is left of the budget, in pool order.
+def backfill(pool: Column, budget: Column, kept=lambda x: x["length"]) -> Column:
+    """Items of the pool array (struct with length) that fit wholly into what is left of the budget, in pool order: (left, taken).
 
-    An item that doesn't fit is passed over and later, smaller ones are still tried.
+    An item that doesn't fit is passed over and later, smaller ones are still tried. kept: what of an item is taken.
     """
     def step(acc: Column, x: Column) -> Column:
         fits = x["length"] <= acc["left"]
         return F.struct(F.when(fits, acc["left"] - x["length"]).otherwise(acc["left"]).alias("left"),
-                        F.when(fits, F.concat(acc["taken"], F.array(x["length"]))).otherwise(acc["taken"]).alias("taken"))
+                        F.when(fits, F.concat(acc["taken"], F.array(kept(x)))).otherwise(acc["taken"]).alias("taken"))
 
-    return F.aggregate(pool, F.struct(budget.cast("long").alias("left"), F.array().cast("array<bigint>").alias("taken")), step)
+    return F.aggregate(pool, F.struct(budget.cast("long").alias("left"), F.slice(F.transform(pool, kept), 1, 0).alias("taken")), step)

@@ -18,6 +18,11 @@ def draw_key(seed: int, *columns: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
 
 
+def draw(seed: int, *columns: str) -> Column:
+    """A number of 32 bits drawn from seed and columns."""
+    return F.conv(F.substring(draw_key(seed, *columns), 1, 8), 16, 10).cast("long")
+
+
 def sample_sections(index: DataFrame, low: int, high: int, k: int, seed: int, cells: list[str]) -> DataFrame:
     """k sections of the band, uniformly over all cells, in drawn order; fewer if the pool is smaller, none if it is empty.
 
