@@ -53,7 +53,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for words, _, _ in words_of(batch.column(0), table):
                 found = pc.value_counts(words)
-                yield pa.RecordBatch.from_arrays([found.field(0).cast(pa.string()), found.field(1)], names=["word", "c"])
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "c"])
 
     return texts.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -82,7 +82,7 @@ class Vocabulary:
         bits = np.frexp(rest)[1]
         bands, band = np.unique(-bits, return_inverse=True)
         shared = np.bincount(band, weights=rest, minlength=len(bands))
-        rarest = self.tokens + self.distinct + 1 - masses.sum() - shared.sum()
+        rarest = max(self.tokens + self.distinct + 1 - masses.sum() - shared.sum(), 1.0)  # nothing is known without tokens
         prior = np.concatenate([masses, shared, [rarest]])
         bias = np.log(head / np.repeat(masses, np.diff(edges)))
         out = gated_net.Output(edges, np.log(prior / prior.sum()).astype(np.float32), bias.astype(np.float32))
@@ -107,7 +107,7 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     if held > KNOWN_WORDS and held == row["count"]:  # the most frequent size alone is too large
         known = counts.limit(0)
     known = known.toArrow().sort_by([("c", "descending"), ("word", "ascending")])
-    return Vocabulary(total["n"] + ends, total["v"] + (ends > 0), ends, known["word"].combine_chunks().cast(pa.large_string()), known["c"].to_numpy())
+    return Vocabulary(total["n"] + ends, total["v"] + (ends > 0), ends, known["word"].combine_chunks(), known["c"].to_numpy())
 
 
 @dataclass
@@ -146,7 +146,7 @@ class Coder:
             base += np.bincount(text, weights=self.base[number], minlength=n)
             share += np.bincount(text, weights=self.share[number], minlength=n)
             lost = number == size
-            pair, times = np.unique(text[lost] * len(coded.dictionary) + own[lost], return_counts=True)
+            pair, times = np.unique(text[lost].astype(np.int64) * len(coded.dictionary) + own[lost], return_counts=True)
             rare.append((pair // len(coded.dictionary), coded.dictionary.take(pa.array(pair % len(coded.dictionary))), times))
         text = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
         bounds = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n) + 1)]).astype(np.int64)
@@ -227,7 +227,7 @@ def _scored(docs: DataFrame, model: Model, keep: list[Column], text_col: str) ->
                 n = len(row)
                 who = np.concatenate([x[0] for x in c.rare] or [np.zeros(0, dtype=np.int64)])
                 order = np.argsort(who, kind="stable")
-                names = pa.chunked_array([x[1] for x in c.rare], pa.large_string()).combine_chunks().take(pa.array(order)).cast(pa.string())
+                names = pa.chunked_array([x[1] for x in c.rare], pa.string()).combine_chunks().take(pa.array(order))
                 times = np.concatenate([x[2] for x in c.rare] or [np.zeros(0, dtype=np.int64)])[order].astype(np.int32)
                 ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(who, minlength=n))]).astype(np.int32))
                 columns = [pa.array(np.arange(at, at + n)), row, pa.array(np.diff(c.bounds)), pa.array(c.known), pa.array(c.base), pa.array(found[done : done + n] + c.share),
@@ -265,7 +265,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_i
     log, times = F.log10(F.coalesce("c", F.lit(0)) + 1), F.col("times")
     met = rare.join(counts, "word", "left").groupBy("at").agg(
         F.sum(times * (log - F.log10(F.lit(float(words.tokens + words.distinct + 1))))).alias("more_base"),
-        F.sum(times * (log - F.log10(F.lit(max(rarest, 1.0))))).alias("more_score"), F.sum(F.when(F.col("c") > 0, times)).alias("more_known"))
+        F.sum(times * (log - F.log10(F.lit(rarest)))).alias("more_score"), F.sum(F.when(F.col("c") > 0, times)).alias("more_known"))
     zero, some = F.lit(0.0), words.tokens > 0
     return rows.join(met, "at", "left").select(
         F.col("row.id").alias(id_col), F.col("row.held_out").alias("held_out"), "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(words.tokens).cast("long").alias("train_tokens"),

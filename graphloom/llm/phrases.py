@@ -83,7 +83,16 @@ def _word_chunk(chunk: int, words: list[pa.Array], langs: list[np.ndarray], firs
     """Words by language, and their numbers in order with -1 between pieces."""
     coded = pa.chunked_array(words).combine_chunks().dictionary_encode()
     size = len(coded.dictionary)
-    distinct, counts, at = _units(np.concatenate(langs) * size + coded.indices.to_numpy().astype(np.int64))
+    key = coded.indices.to_numpy()
+    if len(names) > 1:
+        key = np.concatenate(langs).astype(np.int64) * size + key
+    if len(names) * size <= 16 * len(key):  # dense enough for a table
+        bins = np.bincount(key, minlength=len(names) * size)
+        distinct = np.flatnonzero(bins)
+        counts, at = bins[distinct].astype(np.int32), (np.cumsum(bins > 0, dtype=np.int32) - 1)[key]
+        del bins
+    else:
+        distinct, counts, at = _units(key)
     order = np.argsort(-counts, kind="stable")  # small numbers for frequent words
     rank = np.empty(len(order), dtype=np.int32)
     rank[order] = np.arange(len(order))
@@ -99,11 +108,12 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, seq = byte_table(GAPS, BREAKS), TaskContext.get().partitionId() << SEQ_BITS
     words, langs, firsts, names, size = [], [], [], {}, 0
     for batch in batches:
-        own = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], dtype=np.int64)
+        own = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], dtype=np.int32)
         for block, text, first in words_of(batch.column(1), table):
             if size >= CHUNK and first[0]:
                 yield _word_chunk(seq, words, langs, firsts, list(names))
                 words, langs, firsts, size, seq = [], [], [], 0, seq + 1
+                pa.default_memory_pool().release_unused()
             words.append(block)
             langs.append(own[text])
             firsts.append(first)

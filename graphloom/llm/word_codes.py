@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time; only a single longer word makes a block longer.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 GAP, BREAK = ord(" "), ord("\n")
 
 
@@ -36,11 +36,12 @@ def _cut(data: memoryview, at: int, end: int, table: bytes) -> int:
 
 def words_of(texts: pa.Array, table: bytes) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Blocks of (words, number of each word's text, whether the word starts a piece). A null text has no words."""
-    texts = texts.fill_null("").cast(pa.large_string())
+    texts = texts.fill_null("") if texts.null_count else texts
     _, offsets, data = texts.buffers()
     if not len(texts) or data is None:
         return
-    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(offsets, dtype=width)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data, at, stop = memoryview(data), int(ends[0]), int(ends[-1])
     pieces, last = 0, (-1, -1)
     while at < stop:
@@ -57,13 +58,13 @@ def words_of(texts: pa.Array, table: bytes) -> Iterator[tuple[pa.Array, np.ndarr
         apart = ~word[1:] | fresh[1:-1]
         sizes = np.flatnonzero(word & np.concatenate([apart, [True]])) + 1 - starts
         if len(starts):
-            text = np.searchsorted(ends, at + starts, side="right") - 1
+            text = (np.searchsorted(ends, at + starts, side="right") - 1).astype(np.int32)
             piece = pieces + np.cumsum(broken, dtype=np.int32)[starts]
             first = np.ones(len(starts), dtype=bool)
             first[1:] = (text[1:] != text[:-1]) | (piece[1:] != piece[:-1])
             first[0] = (int(text[0]), int(piece[0])) != last
             last = (int(text[-1]), int(piece[-1]))
-            marks = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            yield pa.Array.from_buffers(pa.large_utf8(), len(starts), [None, pa.py_buffer(marks), pa.py_buffer(block[word].tobytes())]), text, first
+            marks = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.Array.from_buffers(pa.utf8(), len(starts), [None, pa.py_buffer(marks), pa.py_buffer(block[word].tobytes())]), text, first
         pieces += int(broken.sum())
         at = cut
