@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphloom.operators.order import numbered
+
 LOCAL, PLT, EXTERN = 0, 1, 2
 #: Written instead of a callee variant that is missing; fixed values of the format.
 MISSING, UNRESOLVED = 0xFFFE, 0xFFFF
+#: Parts of a kind of corruption that are sampled before the kind is.
+SAMPLE_PARTS = 256
 
 
 def names_registry(names: DataFrame) -> DataFrame:
     """(program, func_name, fid): 1-based line of each distinct name in sorted order."""
-    return names.select("program", "func_name").distinct().withColumn("fid", F.row_number().over(W.partitionBy("program").orderBy("func_name")))
+    return numbered(names.select("program", "func_name").distinct(), ["program"], ["func_name"], "fid").withColumn("fid", (F.col("fid") + 1).cast("int"))
 
 
 def providers_registry(libraries: DataFrame) -> DataFrame:
@@ -137,10 +141,13 @@ def corruption(entries: DataFrame, variants: DataFrame, sizes: DataFrame) -> Dat
 
 
 def corruption_report(found: DataFrame, samples: int = 10) -> DataFrame:
-    """Count of each kind and its first samples."""
-    ranked = found.withColumn("__n", F.row_number().over(W.partitionBy("kind").orderBy("section_id", "variant_idx", "called_idx")))
-    at = F.array_sort(F.collect_list(F.when(F.col("__n") <= samples, F.struct("section_id", "variant_idx", "called_idx"))))
-    return ranked.groupBy("kind").agg(F.count("*").alias("n"), at.alias("samples"))
+    """Count of each kind and its first samples: the first of each of many parts of a kind, and of those the first."""
+    order = ["section_id", "variant_idx", "called_idx"]
+    parted = found.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(SAMPLE_PARTS)))
+    some = parted.withColumn("__n", F.row_number().over(W.partitionBy("kind", "__part").orderBy(*order))).filter(F.col("__n") <= samples)
+    few = some.withColumn("__n", F.row_number().over(W.partitionBy("kind").orderBy(*order))).filter(F.col("__n") <= samples)
+    at = few.groupBy("kind").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("samples"))
+    return found.groupBy("kind").agg(F.count("*").alias("n")).join(at, "kind")
 
 
 def address_lookup(addresses: DataFrame, ranges: DataFrame, width: int = 4096) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphloom.operators.order import numbered
+from graphloom.operators.sampling import draw
+
 # Bands of raw ids; fixed values of the token format.
 SIGN, INTEGER, FLOAT128, FIRST_IDENTITY, FIRST_INSTRUCTION = 256, 257, 263, 264, 272
 #: Raw identity id -> name and kind; fixed values of the token format.
@@ -169,7 +172,7 @@ def pad_null(sections: DataFrame, slots_: int) -> DataFrame:
 
 def pad_resample(sections: DataFrame, slots_: int, seed: int) -> DataFrame:
     """Missing slots draw again from the section's variants, by a seeded hash; a section without variants stays null."""
-    again = F.pmod(F.xxhash64(F.lit(seed), "section_id", "slot"), F.col("n_variants")).cast("int")
+    again = (draw(seed, "section_id", "slot") % F.col("n_variants")).cast("int")
     rows = sections.select("section_id", F.explode(F.sequence(F.lit(0), F.lit(slots_ - 1))).alias("slot"), "n_variants")
     drawn = F.when(F.col("slot") < F.col("n_variants"), F.col("slot")).when(F.col("n_variants") > 0, again)
     return rows.select("section_id", "slot", drawn.alias("variant_idx"))
@@ -183,13 +186,14 @@ def pad_ragged(sections: DataFrame, slots_: int) -> DataFrame:
 def pad_redistribute(sections: DataFrame, slots_: int, key: Column) -> DataFrame:
     """Missing slots, in order of (section, slot), take the surplus variants in order of key; the rest stay null.
 
-    sections: section_id, n_variants of a batch; key: a Column over section_id and variant_idx. A batch
-    is small; ranks run over it as a whole.
+    sections: section_id, n_variants of a batch; key: a Column over section_id and variant_idx. Ranks run over the
+    whole batch, by ranges.
     """
     base = pad_null(sections, slots_)
-    holes = base.filter("variant_idx is null").withColumn("n", F.row_number().over(W.partitionBy(F.lit(0)).orderBy("section_id", "slot")))
+    holes = base.filter("variant_idx is null")
+    holes = numbered(holes, [], ["section_id", "slot"], "n")
     spare = sections.filter(F.col("n_variants") > slots_).select("section_id", F.explode(F.sequence(F.lit(slots_), F.col("n_variants") - 1)).alias("variant_idx"))
-    donors = spare.withColumn("n", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(key, "section_id", "variant_idx"))).select(F.col("section_id").alias("donor"), F.col("variant_idx").alias("given"), "n")
+    donors = numbered(spare.withColumn("__key", key), [], ["__key", "section_id", "variant_idx"], "n").select(F.col("section_id").alias("donor"), F.col("variant_idx").alias("given"), "n")
     filled = holes.join(donors, "n", "left").select("section_id", "slot", F.coalesce("donor", "section_id").alias("source"), F.col("given").alias("variant_idx"))
     return base.filter("variant_idx is not null").select("section_id", "slot", F.col("section_id").alias("source"), "variant_idx").unionByName(filled)
 
@@ -202,9 +206,10 @@ def allocate_identities(mentions: DataFrame, keys: list[str]) -> DataFrame:
 def concat_results(results: DataFrame) -> DataFrame:
     """Rows of several programs as one batch, programs in alphabetical order: binary_id and row_id, both from 0.
 
-    results: program, row, ... of one batch, which is small; widths of tokens must agree.
+    results: program, row, ...; widths of tokens must agree. Rows are numbered by ranges.
     """
-    order = W.partitionBy(F.lit(0)).orderBy("program", "row")
-    wide = F.size("tokens") == F.max(F.size("tokens")).over(W.partitionBy(F.lit(0)))
-    checked = F.when(wide, F.dense_rank().over(W.partitionBy(F.lit(0)).orderBy("program")) - 1).otherwise(F.raise_error(F.lit("rows differ in width")).cast("int"))
-    return results.withColumn("binary_id", checked).withColumn("row_id", F.row_number().over(order) - 1)
+    widest = results.agg(F.max(F.size("tokens")).alias("__w"))
+    checked = F.when(F.size("tokens") == F.col("__w"), F.lit(True)).otherwise(F.raise_error(F.lit("rows differ in width")).cast("boolean"))
+    programs = numbered(results.select("program").distinct(), [], ["program"], "binary_id")
+    rows = numbered(results.join(F.broadcast(widest)).filter(checked).drop("__w"), [], ["program", "row"], "row_id")  # one row beside each
+    return rows.join(programs, "program").withColumns({c: F.col(c).cast("int") for c in ("binary_id", "row_id")})

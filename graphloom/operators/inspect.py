@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphloom.operators.order import numbered
+
 
 def axis_filter(variants: DataFrame, disabled: dict[str, list[str]]) -> DataFrame:
     """Variants none of whose axis values is disabled; a missing value is '?'."""
@@ -39,9 +41,9 @@ def natural_key(text: Column) -> Column:
 
 
 def natural_sort(rows: DataFrame, columns: list[str], within: list[str] | None = None, place: str = "place") -> DataFrame:
-    """rows with their place in natural order; missing values come last."""
+    """rows with their place in natural order; missing values come last. The columns have to tell rows apart."""
     keys = [natural_key(F.col(c).cast("string")).asc_nulls_last() for c in columns]
-    return rows.withColumn(place, F.row_number().over(W.partitionBy(*(within or [F.lit(0)])).orderBy(*keys)) - 1)
+    return numbered(rows, within or [], keys, place).withColumn(place, F.col(place).cast("int"))
 
 
 def group_leaves(variants: DataFrame, grouping: list[str], rest: list[str], leaf: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphloom.operators.order import numbered
+
 
 def parse_reduction(text: str) -> int | None:
     """Percentile of 'p1' to 'p99'; None for 'max' and 'p100'."""
@@ -67,7 +69,7 @@ def count_in_band(lengths: DataFrame, low: int, high: int, keys: list[str] | Non
 
 def length_index(lengths: DataFrame, keys: list[str], section: str = "section_id") -> DataFrame:
     """Position of every eligible section in the stable order by (length, section), within each index."""
-    return lengths.filter("length > 0").withColumn("position", F.row_number().over(W.partitionBy(*keys).orderBy("length", section)) - 1)
+    return numbered(lengths.filter("length > 0"), keys, ["length", section], "position").withColumn("position", F.col("position").cast("int"))
 
 
 def write_length_index(lengths: DataFrame, path: str, section: str = "section_id") -> None:

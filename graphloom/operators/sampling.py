@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.operators.lengths import in_band
+from graphloom.operators.order import numbered
 
 MASK = (1 << 64) - 1
 
@@ -55,7 +56,7 @@ def select_variants(variants: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def exhaustive(sections: DataFrame, group_size: int, cells: list[str]) -> DataFrame:
     """Every eligible section once, with all variants, and its group within the cell."""
-    rows = sections.filter("length > 0").withColumn("__n", F.row_number().over(W.partitionBy(*cells).orderBy("section_id")) - 1)
+    rows = numbered(sections.filter("length > 0"), cells, ["section_id"], "__n")
     every = F.when(F.col("n_variants") > 0, F.sequence(F.lit(0), F.col("n_variants").cast("int") - 1)).otherwise(F.array().cast("array<int>"))
     return rows.select(*cells, "section_id", every.alias("variants"), F.floor(F.col("__n") / group_size).alias("group_id"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.order import numbered
+
 
 def share_by(units: DataFrame, artifacts: DataFrame, axes: list[str], unit: str, of: str, whole: str, part: str) -> DataFrame:
     """(axes, files, mean_share): mean of part / whole over the artifacts, by axes of their units.
@@ -78,11 +80,9 @@ def first_root(files: DataFrame) -> DataFrame:
 
 
 def deal_by_size(files: DataFrame, n: int) -> DataFrame:
-    """Files by falling size, dealt in turn into n lists. A listing of files is small beside them."""
-    from pyspark.sql import Window as W
-
-    place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(F.desc("size_bytes"), "path")) - 1
-    return files.withColumn("place", place).withColumn("list_id", F.col("place") % n)
+    """Files by falling size, dealt in turn into n lists."""
+    dealt = numbered(files, [], [F.desc("size_bytes"), "path"], "place").withColumn("place", F.col("place").cast("int"))
+    return dealt.withColumn("list_id", F.col("place") % n)
 
 
 def rollup(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

@@ -502,7 +502,8 @@ def _(spark, d):
     return decode.pad_ragged(base(spark, d, SIZES), 4)
 
 
-@query("j9_pad_resample")
+@query("j9_pad_resample", f"""SELECT section_id, CAST(s AS INTEGER) AS slot, CASE WHEN s < n_variants THEN s WHEN n_variants > 0 THEN CAST(('0x' || substr(md5(concat_ws('|', '7', section_id, s)), 1, 8)) AS BIGINT) % n_variants END::INTEGER AS variant_idx
+  FROM ({SIZES}) CROSS JOIN (VALUES (0), (1), (2), (3)) t(s)""")
 def _(spark, d):
     return decode.pad_resample(base(spark, d, SIZES), 4, 7)
 
