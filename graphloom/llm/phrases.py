@@ -32,11 +32,11 @@ LEAST, LONGEST, SHARE, TOP = 100, 5, 100, 2000
 CHUNK = 1 << 20
 #: A unit's handle: its chunk (task, chunk of the task) and its number there.
 AT_BITS, SEQ_BITS = 30, 13
-STATE = "chunk bigint, held binary"
+STATE = "chunk bigint, codes binary, held binary"
 #: Units of a chunk go to this many buckets for each shuffle partition, compressed; one task sums a bucket at a time.
 BUCKETS = 2
 UNITS = "bucket int, chunk bigint, lang string, number binary, first binary, second binary, count binary"
-NAMES = "chunk bigint, number binary, id binary, f binary"
+NAMES = "chunk bigint, lang string, number binary, id binary, f binary, first binary, second binary"
 #: Parts of one language's candidates that are ranked before all are.
 SALTS = 64
 
@@ -66,8 +66,11 @@ def _unpack(held: bytes) -> dict[str, pa.Array]:
     return {name: batch.column(i).flatten() for i, name in enumerate(batch.schema.names)}
 
 
-def _state(chunk: int, held: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([held], pa.binary())], names=["chunk", "held"])
+def _pairs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lefts, rights and counts of the distinct pairs of adjacent codes, and of every place the number of the pair there, or -1."""
+    n = int(codes.max(initial=-1)) + 1
+    distinct, counts, at = _units(np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1].astype(np.int64) * n + codes[1:], -1))
+    return distinct // max(n, 1), distinct % max(n, 1), counts, at
 
 
 def _units(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,8 +103,8 @@ def _word_chunk(chunk: int, words: list[pa.Array], langs: list[np.ndarray], firs
     first = np.concatenate(firsts)
     codes = np.full(len(at) + int(first.sum()), -1, dtype=np.int32)
     codes[np.arange(len(at)) + np.cumsum(first)] = at
-    held = _pack(codes=_planes(codes), word=coded.dictionary.take(pa.array(distinct % size)), lang=pa.array(names).take(pa.array(distinct // size)), count=counts)
-    return _state(chunk, held)
+    held = _pack(word=coded.dictionary.take(pa.array(distinct % size)), lang=pa.array(names).take(pa.array(distinct // size)))
+    return _rows([(chunk, _packed(codes), held)], STATE)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,13 +125,16 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _word_chunk(seq, words, langs, firsts, list(names))
 
 
+def _counted(codes: np.ndarray) -> np.ndarray:
+    return np.bincount(codes[codes >= 0]).astype(np.int32)
+
+
 def _lang_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of each language in a chunk."""
     for batch in batches:
-        for held in batch.column(1):
-            got = _unpack(held.as_py())
-            langs = got["lang"].dictionary_encode()
-            sums = np.bincount(langs.indices.to_numpy(), weights=got["count"].to_numpy())
+        for codes, held in zip(batch.column(1), batch.column(2), strict=True):
+            langs = _unpack(held.as_py())["lang"].dictionary_encode()
+            sums = np.bincount(langs.indices.to_numpy(), weights=_counted(_numbers(codes.as_py(), np.int32)))
             yield _rows([(lang, int(n)) for lang, n in zip(langs.dictionary.to_pylist(), sums.tolist(), strict=True)], "lang string, count bigint")
 
 
@@ -162,17 +168,18 @@ def _unit_rows(words: bool, buckets: int):
     """Rows UNITS of all units of a chunk: their numbers, keys and counts. A word's bucket follows its CRC-32."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                got, out = _unpack(held.as_py()), []
-                count = got["count"].to_numpy()
+            for chunk, codes, held in zip(*batch.columns, strict=True):
+                chunk, codes, out = chunk.as_py(), _numbers(codes.as_py(), np.int32), []
                 if words:
+                    count, got = _counted(codes), _unpack(held.as_py())
                     text = np.array(got["word"].cast(pa.large_binary()).to_pylist(), dtype=object)
                     langs = got["lang"].dictionary_encode()
                     kind, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
                     key = np.fromiter(map(zlib.crc32, text), dtype=np.int64, count=len(text)) % buckets * len(names) + kind
                 else:
-                    ids = got["ids"].to_numpy()
-                    left, right = ids[got["left"].to_numpy()], ids[got["right"].to_numpy()]
+                    ids = _numbers(held.as_py(), np.int64)
+                    left, right, count, _ = _pairs(codes)
+                    left, right = ids[left], ids[right]
                     key = (_mixed(left) + _mixed(right + 1) * np.uint64(31)) % np.uint64(buckets)
                 order = np.argsort(key, kind="stable")
                 cuts = np.flatnonzero(np.diff(key[order])) + 1
@@ -189,7 +196,7 @@ def _unit_rows(words: bool, buckets: int):
 
 
 def _named(words: bool, least: int):
-    """Names the frequent units of a bucket: rows NAMES, one for each chunk that holds any. f: their count, where the chunk's unit gave the id."""
+    """Names the frequent units of a bucket: rows NAMES, one for each chunk that holds any. f and keys are of units that gave their id."""
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
         chunks = rows["chunk"].to_pylist()
@@ -200,7 +207,8 @@ def _named(words: bool, least: int):
             langs = rows["lang"].combine_chunks().dictionary_encode().indices.to_numpy()
             codes = np.repeat(langs, sizes).astype(np.int64) * len(texts.dictionary) + texts.indices.to_numpy()
         else:
-            left, right = (np.unique(np.concatenate([_numbers(x.as_py(), np.int64) for x in rows[c]]), return_inverse=True)[1] for c in ("first", "second"))
+            keys = [np.concatenate([_numbers(x.as_py(), np.int64) for x in rows[c]]) for c in ("first", "second")]
+            left, right = (np.unique(k, return_inverse=True)[1] for k in keys)
             codes = left.astype(np.int64) * (int(right.max()) + 1) + right
         handles = np.repeat(np.array(chunks, dtype=np.int64) << AT_BITS, sizes) + np.concatenate(numbers)
         counts = np.concatenate([_numbers(x.as_py(), np.int32) for x in rows["count"]])
@@ -212,46 +220,60 @@ def _named(words: bool, least: int):
         each[order] = np.repeat(f, spread)
         ids = np.empty(len(order), dtype=np.int64)
         ids[order] = np.repeat(handles[order][starts], spread)
-        out, ends = [], np.cumsum(sizes)
+        out, ends, langs = [], np.cumsum(sizes), rows["lang"].to_pylist()
         for i, end in enumerate(ends.tolist()):
             own = slice(end - int(sizes[i]), end)
             keep = each[own] >= least
             if keep.any():
                 here = keep & (ids[own] == handles[own])
-                out.append((chunks[i], _steps(numbers[i][keep]), _packed(ids[own][keep]), _packed(each[own][here])))
+                if words:
+                    first, second = zstandard.compress(b"\n".join(texts.take(pa.array(np.flatnonzero(here) + own.start)).to_pylist()), 1), None
+                else:
+                    first, second = (_packed(k[own][here]) for k in keys)
+                out.append((chunks[i], langs[i], _steps(numbers[i][keep]), _packed(ids[own][keep]), _packed(each[own][here]), first, second))
         return pa.Table.from_batches([_rows(out, NAMES)])
 
     return run
 
 
-def _next_level(keys: list[str]):
-    """Puts ids in the place of units, and pairs adjacent ones: (chunk, held, and what is named here)."""
+def _next_level(words: bool):
+    """Puts the names in the place of units: (chunk, codes, held, and what is named here). Codes that no other is beside are gone."""
     def run(key: tuple, states: pa.Table, names: pa.Table) -> pa.Table:
         chunk = key[0].as_py()
-        got = _unpack(states["held"][0].as_py())
-        number = np.concatenate([np.cumsum(_numbers(x.as_py(), np.int32)) for x in names["number"]] or [np.zeros(0, dtype=np.int64)])
-        ids, f = (np.concatenate([_numbers(x.as_py(), np.int64) for x in names[c]] or [np.zeros(0, dtype=np.int64)]) for c in ("id", "f"))
-        here = number[ids == (chunk << AT_BITS) + number]  # f goes with these, in this order
-        if "left" in keys:
-            held_ids = got["ids"]
-            own = [held_ids.take(got[k].take(pa.array(here))) for k in keys]
-        else:
-            own = [got[k].take(pa.array(here)).cast(pa.string()) for k in keys]
-        fresh = {"id": pa.array((chunk << AT_BITS) + here), **dict(zip(keys, own, strict=True)), "f": pa.array(f)}
-        held = b""
-        if len(number):
+        number, ids, fresh = [], [], {"id": [], "f": [], **({"lang": [], "word": []} if words else {"left": [], "right": []})}
+        for row in names.to_pylist():
+            number.append(np.cumsum(_numbers(row["number"], np.int32)))
+            ids.append(_numbers(row["id"], np.int64))
+            own = ids[-1][ids[-1] == (chunk << AT_BITS) + number[-1]].tolist()
+            fresh["id"] += own
+            fresh["f"] += _numbers(row["f"], np.int64).tolist()
+            if words and own:
+                fresh["word"] += zstandard.decompress(row["first"]).decode("utf-8", "surrogatepass").split("\n")
+                fresh["lang"] += [row["lang"]] * len(own)
+            elif not words:
+                fresh["left"] += _numbers(row["first"], np.int64).tolist()
+                fresh["right"] += _numbers(row["second"], np.int64).tolist()
+        codes = held = b""
+        if number:
+            number, ids = np.concatenate(number), np.concatenate(ids)
             order = np.argsort(number)
-            ids = ids[order]
-            code = np.full(len(got["count"]) + 1, -1, dtype=np.int64)  # the last is what -1 finds
+            at = _numbers(states["codes"][0].as_py(), np.int32)
+            at = at if words else _pairs(at)[3]
+            code = np.full(int(at.max(initial=-1)) + 2, -1, dtype=np.int32)  # the last is what -1 finds
             code[number[order]] = np.arange(len(number))
-            codes = code[_joined(got["codes"].to_numpy(), np.int32)]
-            pair = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * len(ids) + codes[1:], -1)
-            pair = pair[(pair >= 0) | np.concatenate([[True], pair[:-1] >= 0])] if len(pair) else pair  # one -1 of a run
-            distinct, counts, at = _units(pair)
-            if len(distinct):
-                held = _pack(codes=_planes(at), ids=ids, left=(distinct // len(ids)).astype(np.int32), right=(distinct % len(ids)).astype(np.int32), count=counts)
-        lists = {c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in fresh.items()}
-        return pa.table({"chunk": pa.array([chunk], pa.int64()), "held": pa.array([held], pa.binary()), **lists})
+            new = code[at]
+            real = new >= 0
+            beside = np.zeros(len(new) + 2, dtype=bool)
+            beside[:-2] |= real
+            beside[2:] |= real
+            real &= beside[1:-1]
+            new = np.where(real, new, -1)[real | np.concatenate([[True], real[:-1]])]  # one -1 of a run
+            if (new >= 0).any():
+                codes, held = _packed(new), _packed(ids[order])
+        made = _rows([(chunk, codes, held)], STATE)
+        kinds = {"id": pa.int64(), "f": pa.int64(), "lang": pa.string(), "word": pa.string(), "left": pa.int64(), "right": pa.int64()}
+        lists = {c: pa.array([v], pa.list_(kinds[c])) for c, v in fresh.items()}
+        return pa.table({**{c: made[c] for c in made.schema.names}, **lists})
 
     return run
 
@@ -260,8 +282,8 @@ def _level(state: DataFrame, keys: list[str], kind: str, least: int) -> DataFram
     words = "word" in keys
     units = state.mapInArrow(_unit_rows(words, BUCKETS * shuffle_width(state.sparkSession)), UNITS)
     names = units.groupBy("bucket").applyInArrow(_named(words, least), NAMES)
-    lists = ", ".join(f"{c} array<{t}>" for c, t in [("id", "bigint"), *[(k, kind) for k in keys], ("f", "bigint")])
-    return cut(state.groupBy("chunk").cogroup(names.groupBy("chunk")).applyInArrow(_next_level(keys), f"{STATE}, {lists}"))
+    lists = ", ".join(f"{c} array<{t}>" for c, t in [("id", "bigint"), ("f", "bigint"), *[(k, kind) for k in keys]])
+    return cut(state.select("chunk", "codes").groupBy("chunk").cogroup(names.groupBy("chunk")).applyInArrow(_next_level(words), f"{STATE}, {lists}"))
 
 
 def _entries(level: DataFrame, keys: list[str]) -> DataFrame:
@@ -276,7 +298,7 @@ def levels(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", leas
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
     state = cut(texts.mapInArrow(_chunks, STATE))
-    totals = state.mapInArrow(_lang_rows, "lang string, count bigint").groupBy("lang").agg(F.sum("count").alias("n"))
+    totals = cut(state.mapInArrow(_lang_rows, "lang string, count bigint").groupBy("lang").agg(F.sum("count").alias("n")))
     keys, kind, found = ["lang", "word"], "string", []
     for k in range(1, longest + 1):
         level = _level(state, keys, kind, least)
@@ -290,8 +312,9 @@ def levels(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", leas
             known = both.select("id", "left", "right", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", "f",
                                 F.concat("starts", F.array("f")).alias("starts"), F.concat("ends", F.array("f")).alias("ends"))
         found.append(cut(known))
+        state, keys, kind = level.select("chunk", "codes", "held").filter(F.length("held") > 0), ["left", "right"], "bigint"
+        del level, entries, known
         release(docs.sparkSession)
-        state, keys, kind = level.select("chunk", "held").filter(F.length("held") > 0), ["left", "right"], "bigint"
     return totals, found
 
 
