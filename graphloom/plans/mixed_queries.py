@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.operators import batch, decode, graph
+from graphloom.functions import constants as constant_rules
+from graphloom.functions import patterns
+from graphloom.operators import batch, constants, decode, graph
 from graphloom.plans.batch_queries import LANES, SPAN, STEP_ROWS, as_text
 from graphloom.plans.catalog_queries import EDGES, QUERIES, VARS, base, edges, query
 
@@ -107,3 +109,53 @@ def _(spark, d):
     runs = base(spark, d, f"SELECT section_id, variant_idx, CASE WHEN body_len % 7 > 4 THEN array(CAST(body_len % 7 AS INT) * 3) ELSE array(3, 0, CAST(body_len % 7 AS INT) * 3 - 3) END AS block_rl, array_repeat(3, CAST(body_len % 7 AS INT)) AS insn_rl FROM ({VARS}) WHERE body_len % 7 > 0")
     rows = bodies(spark, d).withColumn("tokens", F.slice("tokens", 1, 1000)).join(runs, ["section_id", "variant_idx"]).withColumn("insn_rl", F.slice("insn_rl", 1, 6))
     return batch.block_runs(rows, ["section_id", "variant_idx"]).withColumn("slots", F.array_join("slots", ","))
+
+
+KIND_OF = "CASE p_partkey % 12 WHEN 0 THEN 'PLT_FUNCTION' WHEN 1 THEN 'LOCAL_FUNCTION' WHEN 2 THEN 'LOCAL_FUNCTION' WHEN 3 THEN 'EXT_FUNCTION_REAL' WHEN 4 THEN 'EXT_FUNCTION_SYNTHETIC' WHEN 5 THEN 'STRING' WHEN 6 THEN 'JUMP_TABLE_SLOT' WHEN 7 THEN 'CODE_PTR_TABLE_SLOT' WHEN 8 THEN 'RODATA' WHEN 9 THEN 'BSS' WHEN 10 THEN 'UNKNOWN' ELSE 'DATA' END"
+RANGES = f"""SELECT p_partkey % 3 AS program, p_partkey * 37 AS start, p_partkey * 37 + p_size AS "end", {KIND_OF} AS kind, p_size % 9 = 0 AS is_vtable, p_size % 2 = 0 AS tls, p_partkey * 1000 AS base, p_size * 8 AS "offset",
+  CASE WHEN p_size % 4 = 0 THEN 'local function' END AS target_rule, p_partkey * 11 AS target FROM {{part}}"""
+CONSTANTS = """SELECT l_orderkey, l_linenumber, l_partkey % 3 AS program, l_partkey * 37 + CAST(l_quantity AS INTEGER) % 45 - 60 * (l_linenumber % 2) AS value, l_linenumber = 4 AS is_arithmetic,
+  CASE WHEN l_orderkey % 13 = 0 THEN 'f64' END AS fp_type, CASE WHEN l_orderkey % 5 = 0 THEN 'f32' END AS fp_postfix FROM {lineitem}"""
+
+
+@query("b14_constant_rules", f"""WITH r AS ({RANGES}), k AS ({CONSTANTS}),
+  m AS (SELECT k.*, r.start, r.kind, r.is_vtable, r.tls, r.base, r."offset", r.target_rule, r.target FROM k LEFT JOIN r ON r.program = k.program AND NOT k.is_arithmetic AND k.value >= r.start AND k.value < r."end"
+    QUALIFY row_number() OVER (PARTITION BY k.l_orderkey, k.l_linenumber, k.program, k.value ORDER BY r."end" - r.start, r.start) = 1),
+  n AS (SELECT *, CASE WHEN fp_type IS NOT NULL THEN 'float' WHEN kind IS NULL THEN 'value' WHEN kind = 'PLT_FUNCTION' THEN 'linked function' WHEN kind = 'LOCAL_FUNCTION' AND value = start THEN 'local function' WHEN kind = 'LOCAL_FUNCTION' THEN 'block'
+    WHEN kind = 'EXT_FUNCTION_REAL' THEN 'external function' WHEN kind = 'EXT_FUNCTION_SYNTHETIC' THEN 'synthetic function' WHEN kind = 'STRING' THEN 'string' WHEN kind = 'JUMP_TABLE_SLOT' THEN 'jump table slot' WHEN kind = 'CODE_PTR_TABLE_SLOT' OR is_vtable THEN 'pointer slot'
+    WHEN kind = 'RODATA' THEN 'read-only data' WHEN kind IN ('DATA', 'BSS', 'THREAD_LOCAL_DATA') THEN 'writable data' ELSE 'value' END AS rule FROM m)
+  SELECT l_orderkey, l_linenumber, program, value, rule, CASE rule WHEN 'float' THEN 'FLOAT_f64:' || value WHEN 'linked function' THEN 'PLT_FUNC:' || value WHEN 'local function' THEN 'LOCAL_FUNC:' || value WHEN 'block' THEN 'BLOCK:' || value
+    WHEN 'external function' THEN 'EXT_FUNC:' || value WHEN 'synthetic function' THEN 'EXT_FUNC:' || value WHEN 'string' THEN 'STRING_PTR:' || value WHEN 'jump table slot' THEN 'JUMP_TABLE:' || base || ',VALUED_CONST:' || "offset"
+    WHEN 'pointer slot' THEN CASE WHEN is_vtable THEN 'VTABLE,' ELSE 'CODE_PTR_TABLE,' END || CASE WHEN target_rule IS NOT NULL THEN 'LOCAL_FUNC:' || target ELSE 'RO_DATA_PTR:' || start || ',VALUED_CONST:' || (value - start) END
+    WHEN 'read-only data' THEN 'RO_DATA_PTR:' || value WHEN 'writable data' THEN CASE WHEN tls THEN 'THREAD_LOCAL,' ELSE '' END || 'RW_DATA_PTR:' || value ELSE 'VALUED_CONST:' || abs(value) || CASE WHEN value < 0 THEN ',VALUE_NEGATIVE' ELSE '' END END
+    || CASE WHEN fp_postfix IS NOT NULL AND rule IN ('string', 'jump table slot', 'pointer slot', 'read-only data', 'writable data', 'value') THEN ',FLOAT_f32' ELSE '' END AS tokens FROM n""")
+def _(spark, d):
+    rows = constants.classified(base(spark, d, CONSTANTS), base(spark, d, RANGES.replace('"', "`")))
+    text = F.array_join(F.transform("emitted", lambda t: F.concat_ws(":", t["token"], t["number"].cast("string"))), ",")
+    return rows.select("l_orderkey", "l_linenumber", "program", "value", "rule", text.alias("tokens"))
+
+
+@query("b15_resolved_targets", f"""SELECT l_orderkey, l_linenumber, CASE WHEN kind IN ('STRING', 'PLT_FUNCTION', 'LOCAL_FUNCTION', 'CODE_PTR_TABLE_SLOT') THEN 'anchor' WHEN target BETWEEN low AND low + 300 THEN 'own function' WHEN l_linestatus = 'O' THEN 'memory access'
+  WHEN (arch = 'arm32' AND mnemonic = 'movt') OR (arch = 'mips' AND mnemonic IN ('ori', 'addi', 'daddi')) THEN 'address pair' END AS reason FROM (
+  SELECT l_orderkey, l_linenumber, l_linestatus, l_partkey * 3 AS target, l_suppkey * 100 AS low, CASE WHEN l_partkey % 2 = 0 THEN 'arm32' ELSE 'mips' END AS arch, CASE l_linenumber % 4 WHEN 0 THEN 'movt' WHEN 1 THEN 'ori' WHEN 2 THEN 'csel' ELSE 'daddi' END AS mnemonic,
+    {KIND_OF} AS kind FROM {{lineitem}} JOIN {{part}} ON p_partkey = l_partkey)""")
+def _(spark, d):
+    rows = base(spark, d, f"SELECT l_orderkey, l_linenumber, l_linestatus, l_partkey * 3 AS target, l_suppkey * 100 AS low, IF(l_partkey % 2 = 0, 'arm32', 'mips') AS arch, element_at(array('movt', 'ori', 'csel', 'daddi'), l_linenumber % 4 + 1) AS mnemonic, {KIND_OF} AS kind FROM {{lineitem}} JOIN {{part}} ON p_partkey = l_partkey")
+    reason = constant_rules.target_reason(F.col("kind"), F.col("target"), F.col("low"), F.col("low") + 300, F.col("arch"), F.col("mnemonic"), F.col("l_linestatus") == "O")
+    return rows.select("l_orderkey", "l_linenumber", reason.alias("reason"))
+
+
+# An order's items, in order: flag and status as the kind of a token, the supplier as its value.
+TOKEN_TEXT = "SELECT l_orderkey, string_agg(CONCAT(l_returnflag, l_linestatus, '=', CAST(l_suppkey % 4 AS VARCHAR), ';'), '' ORDER BY l_linenumber, l_partkey, l_suppkey) AS t FROM {lineitem} GROUP BY l_orderkey"
+
+
+@query("b17_pattern_rules", f"""SELECT l_orderkey, CASE WHEN regexp_full_match(t, '(NO=[0-9];)+') THEN 'open' WHEN regexp_full_match(t, '(RF=[0-9];)?(AF=[0-9];|RF=2;)+') THEN 'returned' WHEN regexp_full_match(t, '[ANR][OF]=3;.*') AND regexp_full_match(t, '[ANR][OF]=[0-9];([ANR][OF]=[0-9];)?') THEN 'short' END AS rule,
+  CASE WHEN regexp_full_match(t, '(NO=[0-9];)+') THEN regexp_extract(t, '=([0-9]);$', 1) END AS last_value FROM ({TOKEN_TEXT})""")
+def _(spark, d):
+    kind = F.concat("l_returnflag", "l_linestatus")
+    rows = base(spark, d, "SELECT * FROM {lineitem}").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", kind.alias("kind"), (F.col("l_suppkey") % 4).cast("string").alias("value")))).alias("tokens"))
+    t, of = patterns.as_text(F.col("tokens")), patterns.token
+    opened = patterns.some(of("NO", name="last_value"))
+    rules = {"open": opened, "returned": patterns.sequence(patterns.maybe(patterns.sequence(of("RF"), patterns.ahead(patterns.either(of("AF"), of("RF", "2"))))), patterns.some(patterns.either(of("AF"), of("RF", "2")))),
+             "short": patterns.sequence(patterns.ahead(of(value="3")), of(), patterns.maybe(of()))}
+    return rows.select("l_orderkey", patterns.first_rule(t, rules).alias("rule"), patterns.captured(t, opened)["last_value"].alias("last_value"))
