@@ -9,6 +9,9 @@ from graphloom.functions import patterns
 from graphloom.operators import batch, constants, decode, graph
 from graphloom.plans.batch_queries import LANES, SPAN, STEP_ROWS, as_text
 from graphloom.plans.catalog_queries import EDGES, QUERIES, VARS, base, edges, query
+from graphloom.plans.materialize import materialized
+from graphloom.sources import stored
+
 
 #: Type and arm of an edge: every third callee is linked, every eleventh external; every fifth section is unmatched.
 TYPE, MATCHED = "CASE WHEN callee_section % 11 = 0 THEN 11 WHEN callee_section % 3 = 0 THEN 10 ELSE 9 END", "callee_section % 5 <> 0"
@@ -159,3 +162,15 @@ def _(spark, d):
     rules = {"open": opened, "returned": patterns.sequence(patterns.maybe(patterns.sequence(of("RF"), patterns.ahead(patterns.either(of("AF"), of("RF", "2"))))), patterns.some(patterns.either(of("AF"), of("RF", "2")))),
              "short": patterns.sequence(patterns.ahead(of(value="3")), of(), patterns.maybe(of()))}
     return rows.select("l_orderkey", patterns.first_rule(t, rules).alias("rule"), patterns.captured(t, opened)["last_value"].alias("last_value"))
+
+
+@query("a28_stored_geometry", f"""SELECT v.section_id, v.variant_idx, CAST(coalesce(sum(CASE WHEN kind IN (1, 2, 3) THEN 2 WHEN kind IS NOT NULL THEN 1 END), 0) AS INTEGER) AS body_len, CAST(count(*) FILTER (kind IN (1, 2, 3)) AS INTEGER) AS id_count, CAST(count(*) FILTER (kind IN (0, 4)) AS INTEGER) AS value_count
+  FROM ({VARS}) v LEFT JOIN ({STEP_ROWS}) s USING (section_id, variant_idx) GROUP BY ALL""")
+def _(spark, d):
+    nodes = base(spark, d, f"SELECT section_id, variant_idx FROM ({VARS})")
+    geometry = decode.geometry(bodies(spark, d).drop("body_len")).drop("tokens")
+    materialized(nodes.limit(1))  # so that the shared folder is set
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    key = stored.publish({"nodes": nodes, "geometry": geometry}, f"{folder}/stored", 8)
+    tables = stored.current(spark, f"{folder}/stored", key)
+    return stored.with_stored(tables["nodes"], tables["geometry"])

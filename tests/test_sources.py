@@ -60,3 +60,70 @@ def test_index_as_it_arrives(spark, tmp_path):
 def test_ready_pool(spark):
     pool = incremental.ReadyPool({"a": lambda n: spark.range(n * 3, n * 3 + 3)}, lambda rows: [r["id"] for r in rows])
     assert [pool.get("a", 2) for _ in range(3)] == [[0, 1], [2, 3], [4, 5]]
+
+
+def test_stored_nodes_meet_geometry_without_a_shuffle(spark, tmp_path):
+    from graphloom.sources import stored
+
+    path = str(tmp_path / "catalog")
+    nodes = spark.range(400).selectExpr("id % 40 AS section_id", "CAST(id DIV 40 AS INT) AS variant_idx", "id AS root")
+    geometry = spark.range(400).selectExpr("id % 40 AS section_id", "CAST(id DIV 40 AS INT) AS variant_idx", "id * 2 AS body_len")
+    bodies = geometry.selectExpr("section_id", "variant_idx", "array(section_id) AS tokens")
+    key = stored.publish({"nodes": nodes, "geometry": geometry, "bodies": bodies}, path, 4)
+    tables = stored.current(spark, path)
+    both = stored.with_stored(stored.with_stored(tables["nodes"], tables["geometry"]), tables["bodies"])
+    assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString()
+    assert both.filter("body_len = root * 2 and tokens[0] = section_id").count() == 400
+    assert stored.publish({"nodes": nodes, "geometry": geometry.repartition(3), "bodies": bodies}, path, 4) == key
+    other = stored.publish({"nodes": nodes, "geometry": geometry.withColumn("body_len", geometry.body_len + 1), "bodies": bodies}, path, 4)
+    assert other != key and stored.current(spark, path)["geometry"].filter("body_len % 2 = 1").count() == 400
+    for t in ("nodes", "geometry", "bodies"):  # as a session that didn't write them
+        spark.sql(f"DROP TABLE graphloom_{key}_{t}")
+    old = stored.current(spark, path, key)
+    assert old["geometry"].filter("body_len % 2 = 1").count() == 0
+    assert "Exchange" not in stored.with_stored(old["nodes"], old["geometry"])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_failed_publication_leaves_the_pointer(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from graphloom.sources import stored
+
+    path, rows = str(tmp_path / "catalog"), spark.range(9).selectExpr("id AS section_id", "0 AS variant_idx")
+    with pytest.raises(ValueError, match="nothing is published"):
+        stored.current(spark, path)
+    key = stored.publish({"nodes": rows}, path, 2)
+    with pytest.raises(Exception, match="no row"):
+        stored.publish({"nodes": rows.limit(3), "bad": rows.withColumn("x", F.when(F.col("section_id") < 8, 1).otherwise(F.raise_error(F.lit("no row")).cast("int")))}, path, 2)
+    assert stored.current(spark, path).keys() == {"nodes"} and stored.current(spark, path)["nodes"].count() == 9
+    assert stored.current(spark, path, key)["nodes"].count() == 9
+
+
+def test_results_are_reused_by_the_key_of_their_inputs(spark, tmp_path):
+    from graphloom.sources import stored
+
+    path = str(tmp_path / "made")
+    assert stored.checked(spark.range(3), path, "a").count() == 3
+    assert stored.checked(spark.range(5), path, "a").count() == 3
+    assert stored.checked(spark.range(5), path, "b").count() == 5
+    assert stored.checked(spark.range(7), path, "a").count() == 7
+
+
+def test_a_band_is_read_from_its_row_groups(spark, tmp_path):
+    from graphloom.operators import lengths
+    from graphloom.sources import stored
+
+    rows = spark.range(200_000).selectExpr("'max' AS mode", "CAST(id % 2 AS INT) AS depth", "id AS section_id", "(id * 7919) % 1000 AS length")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lengths.write_length_index(rows, str(tmp_path / "index"))
+        band = stored.read_band(spark, str(tmp_path / "index"), "max", 1, 100, 120)
+        assert band.count() == rows.filter("depth = 1 and length between 100 and 120").count()
+        plan = band._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        leaf = plan.collectLeaves().head()
+        read = leaf.metrics().apply("numOutputRows").value()
+        assert 0 < read < 100_000 / 2 and "PartitionFilters: [isnotnull(mode" in plan.toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
