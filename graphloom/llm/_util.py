@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the files of shuffles, broadcasts and checkpoints that nothing refers to any more.
 
-    Spark does so when the driver's JVM collects garbage, which may be long after the disks are full.
+    Spark does so when the driver's JVM collects garbage, which may be long after the disks are full. What Python
+    referred to is only free after a moment, so a second collection follows.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
