@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import beside, cut
+from graphloom.llm._util import beside, cut, sieve
 
 
 @dataclass(frozen=True)
@@ -201,13 +201,18 @@ def find(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULE
         keyed = docs.select(F.sha2(text, 256).alias("key"), text.alias("text"))
         named = cut(candidates(postings(keyed, grams), gated, grams))
         picked = named.select(F.col("key").alias("k"), "rules")
-        if named.count() <= BROADCAST_ROWS:
+        few = named.count() <= BROADCAST_ROWS
+        if few:
             picked = F.broadcast(picked)
+        else:  # only texts that may be candidates are shuffled, and of copies one is verified
+            keyed = sieve(keyed, "key", picked.select("k")).filter("__maybe").drop("__maybe")
         found = F.array().cast(f"array<{SPAN}>")
         for i, r in enumerate(gated):
             none = F.array().cast(f"array<{SPAN}>")
             found = F.concat(found, F.when(F.array_contains("rules", i), matches(F.col("text"), r, rules.index(r))).otherwise(none))
-        verified = keyed.join(picked, F.col("key") == F.col("k")).select("key", found.alias("found")).filter(F.size("found") > 0)
+        chosen = keyed.join(picked, F.col("key") == F.col("k"))
+        chosen = chosen if few else chosen.dropDuplicates(["key"])
+        verified = chosen.select("key", found.alias("found")).filter(F.size("found") > 0)
         verified = cut(verified.groupBy("key").agg(F.max("found").alias("__found")).withColumnRenamed("key", "__k"))
         held = verified.agg(F.count("*"), F.sum(F.size("__found"))).first()
         out = beside(out, "__key", verified, "__k", held[0] + (held[1] or 0) <= BROADCAST_ROWS).withColumn("__every", F.concat("__every", F.coalesce("__found", F.array().cast(f"array<{SPAN}>"))))
