@@ -67,3 +67,32 @@ def test_the_pipeline_packs_what_its_stages_keep(spark):
     assert {"doc_id", "piece", "length", "sequence_id", "offset"} <= set(got.columns)
     assert 0 < len(ids) < spark.read.parquet(f"{DATA}/documents.parquet").count()
     assert got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("m")).filter("n <> m or n > 2048").count() == 0
+
+
+def test_keys_of_lines_with_words_changed():
+    """Of lines alike, 0.9 and more share a key at each length and similarity; pairs and seed played no part in the choice of keys."""
+    import random
+
+    import pyarrow.parquet as pq
+
+    from graphloom.llm import line_dedup
+
+    rnd = random.Random(20261)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    lines = sorted({b" ".join(line).decode() for t in texts for line in line_dedup.normal_lines(t or "") if line})
+    words = sorted({w for line in lines for w in line.split()})
+
+    def changed(line, low, high):
+        for _ in range(30):
+            share = rnd.uniform(0.05, 0.4)
+            new = " ".join(rnd.choice(words) if rnd.random() < share else w for w in line.split())
+            n = max(len(new), len(line))
+            if not line_dedup.within(line, new, int((1 - high) * n)) and line_dedup.within(line, new, int((1 - low) * n + 1e-9)):
+                return new
+
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 0.95)):
+        for least, most in ((26, 40), (41, 80), (81, 204), (205, 400), (401, 1 << 60)):
+            own = [line for line in lines if least <= len(line) <= most]
+            pairs = [(line, new) for line in rnd.sample(own, min(len(own), 100)) if (new := changed(line, low, high))]
+            met = sum(bool(set(line_dedup.line_keys([a.encode()])[0].tolist()) & set(line_dedup.line_keys([b.encode()])[0].tolist())) for a, b in pairs)
+            assert met >= 0.85 * len(pairs) and (most <= 80 or met >= 0.9 * len(pairs)), (low, least, met, len(pairs))
