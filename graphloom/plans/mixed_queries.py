@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import constants as constant_rules
 from graphloom.functions import patterns
-from graphloom.operators import batch, constants, decode, graph
+from graphloom.operators import batch, constants, decode, graph, render
 from graphloom.plans.batch_queries import LANES, SPAN, STEP_ROWS, as_text
 from graphloom.plans.catalog_queries import EDGES, QUERIES, VARS, base, edges, query
 from graphloom.plans.materialize import materialized
@@ -174,3 +174,19 @@ def _(spark, d):
     key = stored.publish({"nodes": nodes, "geometry": geometry}, f"{folder}/stored", 8)
     tables = stored.current(spark, f"{folder}/stored", key)
     return stored.with_stored(tables["nodes"], tables["geometry"])
+
+
+# The text of every token of a step: a value, a function by name, a jump, data, then the instruction behind it.
+@query("m17_rendered_lines", f"""WITH st AS (SELECT *, {CATEGORY} AS cat FROM ({STEP_ROWS})),
+  tg AS (SELECT section_id, variant_idx, type AS cat, row_number() OVER (PARTITION BY section_id, variant_idx, type ORDER BY called_idx) - 1 AS place, 'f' || callee_section AS name FROM (SELECT *, {TYPE} AS type FROM ({EDGES})))
+  SELECT st.section_id, st.variant_idx, CAST(i // 2 AS INTEGER) AS block, CAST(i % 2 AS INTEGER) AS insn, CASE WHEN kind IN (0, 4) THEN 'v:' || CASE WHEN minus THEN '-' || first ELSE CAST(first * 256 + second AS VARCHAR) END
+    WHEN kind = 1 THEN CASE st.cat WHEN 9 THEN 'local' ELSE 'plt' END || ' function ' || first || ': ' || coalesce(name, '?') WHEN kind = 2 THEN 'jump block: ' || first ELSE 'RO_DATA_PTR:' || first END
+    || CASE WHEN kind IN (1, 2, 3) THEN ' i' || first ELSE '' END AS text, CAST(CASE WHEN kind IN (1, 2) THEN 1 ELSE 0 END AS INTEGER) AS n_refers
+  FROM st LEFT JOIN tg ON tg.section_id = st.section_id AND tg.variant_idx = st.variant_idx AND tg.cat = st.cat AND tg.place = st.first""")
+def _(spark, d):
+    e = typed(spark, d).select("section_id", "variant_idx", F.col("type").alias("category"), "called_idx", F.concat(F.lit("f"), F.col("callee_section").cast("string")).alias("name"))
+    calls = decode.segmented_rank(e, ["section_id", "variant_idx", "category"], ["called_idx"]).withColumnRenamed("rank", "place").withColumn("provider", F.lit(None).cast("string"))
+    steps = (F.size("tokens") / 3).cast("int")
+    rows = bodies(spark, d).withColumn("insn_rl", F.array_repeat(F.lit(3), steps)).withColumn("block_rl", F.concat(F.array_repeat(F.lit(6), (steps / 2).cast("int")), F.array_repeat(F.lit(3), steps % 2)))
+    vocab = spark.range(272, 277).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("i"), (F.col("id") - 272).cast("string")).alias("token"))
+    return render.lines(rows, vocab, calls).select("section_id", "variant_idx", "block", "insn", "text", F.size("refers").alias("n_refers"))
