@@ -119,19 +119,23 @@ def run_lengths(rows: DataFrame, keys: list[str], position: str, flag: str) -> D
     return kept.withColumn("__g", island).groupBy(*keys, "__g").agg(F.min(position).alias("start"), F.count("*").alias("run")).drop("__g")
 
 
-def rebase_runs(tokens_per_insn: Column, tokens_per_block: Column) -> Column:
-    """Instructions of each block, from both run lengths over the same tokens."""
-    def ends(runs: Column) -> Column:
-        return F.transform(runs, lambda _, i: F.aggregate(F.slice(runs, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x))
+def _ends(runs: Column) -> Column:
+    """Where each run ends, in one pass."""
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
+    return F.aggregate(runs, none, lambda a, n: F.struct((a["at"] + n).cast("int").alias("at"), F.concat(a["ends"], F.array((a["at"] + n).cast("int"))).alias("ends")), lambda a: a["ends"])
+
 
-    insns, blocks = ends(tokens_per_insn), ends(tokens_per_block)
-    return F.transform(blocks, lambda e, i: F.size(F.filter(insns, lambda x: (x <= e) & (x > F.when(i > 0, F.get(blocks, i - 1)).otherwise(0)))))
+def rebase_runs(tokens_per_insn: Column, tokens_per_block: Column) -> Column:
+    """Instructions of each block, from both run lengths over the same tokens: those that end in it. batch.block_runs does it for long bodies."""
+    insns, blocks = _ends(tokens_per_insn), _ends(tokens_per_block)
+    until = F.transform(blocks, lambda e: F.size(F.filter(insns, lambda x: x <= e)))
+    return F.transform(until, lambda n, i: n - F.when(i > 0, F.get(until, i - 1)).otherwise(0))
 
 
 def split_blocks(strings: Column, tokens_per_block: Column) -> Column:
     """Token strings as one text per block."""
-    start = F.transform(tokens_per_block, lambda _, i: F.aggregate(F.slice(tokens_per_block, F.lit(1), i), F.lit(0), lambda a, x: a + x))
-    return F.transform(tokens_per_block, lambda n, i: F.array_join(F.slice(strings, F.get(start, i) + 1, n), " "))
+    ends = _ends(tokens_per_block)
+    return F.transform(tokens_per_block, lambda n, i: F.array_join(F.slice(strings, F.get(ends, i) - n + 1, n), " "))
 
 
 def variant_prefix(prefix: Column) -> Column:

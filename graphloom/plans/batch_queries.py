@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphloom.functions import metadata
 from graphloom.operators import batch, decode, lengths, vocab
 from graphloom.plans.catalog_queries import EDGES, ITEMS, LOCAL, QUERIES, SIZES, STREAM, TOTAL, UNIFIED, VARS, base, edges, levels_sql, query, streams, unified
 from graphloom.sources import catalog_tables
@@ -194,9 +195,11 @@ def _(spark, d):
     return catalog_tables.function_by_name(sections, variants, "1-URGENT", "f7").select("section_id", "variant_idx", "body_id")
 
 
-@query("d24_float_inventory", "SELECT l_returnflag, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_found FROM (SELECT l_returnflag, l_suppkey, count(*) FILTER (l_quantity > 45) AS n FROM {lineitem} GROUP BY ALL) WHERE n > 0 GROUP BY l_returnflag")
+@query("d24_float_inventory", f"""SELECT conv_id % 7 AS package, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_found FROM (SELECT conv_id, count(*) AS n FROM (
+  SELECT conv_id, token, lead(token) OVER (PARTITION BY conv_id ORDER BY turn) AS following FROM ({STREAM})) WHERE token BETWEEN 257 AND 263 AND coalesce(following, 256) >= 256 GROUP BY conv_id) GROUP BY ALL""")
 def _(spark, d):
-    return catalog_tables.files_with(base(spark, d, "SELECT l_returnflag, l_suppkey, l_quantity FROM {lineitem}"), "l_returnflag", "l_suppkey", (F.col("l_quantity") > 45).cast("long"))
+    broken = F.size(metadata.broken_floats(F.col("tokens"), list(range(257, 264)))).cast("long")
+    return catalog_tables.files_with(streams(spark, d).withColumn("package", F.col("conv_id") % 7), "package", "conv_id", broken)
 
 
 @query("f9_report_rows", f"SELECT * FROM ({SECTIONS}) ORDER BY section_id LIMIT 10")

@@ -669,9 +669,9 @@ def _(spark, d):
     return stats.size_summary(base(spark, d, "SELECT l_returnflag, l_quantity AS ratio FROM {lineitem}"), ["l_returnflag"])
 
 
-@query("a33_first_root", "SELECT concat('b', CAST(o_custkey AS STRING)) AS base, min(o_orderkey) AS root_ord FROM {orders} GROUP BY o_custkey")
+@query("a33_first_root", "SELECT concat('b', CAST(o_custkey AS STRING)) AS base, min(o_orderkey) AS root_ord, arg_min(o_orderstatus, o_orderkey) AS path, arg_min(o_totalprice, o_orderkey) AS size_bytes FROM {orders} GROUP BY o_custkey")
 def _(spark, d):
-    return stats.first_root(base(spark, d, "SELECT concat('b', CAST(o_custkey AS STRING)) AS base, o_orderkey AS root_ord, o_orderstatus AS path, o_totalprice AS size_bytes FROM {orders}")).select("base", "root_ord")
+    return stats.first_root(base(spark, d, "SELECT concat('b', CAST(o_custkey AS STRING)) AS base, o_orderkey AS root_ord, o_orderstatus AS path, o_totalprice AS size_bytes FROM {orders}"))
 
 
 @query("f7_size_deal", "SELECT p_partkey AS path, CAST((row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1) % 6 AS INTEGER) AS list_id FROM {part}")
@@ -784,16 +784,17 @@ def _(spark, d):
     return p.select("p_partkey", cell.alias("cell")).withColumn("n", F.size(codecs.split_names(F.col("cell")))).withColumn("last", F.element_at(codecs.split_names(F.col("cell")), -1))
 
 
-@query("h11_line_numbers", "SELECT p_partkey, p_partkey + 1 AS back FROM {part}")
+@query("h11_line_numbers", """SELECT p_partkey, p_partkey + 1 AS back, translate(rtrim(to_base64(unhex(CASE WHEN length(h) % 2 = 1 THEN '0' || h ELSE h END)), '='), '+/', '-_') AS cell
+  FROM (SELECT p_partkey, printf('%x', p_partkey + 1) AS h FROM {part})""")
 def _(spark, d):
     p = base(spark, d, "SELECT p_partkey, p_partkey + 1 AS n FROM {part}")
-    return p.select("p_partkey", codecs.decode_line_no(codecs.encode_line_no(F.col("n"))).alias("back"))
+    return p.withColumn("cell", codecs.encode_line_no(F.col("n"))).select("p_partkey", codecs.decode_line_no(F.col("cell")).alias("back"), "cell")
 
 
-@query("h14_inline_indexer", "SELECT p_partkey, p_partkey * 16 AS back FROM {part}")
+@query("h14_inline_indexer", "SELECT p_partkey, p_partkey * 16 AS back, substr(h, 7, 2) || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS cell FROM (SELECT p_partkey, printf('%08x', p_partkey) AS h FROM {part})")
 def _(spark, d):
     p = base(spark, d, "SELECT p_partkey, p_partkey * 16 AS n FROM {part}")
-    return p.select("p_partkey", codecs.decode_inline_indexer(codecs.inline_indexer(F.col("n"))).alias("back"))
+    return p.withColumn("cell", codecs.inline_indexer(F.col("n"))).select("p_partkey", codecs.decode_inline_indexer(F.col("cell")).alias("back"), "cell")
 
 
 @query("h16_least_bytes", "SELECT o_orderkey, o_orderkey * 977 AS back, CASE WHEN o_orderkey = 0 THEN 0 ELSE CAST(ceil(length(printf('%x', o_orderkey * 977)) / 2.0) AS INTEGER) END AS n FROM {orders}")
@@ -802,17 +803,20 @@ def _(spark, d):
     return o.select("o_orderkey", codecs.from_bytes(F.col("b")).alias("back"), F.size("b").alias("n"))
 
 
-@query("a11_array_codec", "SELECT l_orderkey, CAST(sum(l_partkey) AS BIGINT) AS total, count(*) AS n FROM {lineitem} GROUP BY l_orderkey")
+# The written form, bit by bit: width - 2, size of the length field (one unit for up to 15 values), length, values.
+@query("a11_array_codec", """WITH a AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS x, greatest(2, length(bin(max(l_partkey)))) AS w FROM {lineitem} GROUP BY l_orderkey),
+  b AS (SELECT *, lpad(bin(w - 2), 5, '0') || '000' || lpad(bin(len(x)), 4, '0') || array_to_string(list_transform(x, lambda v: lpad(bin(v), CAST(w AS INTEGER), '0')), '') AS bits FROM a)
+  SELECT l_orderkey, array_to_string(x, ',') AS back, to_base64(unhex(array_to_string(list_transform(range(0, CAST(ceil(length(bits) / 8.0) AS BIGINT)), lambda i: printf('%02x', CAST(list_sum(list_transform(range(1, 9), lambda j: CASE WHEN substr(bits, i * 8 + j, 1) = '1' THEN 1 << CAST(8 - j AS INTEGER) ELSE 0 END)) AS INTEGER))), ''))) AS cell FROM b""")
 def _(spark, d):
-    rows = base(spark, d, "SELECT l_orderkey, l_partkey FROM {lineitem}").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("x"))
-    back = rows.select("l_orderkey", codecs.text_to_array(codecs.array_to_text("x")).alias("y"))
-    return back.select("l_orderkey", F.aggregate("y", F.lit(0).cast("long"), lambda a, v: a + v).alias("total"), F.size("y").cast("long").alias("n"))
+    rows = base(spark, d, "SELECT l_orderkey, l_linenumber, l_partkey FROM {lineitem}").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("x"))
+    cells = rows.select("l_orderkey", codecs.array_to_text("x").alias("cell"))
+    return cells.select("l_orderkey", F.array_join(codecs.text_to_array("cell"), ",").alias("back"), "cell")
 
 
-@query("h19_long_chunks", "SELECT o_orderkey, CASE WHEN v = 0 THEN 0 ELSE 64 - length(bin(abs(v))) END AS shift, v < 0 AS negative FROM (SELECT o_orderkey, CAST(o_custkey AS BIGINT) * 7919 - 1000000 AS v FROM {orders})")
+@query("h19_long_chunks", "SELECT o_orderkey, CASE WHEN v = 0 THEN 0 ELSE 64 - length(bin(abs(v))) END AS shift, v < 0 AS negative, CASE WHEN v = 0 THEN 0 ELSE CAST(CAST(abs(v) AS HUGEINT) * CAST(pow(2, 64 - length(bin(abs(v)))) AS HUGEINT) - 18446744073709551616 AS BIGINT) END AS sig FROM (SELECT o_orderkey, CAST(o_custkey AS BIGINT) * 7919 - 1000000 AS v FROM {orders})")
 def _(spark, d):
     o = base(spark, d, "SELECT o_orderkey, CAST(o_custkey AS BIGINT) * 7919 - 1000000 AS v FROM {orders}").withColumn("c", numbers.long_chunk(F.col("v")))
-    return o.select("o_orderkey", numbers.unpack(F.col("c.sign_exp")).alias("u")).select("o_orderkey", (-F.col("u.exponent")).cast("long").alias("shift"), "u.negative")
+    return o.select("o_orderkey", numbers.unpack(F.col("c.sign_exp")).alias("u"), "c.sig").select("o_orderkey", (-F.col("u.exponent")).cast("long").alias("shift"), "u.negative", "sig")
 
 
 @query("h33_text_sanitize", "SELECT doc_id, md5(regexp_replace(replace(replace(replace(text, chr(10), ' '), chr(13), ''), '\"', ''''), '\\s+', ' ', 'g')) AS clean FROM {documents}")
@@ -885,13 +889,14 @@ def _(spark, d):
 RUNS = "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, CAST(l_quantity AS BIGINT) % 4 + 1 AS run FROM {lineitem}"
 
 
-@query("e8_instructions_per_block", f"""SELECT l_orderkey, CAST(sum(run) AS BIGINT) AS n_tokens, count(*) AS n_insns FROM ({RUNS}) GROUP BY l_orderkey""")
+@query("e8_instructions_per_block", f"""SELECT l_orderkey, CAST(max(until) AS BIGINT) AS n_tokens, CASE WHEN max(until) > 3 THEN count(*) FILTER (until <= 3) || ',' || count(*) FILTER (until > 3) ELSE CAST(count(*) AS VARCHAR) END AS n_insns
+  FROM (SELECT l_orderkey, sum(run) OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_quantity ROWS UNBOUNDED PRECEDING) AS until FROM ({RUNS})) GROUP BY l_orderkey""")
 def _(spark, d):
     runs = F.transform(F.array_sort(F.collect_list(F.struct("l_partkey", "l_suppkey", "l_quantity", "run"))), lambda x: x["run"].cast("int"))
     rows = base(spark, d, RUNS).groupBy("l_orderkey").agg(runs.alias("insn")).withColumn("total", F.aggregate("insn", F.lit(0), lambda a, x: a + x))
     blocks = F.when(F.col("total") > 3, F.array(F.lit(3), F.col("total") - 3)).otherwise(F.array("total"))
     per = rows.select("l_orderkey", F.col("total").cast("long").alias("n_tokens"), decode.rebase_runs(F.col("insn"), blocks).alias("per"))
-    return per.select("l_orderkey", "n_tokens", F.aggregate("per", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_insns"))
+    return per.select("l_orderkey", "n_tokens", F.array_join("per", ",").alias("n_insns"))
 
 
 @query("h28_block_texts", """SELECT doc_id, CASE WHEN len(w) > 8 THEN 3 WHEN len(w) > 3 THEN 2 ELSE 1 END AS n_blocks, md5(concat(array_to_string(w[1:3], ' '),
