@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.operators.lengths import in_band
-from graphloom.operators.order import numbered
+from graphloom.operators.order import numbered, running
 
 MASK = (1 << 64) - 1
 
@@ -65,7 +65,7 @@ class Xoshiro:
     """xoshiro256** seeded by splitmix64; unbiased draws below a bound by multiplication and rejection."""
 
     def __init__(self, seed: int):
-        self.s = []
+        self.s, self.again = [], 0
         for _ in range(4):
             seed = (seed + 0x9E3779B97F4A7C15) & MASK
             z = seed
@@ -90,6 +90,7 @@ class Xoshiro:
             high, low = divmod(self.next() * n, 1 << 64)
             if low >= least:
                 return high
+            self.again += 1
 
 
 def shuffled_chunks(counts: list[int], size: int, seed: int) -> Iterator[tuple[int, list[int]]]:
@@ -104,20 +105,87 @@ def shuffled_chunks(counts: list[int], size: int, seed: int) -> Iterator[tuple[i
             yield at, order[b : b + size]
 
 
-def validation_batches(sections: DataFrame, size: int, seed: int) -> DataFrame:
+class Jumps:
+    """States of a generator any number of steps ahead: its step is linear over bits, so 2**k steps are a matrix of bits."""
+
+    def __init__(self, kind: type[Xoshiro]):
+        self.kind, self.powers = kind, []
+
+    def _column(self, bit: int) -> int:
+        rng = self.kind(0)
+        rng.s = [(1 << bit) >> 64 * i & MASK for i in range(4)]
+        rng.next()
+        return sum(x << 64 * i for i, x in enumerate(rng.s))
+
+    @staticmethod
+    def _times(columns: list[int], state: int) -> int:
+        out = 0
+        while state:
+            low = state & -state
+            out ^= columns[low.bit_length() - 1]
+            state ^= low
+        return out
+
+    def ahead(self, seed: int, steps: int) -> Xoshiro:
+        rng, k = self.kind(seed), 0
+        state = sum(x << 64 * i for i, x in enumerate(rng.s))
+        while steps >> k:
+            if k == len(self.powers):
+                last = self.powers[-1] if k else None
+                self.powers.append([self._times(last, c) for c in last] if k else [self._column(bit) for bit in range(256)])
+            if steps >> k & 1:
+                state = self._times(self.powers[k], state)
+            k += 1
+        rng.s = [state >> 64 * i & MASK for i in range(4)]
+        return rng
+
+
+def validation_batches(sections: DataFrame, size: int, seed: int, kind: type[Xoshiro] = Xoshiro) -> DataFrame:
     """(section_id, batch, variants) by one sequential random stream over the sections in order.
 
-    The stream is sequential by definition, so ids and counts (not bodies) of the sections pass through one task.
+    Sections are dealt out by range, and each task jumps to where its first section's draws start: a section of n variants
+    takes n - 1 draws, and one more for each draw that is made again. Those are counted first. They are so rare that
+    none is to be expected; each round that finds some puts right all sections up to the next of them.
     """
-    import pandas as pd
+    import bisect
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every = pd.concat(list(batches)).sort_values("section_id")
-        ids = every["section_id"].tolist()
-        rows = [(ids[at], n, chunk) for n, (at, chunk) in enumerate(shuffled_chunks(every["n_variants"].tolist(), size, seed))]
-        yield pd.DataFrame(rows, columns=["section_id", "batch", "variants"])
+    import pandas as pd
 
-    return sections.select("section_id", "n_variants").coalesce(1).mapInPandas(run, "section_id bigint, batch bigint, variants array<bigint>")
+    takes = {"draws": F.greatest(F.col("n_variants") - 1, F.lit(0)), "batch": F.floor(F.col("n_variants") / size)}
+    rows = running(sections.select("section_id", "n_variants"), [], ["section_id"], takes).sortWithinPartitions("section_id")
+
+    def walk(late: list[tuple[int, int]], only_late: bool):
+        ids, sums = [i for i, _ in late], [0]
+        for _, n in late:
+            sums.append(sums[-1] + n)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            jumps, rng, at = Jumps(kind), None, -1
+            for batch in batches:
+                out = []
+                for section, n, draws, number in zip(*(batch[c].tolist() for c in ("section_id", "n_variants", "draws", "batch")), strict=True):
+                    start = draws + sums[bisect.bisect_left(ids, section)]
+                    if rng is None or at != start:
+                        rng = jumps.ahead(seed, start)
+                    before, dealt, order = rng.again, list(range(n)), []
+                    for j in range(n - 1, 0, -1):
+                        k = rng.below(j + 1)
+                        dealt[j], dealt[k] = dealt[k], dealt[j]
+                    again = rng.again - before
+                    at = start + max(n - 1, 0) + again
+                    if only_late:
+                        order = [(section, again)] if again else []
+                    else:
+                        order = [(section, number + i, dealt[i * size : (i + 1) * size]) for i in range(n // size)]
+                    out += order
+                yield pd.DataFrame(out, columns=["section_id", "again"] if only_late else ["section_id", "batch", "variants"])
+
+        return run
+
+    late: list[tuple[int, int]] = []
+    while (found := sorted((r["section_id"], r["again"]) for r in rows.mapInPandas(walk(late, True), "section_id bigint, again bigint").collect())) != late:
+        late = found
+    return rows.mapInPandas(walk(late, False), "section_id bigint, batch bigint, variants array<bigint>")
 
 
 def near_length(index: DataFrame, target: int, n: int, seed: int) -> DataFrame:

@@ -88,3 +88,38 @@ def test_progress_of_stages(spark, tmp_path):
         assert listener.rows == {"arrived": 5} and "arrived: 5" in lines
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_validation_batches_are_those_of_one_stream(spark):
+    import random
+
+    from graphloom.operators import sampling
+
+    class Picky(sampling.Xoshiro):
+        """Draws again now and then, as the plain generator would once in an age."""
+
+        def below(self, n):
+            while True:
+                high, low = divmod(self.next() * n, 1 << 64)
+                if low % 5:
+                    return high
+                self.again += 1
+
+    rnd = random.Random(6)
+    counts = [rnd.choice([0, 1, 2, 3, 5, 9]) for _ in range(60)]
+    rows = spark.createDataFrame([(100 + i, n) for i, n in enumerate(counts)], "section_id long, n_variants int").repartition(7)
+    for kind in (sampling.Xoshiro, Picky):
+        rng, want, number = kind(42), [], 0
+        for i, n in enumerate(counts):
+            order = list(range(n))
+            for j in range(n - 1, 0, -1):
+                k = rng.below(j + 1)
+                order[j], order[k] = order[k], order[j]
+            for b in range(0, n - n % 2, 2):
+                want.append((100 + i, number, order[b : b + 2]))
+                number += 1
+        assert sorted(tuple(r) for r in sampling.validation_batches(rows, 2, 42, kind).collect()) == want
+    far = sampling.Xoshiro(3)
+    for _ in range(1000):
+        far.next()
+    assert sampling.Jumps(sampling.Xoshiro).ahead(3, 1000).s == far.s
