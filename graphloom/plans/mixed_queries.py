@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graphloom.functions import constants as constant_rules
-from graphloom.functions import patterns
+from graphloom.functions import numbers, patterns
 from graphloom.operators import batch, constants, decode, graph, render
 from graphloom.plans.batch_queries import LANES, SPAN, STEP_ROWS, as_text
 from graphloom.plans.catalog_queries import EDGES, QUERIES, VARS, base, edges, query
@@ -190,3 +190,14 @@ def _(spark, d):
     rows = bodies(spark, d).withColumn("insn_rl", F.array_repeat(F.lit(3), steps)).withColumn("block_rl", F.concat(F.array_repeat(F.lit(6), (steps / 2).cast("int")), F.array_repeat(F.lit(3), steps % 2)))
     vocab = spark.range(272, 277).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("i"), (F.col("id") - 272).cast("string")).alias("token"))
     return render.lines(rows, vocab, calls).select("section_id", "variant_idx", "block", "insn", "text", F.size("refers").alias("n_refers"))
+
+
+EIGHTHS = "SELECT o_orderkey, CAST(o_custkey % 1000 AS BIGINT) - 500 AS n FROM {orders}"
+
+
+@query("h25_float_text", f"""SELECT o_orderkey, 'f64:' || CASE WHEN n = 0 THEN '0' ELSE CASE WHEN n < 0 THEN '-' ELSE '' END || '0.' || digits || ' E' || (length(digits) - k) END AS text, CAST(n // gcd(n, 8) AS VARCHAR) AS numerator, CAST(8 // gcd(n, 8) AS VARCHAR) AS denominator FROM (
+  SELECT *, CAST(abs(n) * CAST(pow(10, k) AS BIGINT) // 8 AS VARCHAR) AS digits FROM (SELECT *, CASE WHEN n % 8 = 0 THEN 0 WHEN n % 4 = 0 THEN 1 WHEN n % 2 = 0 THEN 2 ELSE 3 END AS k FROM ({EIGHTHS})))""")
+def _(spark, d):
+    bits = F.expr("unhex(lpad(hex(CAST(reflect('java.lang.Double', 'doubleToLongBits', CAST(n AS DOUBLE) / 8) AS BIGINT)), 16, '0'))")
+    rows = base(spark, d, EIGHTHS).select("o_orderkey", numbers.float_chunks("f64")(bits).alias("c"))
+    return rows.select("o_orderkey", numbers.render_chunks("f64", "full")("c").alias("text"), numbers.exact_value("c").alias("v")).select("o_orderkey", "text", "v.numerator", "v.denominator")

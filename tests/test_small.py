@@ -123,3 +123,35 @@ def test_validation_batches_are_those_of_one_stream(spark):
     for _ in range(1000):
         far.next()
     assert sampling.Jumps(sampling.Xoshiro).ahead(3, 1000).s == far.s
+
+
+def test_floats_of_all_widths(spark):
+    import random
+    import struct
+    from fractions import Fraction
+
+    rnd = random.Random(12)
+    assert [numbers.full_digits(k) for k in ("f16", "bf16", "f32", "f64", "f80", "f128")] == [5, 4, 9, 17, 21, 36]
+    for kind, (e_bits, m_bits, stored) in numbers.FORMATS.items():
+        bits = [rnd.getrandbits(1 + e_bits + m_bits) for _ in range(300)] + [rnd.getrandbits(m_bits - 1 if stored else m_bits) for _ in range(50)] + [0, 1 << e_bits + m_bits]
+        for b in bits:
+            e, m = b >> m_bits & (1 << e_bits) - 1, b & (1 << m_bits) - 1
+            if stored:  # of the extended kind, only patterns whose stored leading one is right are numbers
+                b = b & ~(1 << m_bits - 1) | (e > 0) << m_bits - 1
+            if e < (1 << e_bits) - 1:
+                assert numbers.to_bits(numbers.from_float(b, kind), kind) == b
+                text = numbers.float_text(numbers.from_float(b, kind), kind, numbers.full_digits(kind)).split(":")[1]
+                if text != "0":
+                    head, power = text.split(" E")
+                    assert abs(Fraction(head) * Fraction(10) ** int(power) / numbers.value_of(numbers.from_float(b, kind)) - 1) <= Fraction(1, 2 ** (m_bits + 1)) or e == 0, m
+    for x in (0.1, -1.5, 1e300, 5e-324, 123456.0):
+        parts = numbers.from_float(struct.unpack(">Q", struct.pack(">d", x))[0], "f64")
+        head, power = numbers.float_text(parts, "f64", 17)[4:].split(" E")
+        assert float(f"{head}e{power}") == x and numbers.value_of(parts) == Fraction(x)
+    one = [(1 << 63, (1 << 30) - 63)]
+    assert numbers.float_text(numbers.from_float(0x3FFF << 112, "f128"), "f128", 4).startswith("f128:0.1") and numbers.value_of(one) == 1
+    assert [numbers.float_text(numbers.from_float(b, "f16"), "f16", 4) for b in (0x7C00, 0xFC00, 0x7E01, 0x8000, 0xC000, 0x3555)] == ["f16:Inf", "f16:-Inf", "f16:NaN", "f16:0", "f16:-0.2 E1", "f16:0.3333 E0"]
+    df = spark.createDataFrame([(bytearray(struct.pack(">d", x)),) for x in (0.1, float("inf"), -2.0)], "raw binary").select(numbers.float_chunks("f64")("raw").alias("c"))
+    got = df.select(numbers.render_chunks("f64", "short")("c"), numbers.render_chunks("f64", "full")("c"), numbers.render_chunks("f64", "hex")("c"), numbers.exact_value("c").alias("v")).collect()
+    assert [tuple(r)[:3] for r in got] == [("f64:0.1000 E0", "f64:0.10000000000000001 E0", "f64:0x3fb999999999999a"), ("f64:Inf", "f64:Inf", "f64:0x7ff0000000000000"), ("f64:-0.2 E1", "f64:-0.2 E1", "f64:0xc000000000000000")]
+    assert tuple(got[0]["v"]) == ("3602879701896397", "36028797018963968") and tuple(got[1]["v"]) == (None, None) and tuple(got[2]["v"]) == ("-2", "1")
