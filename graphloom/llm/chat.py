@@ -33,9 +33,9 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     in codepoints of every text of loss_role. A conversation is one value of the result, so its turns
     meet in one row; nothing else of it is gathered.
     """
-    lean = turns.select("conv_id", F.struct("turn", _escape(F.coalesce("role", F.lit("")), ROLE_ESCAPES).alias("role"),
-                                            _escape(F.coalesce("text", F.lit(""))).alias("text")).alias("t"))
-    sorted_ = lean.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    lean = turns.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
+    escaped = F.transform("ts", lambda t: F.struct(_escape(t["role"], ROLE_ESCAPES).alias("role"), _escape(t["text"]).alias("text")))
+    sorted_ = lean.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("ts")).withColumn("ts", escaped)
     opens = F.filter(F.sequence(F.lit(1), F.size("ts")), lambda i: (i == 1) | (F.element_at("ts", i)["role"] != F.element_at("ts", F.greatest(i - 1, F.lit(1)))["role"]))
     blocks = F.transform("opens", lambda s, j: F.struct(
         F.element_at("ts", s)["role"].alias("role"),

@@ -96,3 +96,11 @@ def test_keys_of_lines_with_words_changed():
             pairs = [(line, new) for line in rnd.sample(own, min(len(own), 100)) if (new := changed(line, low, high))]
             met = sum(bool(set(line_dedup.line_keys([a.encode()])[0].tolist()) & set(line_dedup.line_keys([b.encode()])[0].tolist())) for a, b in pairs)
             assert met >= 0.85 * len(pairs) and (most <= 80 or met >= 0.9 * len(pairs)), (low, least, met, len(pairs))
+
+
+def test_turns_of_one_number_are_sorted_as_they_are_written(spark):
+    from graphloom.llm import chat
+
+    rows = [(1, 0, "user", t) for t in ("0", "<|x", "&", "=")] + [(1, 0, "u\nv", "z"), (1, None, "b", None)]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).select(chat.read_back(F.col("formatted")).alias("t")).first()["t"]
+    assert [tuple(t) for t in got] == [("b", ""), ("u\nv", "z"), ("user", "&"), ("user", "0"), ("user", "<|x"), ("user", "=")]
