@@ -127,3 +127,28 @@ def test_a_band_is_read_from_its_row_groups(spark, tmp_path):
         assert 0 < read < 100_000 / 2 and "PartitionFilters: [isnotnull(mode" in plan.toString()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_files_with_vocabulary_rows_in_between(spark, tmp_path):
+    import csv
+    from pathlib import Path
+
+    from graphloom.functions import codecs
+    from graphloom.sources import function_csv
+
+    functions = [("b", 10 * i, f'f"{i},', i % 2, [272 + i], [1], [1], f'{{"k": "v{i}"}}') for i in range(5)] + [("a", 1, "only", None, [272], [1], [1], None)]
+    vocabulary = [("b", 272 + i, f"t{i}", i // 2, 10 * i) for i in range(5)] + [("a", 272, "x", 0, 1), ("c", 272, "y", 3, 0)]
+    f = spark.createDataFrame(functions, "binary string, ord long, func_name string, occurrence int, tokens array<int>, block_rl array<int>, insn_rl array<int>, metadata string").repartition(3)
+    v = spark.createDataFrame(vocabulary, "binary string, local_id int, token string, type_id int, first_ord long")
+    function_csv.write_files(f, v, str(tmp_path / "out"), 2)
+
+    def read(name):
+        parts = sorted(Path(tmp_path / "out" / f"binary={name}").glob("part-*"))
+        return list(csv.reader("".join(p.read_text() for p in parts).splitlines()))
+
+    code = lambda x: codecs.encode_array(x)
+    vocab = lambda ts, kinds, runs: ["vocabulary", ",".join(ts), "", code(kinds), code(runs), ""]
+    row = lambda i: [f'f"{i},', str(i % 2), code([272 + i]), code([1]), code([1]), f'{{"k": "v{i}"}}']
+    assert read("b") == [["version=2"], function_csv.HEADER, row(0), row(1), vocab(["t0", "t1"], [0], [2]), row(2), row(3), vocab(["t0", "t1", "t2", "t3"], [0, 1], [2, 2]), row(4), vocab([f"t{i}" for i in range(5)], [0, 1, 2], [2, 2, 1])]
+    assert read("a") == [["version=2"], function_csv.HEADER, ["only", "", code([272]), code([1]), code([1]), ""], vocab(["x"], [0], [1])]
+    assert read("c") == [["version=2"], function_csv.HEADER, vocab(["y"], [3], [1])]
