@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from graphloom.llm._util import beside, cut, shuffle_width
 
 #: The contract's rules (fixed values): action, host, path.
-RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"),
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"),
          ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 #: Up to so many bounds of rules, and judged urls (some 300 bytes each, under 64 MB), are broadcast; more are joined by key.
 BROADCAST_RULES, BROADCAST_URLS = 50_000, 200_000
