@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphloom.plans.materialize import materialized
+
 #: Ids below are the same in every vocabulary; fixed values of the format.
 RESERVED, LEGACY_RESERVED, FIRST_FREE, MOST_IDS = 257, 256, 272, 65535
+#: Tokens of a row that are put in order at a time.
+PIECE = 10_000
 
 
 def definition_tokens(cell: Column) -> Column:
@@ -58,9 +62,20 @@ def check_ceiling(unified: DataFrame) -> DataFrame:
 
 
 def remap_tokens(rows: DataFrame, mapped: DataFrame, keys: list[str], tokens: str = "tokens") -> DataFrame:
-    """tokens as unified ids. A file's mapping has at most 65535 entries and is joined by file as one map."""
-    maps = mapped.groupBy("binary").agg(F.map_from_entries(F.collect_list(F.struct("local_id", "unified_id"))).alias("__m"))
-    return rows.join(maps, "binary").select(*keys, F.transform(tokens, lambda t: F.coalesce(F.element_at("__m", t), F.lit(-1))).alias("tokens"))
+    """tokens as unified ids, -1 where an id has none; rows of files without a mapping are left out.
+
+    Tokens and mapping meet by (binary, local_id), so work is linear in both, and each row's tokens are put back in order
+    from pieces of PIECE. A file that maps an id twice is an error.
+    """
+    held = materialized(rows.join(mapped.select("binary").distinct(), "binary", "left_semi").withColumn("__row", F.monotonically_increasing_id()))
+    cells = held.select("__row", "binary", F.posexplode(tokens).alias("__pos", "local_id"))
+    twice = F.raise_error(F.lit("an id is mapped twice")).cast(mapped.schema["unified_id"].dataType)
+    once = mapped.groupBy("binary", "local_id").agg(F.when(F.count("*") > 1, twice).otherwise(F.first("unified_id")).alias("__id"))
+    found = cells.join(once, ["binary", "local_id"], "left").select("__row", F.floor(F.col("__pos") / PIECE).alias("__piece"), F.struct("__pos", F.coalesce("__id", F.lit(-1)).alias("__id")).alias("__c"))
+    pieces = found.groupBy("__row", "__piece").agg(F.sort_array(F.collect_list("__c"))["__id"].alias("__ids"))
+    whole = pieces.groupBy("__row").agg(F.flatten(F.sort_array(F.collect_list(F.struct("__piece", "__ids")))["__ids"]).alias("__t"))
+    none = F.when(F.col(tokens).isNotNull(), F.array().cast(whole.schema["__t"].dataType))
+    return held.join(whole, "__row", "left").select(*keys, F.coalesce("__t", none).alias("tokens"))
 
 
 def frequency_vocab(tokens: DataFrame, max_size: int, min_freq: int) -> DataFrame:

@@ -125,7 +125,7 @@ def _(spark, d):
 @query("c21_remapped_streams", f"SELECT l.binary, string_agg(CAST(coalesce(u.unified_id, -1) AS VARCHAR), ',' ORDER BY l.local_id) AS tokens FROM ({LOCAL}) l LEFT JOIN ({UNIFIED}) u USING (token) GROUP BY l.binary")
 def _(spark, d):
     local = base(spark, d, LOCAL)
-    rows = local.groupBy("binary").agg(F.array_sort(F.collect_list("local_id")).alias("tokens"))
+    rows = local.groupBy("binary").agg(F.sort_array(F.collect_list("local_id")).alias("tokens"))
     return vocab.remap_tokens(rows, vocab.mapping(local, unified(spark, d)), ["binary"]).select("binary", F.array_join("tokens", ",").alias("tokens"))
 
 

@@ -3,6 +3,7 @@
 import datetime
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from graphloom.functions import axes, metadata, numbers
@@ -155,3 +156,17 @@ def test_floats_of_all_widths(spark):
     got = df.select(numbers.render_chunks("f64", "short")("c"), numbers.render_chunks("f64", "full")("c"), numbers.render_chunks("f64", "hex")("c"), numbers.exact_value("c").alias("v")).collect()
     assert [tuple(r)[:3] for r in got] == [("f64:0.1000 E0", "f64:0.10000000000000001 E0", "f64:0x3fb999999999999a"), ("f64:Inf", "f64:Inf", "f64:0x7ff0000000000000"), ("f64:-0.2 E1", "f64:-0.2 E1", "f64:0xc000000000000000")]
     assert tuple(got[0]["v"]) == ("3602879701896397", "36028797018963968") and tuple(got[1]["v"]) == (None, None) and tuple(got[2]["v"]) == ("-2", "1")
+
+
+def test_tokens_of_long_rows_are_remapped_in_order(spark, monkeypatch):
+    monkeypatch.setattr(vocab, "PIECE", 7)
+    n = 60_000
+    local = spark.range(n).select(F.lit("a").alias("binary"), F.col("id").alias("local_id"), (F.col("id") * 3).cast("int").alias("unified_id"))
+    rows = spark.createDataFrame([(1, "a", [5, None, 2, n, 2]), (2, "a", []), (3, "a", None), (4, "b", [1]), (5, "a", list(range(n - 1, -1, -1)))], "k int, binary string, tokens array<bigint>")
+    got = {r["k"]: r["tokens"] for r in vocab.remap_tokens(rows, local, ["k"]).collect()}
+    assert got.pop(5) == [3 * x for x in range(n - 1, -1, -1)]
+    assert got == {1: [15, -1, 6, -1, 6], 2: [], 3: None}
+    plan = vocab.remap_tokens(rows, local, ["k"])._jdf.queryExecution().toString()
+    assert "map_from_entries" not in plan  # looking ids up in one map a file took time by the square of its ids
+    with pytest.raises(Exception, match="mapped twice"):
+        vocab.remap_tokens(rows, local.unionByName(local), ["k"]).collect()
