@@ -2,13 +2,14 @@
 
 import re
 
+import numpy as np
 import pytest
 from llm_rows import ROWS
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from graphloom.llm import queries as Q
-from graphloom.llm import secrets
+from graphloom.llm import secrets, simhash
 
 DATA = "/root/testdata/sf0.001"
 EXTRA = [(20, "x ghp_" + "a1B2" * 10 + " y gho_" + "Z" * 35 + " ghx_" + "a" * 50), (21, "ghs_" + "q" * 36 + "é-----BEGIN RSA PRIVATE KEY-----\n-----BEGIN PRIVATE KEY-----"), (22, "-----BEGIN rsa PRIVATE KEY----- ghp_" + "a" * 34), (23, "ghr_" + "9" * 36)]
@@ -104,3 +105,15 @@ def test_turns_of_one_number_are_sorted_as_they_are_written(spark):
     rows = [(1, 0, "user", t) for t in ("0", "<|x", "&", "=")] + [(1, 0, "u\nv", "z"), (1, None, "b", None)]
     got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")).select(chat.read_back(F.col("formatted")).alias("t")).first()["t"]
     assert [tuple(t) for t in got] == [("b", ""), ("u\nv", "z"), ("user", "&"), ("user", "0"), ("user", "<|x"), ("user", "=")]
+
+
+def test_near_dedup_has_texts_of_near_simhashes_meet(spark):
+    base = " ".join(f"word{i * i % 9973}" for i in range(1500))
+    texts = [base, base + " more", base.replace("word25 ", "other ", 1), "quite another text of few words", "", None]
+    marked = simhash.marked_sets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text", 5).collect()
+    keys = {r["id"]: set(r["keys"]) for r in marked}
+    fps = {i: simhash.simhash64(simhash.shingle_set(t, 5)) for i, t in enumerate(texts) if t}
+    near = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= simhash.RADIUS]
+    own = {i: set(simhash.fingerprint_keys(np.array([fp], dtype=np.uint64))[0].tolist()) for i, fp in fps.items()}
+    assert (0, 1) in near and all(own[a] & own[b] for a, b in near) and not own[0] & own[3]
+    assert all(own[i] <= keys[i] for i in fps) and not keys[4] and not keys[5]
