@@ -263,3 +263,19 @@ def test_missing_index_is_an_error(spark):
     assert values(validate.require_members(m, i, "k", skip=True), "k") == [("a",)]
     with pytest.raises(Exception, match="no index for b"):
         validate.require_members(m, i, "k", skip=False).collect()
+
+
+@pytest.mark.parametrize("bound", [0, 100])
+def test_levels_of_a_walk_are_not_written(spark, monkeypatch, bound):
+    rows = [(s, v, slot, (s * (slot + 2) + v) % 9, v) for s in range(9) for v in range(2) for slot in range(2)]
+    edges = {}
+    for s, v, _, t, w in rows:
+        edges.setdefault((s, v), []).append((t, w))
+    e = spark.createDataFrame(rows, "section_id int, variant_idx int, called_idx int, callee_section int, callee_variant int")
+    r = spark.createDataFrame([(s, v, v) for s in range(9) for v in range(2)], "root int, lane int, variant_idx int")
+    written, write = [], graph.materialized
+    monkeypatch.setattr(graph, "materialized", lambda df: written.append(df.columns) or write(df))
+    monkeypatch.setattr(graph, "BROADCAST_CALLS", bound, raising=False)
+    got = graph.included(r, e, 4).filter("depth > 0")
+    assert values(got, "root", "lane", "depth", "ord", "section_id", "variant_idx") == walk({s: range(2) for s in range(9)}, edges, 4)
+    assert not [c for c in written if "root" in c]
