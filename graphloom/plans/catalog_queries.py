@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import axes, codecs, metadata, numbers
 from graphloom.operators import arms, catalog, decode, graph, inspect, lengths, sampling, stats, validate, vocab
+from graphloom.plans.materialize import materialized
 
 FLAGSHIP = "d3_gated_length_histogram"
 QUERIES: dict = {}
@@ -374,7 +375,7 @@ def _(spark, d):
 @query("i5_excluded_pool", f"""SELECT root, lane, depth, section_id, variant_idx FROM ({levels_sql(2, "SELECT * FROM every WHERE lane < 2")})
   ANTI JOIN ({levels_sql(2, "SELECT * FROM every", "SELECT section_id AS root, variant_idx AS lane, variant_idx FROM v WHERE variant_idx < 2")}) USING (root, lane, section_id)""")
 def _(spark, d):
-    e = edges(spark, d)
+    e = materialized(edges(spark, d))
     some = roots(spark, d).filter("lane < 2")
     return graph.excluded_pool(graph.included(roots(spark, d), e, 2).filter("lane < 2"), graph.included(some, e, 2)).select("root", "lane", "depth", "section_id", "variant_idx")
 
