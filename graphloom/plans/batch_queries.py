@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from graphloom.functions import metadata
 from graphloom.operators import batch, decode, lengths, vocab
 from graphloom.plans.catalog_queries import EDGES, ITEMS, LOCAL, QUERIES, SIZES, STREAM, TOTAL, UNIFIED, VARS, base, edges, levels_sql, query, streams, unified
+from graphloom.plans.materialize import materialized
 from graphloom.sources import catalog_tables
 
 # Body of each variant of a part: three ids a step, a carrier, its low digit, then a second digit, a sign or an instruction.
@@ -27,9 +28,9 @@ def bodies(spark, d):
     return decode.geometry(known.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<int>")))).select("section_id", "variant_idx", "body_len", "tokens")
 
 
-def targets(spark, d):
+def targets(spark, d, calls=None):
     place = F.row_number().over(W.partitionBy("section_id", "variant_idx").orderBy("called_idx")) - 1
-    return edges(spark, d).select("section_id", "variant_idx", F.lit(9).alias("category"), place.alias("place"), F.col("callee_section").alias("fid"))
+    return (edges(spark, d) if calls is None else calls).select("section_id", "variant_idx", F.lit(9).alias("category"), place.alias("place"), F.col("callee_section").alias("fid"))
 
 
 def as_text(rows):
@@ -77,8 +78,8 @@ LENGTHS = f"SELECT section_id, CAST(max(body_len) AS BIGINT) AS length FROM ({VA
 
 
 def parts_of(spark, d):
-    v = base(spark, d, VARS)
-    return v, edges(spark, d), targets(spark, d), bodies(spark, d)
+    v, e = base(spark, d, VARS), materialized(edges(spark, d))
+    return v, e, targets(spark, d, e), materialized(bodies(spark, d))
 
 
 @query("m6_batch_decode", decoded_sql(SECTIONS, 0))
