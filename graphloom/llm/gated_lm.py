@@ -8,6 +8,7 @@ round's texts, and the tasks' weights are averaged. Untrained, a text has the pr
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +31,8 @@ KNOWN_WORDS = 1 << 19
 HEAD, CLASSES = 1024, 16
 #: Parts of the corpus that the network learns one after another, averaging between them.
 ROUNDS = 4
+#: Blocks of words that are counted or looked up at a time: each lookup hashes all known words anew.
+LOOKUP = 16
 #: Tokens that are scored at a time; the last text may go beyond.
 LOAD = 1 << 22
 #: Held-out rows of the contract: CRC-32 of the id as text, modulo this, is that.
@@ -51,8 +54,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table()
         for batch in batches:
-            for words, _, _ in words_of(batch.column(0), table):
-                found = pc.value_counts(words)
+            for blocks in itertools.batched(words_of(batch.column(0), table), LOOKUP):
+                found = pc.value_counts(pa.chunked_array([words for words, _, _ in blocks]))
                 yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "c"])
 
     return texts.select("text").mapInArrow(run, "word string, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
@@ -135,19 +138,22 @@ class Coder:
         n, size = len(texts), len(self.words.words)
         parts, owners, rare = [], [], []
         known, base, share = np.full(n, int(self.words.ends > 0)), np.full(n, self.end), np.zeros(n)
-        for words, text, _ in words_of(texts, self.table):
-            coded = words.dictionary_encode()
-            at = pc.index_in(coded.dictionary, value_set=self.words.words).fill_null(size).to_numpy()
-            own = coded.indices.to_numpy()
-            number = at[own]
-            parts.append(self.target[number])
-            owners.append(text)
-            known += np.bincount(text, weights=number < size, minlength=n).astype(np.int64)
-            base += np.bincount(text, weights=self.base[number], minlength=n)
-            share += np.bincount(text, weights=self.share[number], minlength=n)
-            lost = number == size
-            pair, times = np.unique(text[lost].astype(np.int64) * len(coded.dictionary) + own[lost], return_counts=True)
-            rare.append((pair // len(coded.dictionary), coded.dictionary.take(pa.array(pair % len(coded.dictionary))), times))
+        for blocks in itertools.batched(words_of(texts, self.table), LOOKUP):
+            encoded = [words.dictionary_encode() for words, _, _ in blocks]
+            every = pa.chunked_array([coded.dictionary for coded in encoded])
+            at = pc.index_in(every, value_set=self.words.words).fill_null(size).to_numpy()
+            ends = np.cumsum([len(coded.dictionary) for coded in encoded])
+            for coded, end, (_, text, _) in zip(encoded, ends.tolist(), blocks, strict=True):
+                own = coded.indices.to_numpy()
+                number = at[end - len(coded.dictionary) : end][own]
+                parts.append(self.target[number])
+                owners.append(text)
+                known += np.bincount(text, weights=number < size, minlength=n).astype(np.int64)
+                base += np.bincount(text, weights=self.base[number], minlength=n)
+                share += np.bincount(text, weights=self.share[number], minlength=n)
+                lost = number == size
+                pair, times = np.unique(text[lost].astype(np.int64) * len(coded.dictionary) + own[lost], return_counts=True)
+                rare.append((pair // len(coded.dictionary), coded.dictionary.take(pa.array(pair % len(coded.dictionary))), times))
         text = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
         bounds = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n) + 1)]).astype(np.int64)
         ids = np.full(int(bounds[-1]), END, dtype=np.int32)

@@ -117,3 +117,19 @@ def test_nothing_to_learn_from(spark, no_docs):
 def test_held_out_texts_score_better_than_by_counts(spark):
     rows = gated_lm.query(spark, "/root/testdata/sf0.01").filter("held_out").select("base_score", "score").collect()
     assert sum(r["score"] for r in rows) > 0.97 * sum(r["base_score"] for r in rows) and sum(r["score"] > r["base_score"] for r in rows) > 0.8 * len(rows)
+
+
+def test_known_words_are_looked_up_once_for_many_blocks(monkeypatch):
+    words = gated_lm.Vocabulary(1000, 300, 20, pa.array([f"w{i}" for i in range(200)]), np.arange(200, 0, -1))
+    texts = pa.array([" ".join(f"w{i * j % 250}" for j in range(40)) for i in range(30)] + [None, ""])
+    coder, lookup, calls = gated_lm.Coder(words), gated_lm.pc.index_in, []
+    want = coder.code(texts)
+    monkeypatch.setattr("graphloom.llm.word_codes.BLOCK_BYTES", 64)
+    monkeypatch.setattr(gated_lm.pc, "index_in", lambda *a, **b: calls.append(1) or lookup(*a, **b))
+    got = coder.code(texts)
+    blocks = sum(1 for _ in gated_lm.words_of(texts, gated_lm._table()))
+    assert blocks > 2 * gated_lm.LOOKUP and len(calls) == -(-blocks // gated_lm.LOOKUP)
+    for name in ("ids", "bounds", "known", "base", "share"):
+        assert np.allclose(getattr(got, name), getattr(want, name))
+    rare = [Counter((t, w) for who, names, times in x.rare for t, w, k in zip(who.tolist(), names.to_pylist(), times.tolist(), strict=True) for _ in range(k)) for x in (got, want)]
+    assert rare[0] == rare[1] and rare[0]
