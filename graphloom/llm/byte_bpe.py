@@ -208,10 +208,11 @@ class Merger:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.values[at], self.base)
 
-    def rounds(self, ids: np.ndarray) -> list[bytes]:
+    def rounds(self, ids: np.ndarray, ranks: np.ndarray | None = None) -> list[bytes]:
+        """ranks: of the pairs of ids, where known."""
         out: list[bytes] = [b""] * len(ids)
         rows = np.arange(len(ids))
-        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        ranks = self.rank(ids[:, :-1], ids[:, 1:]) if ranks is None else ranks
         while len(rows):
             if ids.shape[1] > 1:
                 at = ranks.argmin(axis=1)

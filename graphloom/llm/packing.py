@@ -27,13 +27,15 @@ from pyspark.sql import functions as F
 from graphloom.llm._util import cut
 from graphloom.llm.byte_bpe import Merger
 
-#: Words in one generation of a worker's caches.
-CACHE = 100_000
+#: Words in one generation of a worker's caches (some 150 bytes each).
+CACHE = 250_000
 #: Characters that Python's split takes for white space and the tokenizer doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Words of letters whose class and lower case all versions of Unicode agree on, and a closing mark.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-PLAIN_PART = re.compile("[a-zß-öø-ÿ]+")
+PLAIN = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)|.+)$", re.MULTILINE)
+PLAIN_PART, MARKS = re.compile("[a-zß-öø-ÿ]+"), (".", ",")
+#: Characters of the longest plain word that is merged here, and of texts that are encoded at a time.
+PLAIN_SIZE, LOAD = 48, 1 << 22
 
 
 class Recent:
@@ -79,16 +81,20 @@ class WordMerger(Merger):
         pairs = {vocab[a] * self.base + vocab[b]: i for (a, b), i in zip(merges, made, strict=True)}
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+        self.of_bytes, self.of_last = (self.rank(self.bytes[:, None], second[None, :]).ravel() for second in (self.bytes, self.last))
 
     def merge_all(self, words: list[str]) -> list[bytes]:
         out, by_size = [b""] * len(words), defaultdict(list)
         for i, w in enumerate(words):
-            by_size[len(w.encode())].append(i)
+            by_size[len(w) if w.isascii() else len(w.encode())].append(i)
         for size, at in by_size.items():
             raw = np.frombuffer("".join(words[i] for i in at).encode(), dtype=np.uint8).reshape(-1, size)
             ids = self.bytes[raw]
             ids[:, -1] = self.last[raw[:, -1]]
-            for i, x in zip(at, self.rounds(ids), strict=True):
+            pair = raw[:, :-1] * np.intp(256) + raw[:, 1:]
+            ranks = self.of_bytes[pair]
+            ranks[:, -1:] = self.of_last[pair[:, -1:]]
+            for i, x in zip(at, self.rounds(ids, ranks), strict=True):
                 out[i] = x
         return out
 
@@ -109,7 +115,7 @@ class WordTokens:
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         """Plain words by pair merging; all others by the library."""
-        plain = [p for p in parts if len(p) <= 48 and PLAIN_PART.fullmatch(p)]
+        plain = [p for p in parts if len(p) <= PLAIN_SIZE and PLAIN_PART.fullmatch(p)]
         known = dict(zip(plain, self.merger.merge_all(plain), strict=True))
         other = [p for p in parts if p not in known]
         known.update(zip(other, self.whole(other), strict=True))
@@ -117,9 +123,11 @@ class WordTokens:
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Forms that differ in case or a closing mark share one call of the tokenizer, which folds case and splits marks off."""
-        split = [(m[1].lower(), m[2]) if (m := PLAIN.fullmatch(w)) else (w, "") for w in words]
-        get = self.parts.learn({x for pair in split for x in pair}).__getitem__
-        return [get(a) + get(b) for a, b in split]
+        found = PLAIN.findall("\n".join(words))
+        heads = [a.lower() if a else w for (a, _), w in zip(found, words, strict=True)]
+        get = self.parts.learn({*heads, *MARKS}).__getitem__
+        ends = {"": b"", **{m: get(m) for m in MARKS}}
+        return [get(h) + ends[m] for h, (_, m) in zip(heads, found, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
@@ -145,9 +153,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             at, rows = 0, []
-            while at < len(texts):  # some million characters at a time
+            while at < len(texts):  # some million characters at a time, as merging words takes many short steps
                 upto, held = at, 0
-                while upto < len(texts) and (upto == at or held + len(texts[upto]) < 1 << 20):
+                while upto < len(texts) and (upto == at or held + len(texts[upto]) < LOAD):
                     held += len(texts[upto])
                     upto += 1
                 for k, ids in enumerate(_tokens[path].encode(texts[at:upto]), at):

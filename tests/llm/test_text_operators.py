@@ -70,6 +70,16 @@ def test_word_tokens_equal_the_library(monkeypatch):
     assert [np.frombuffer(x, dtype="<u4").tolist() for t in texts[:300] for x in coder.encode([t])] == want[:300]
 
 
+def test_pairs_of_plain_words_come_from_a_table(monkeypatch):
+    texts = ["Stones, stones. STONES ., . , a, É. straße, ÑANDÚ. x.y one\u2028two\x85three\x0bfour a\u0301b, " + "z" * 60 + ",", "", " \n", "(a) it's A.", "five\x1csix."]
+    coder = packing.WordTokens(WORDS)
+    sought, rank = [], packing.WordMerger.rank
+    monkeypatch.setattr(packing.WordMerger, "rank", lambda self, x, y: sought.append(x.ndim) or rank(self, x, y))
+    found = coder.encode(texts)
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in found] == [e.ids for e in Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)]
+    assert sought and set(sought) == {1}  # searched for are only pairs with what has been joined
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_packing_plan_holds_every_piece(seed):
     rnd = random.Random(seed)
