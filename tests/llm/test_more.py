@@ -117,3 +117,30 @@ def test_near_dedup_has_texts_of_near_simhashes_meet(spark):
     own = {i: set(simhash.fingerprint_keys(np.array([fp], dtype=np.uint64))[0].tolist()) for i, fp in fps.items()}
     assert (0, 1) in near and all(own[a] & own[b] for a, b in near) and not own[0] & own[3]
     assert all(own[i] <= keys[i] for i in fps) and not keys[4] and not keys[5]
+
+
+def test_lines_of_one_passage_are_not_paired_by_row(spark):
+    """Unlike nodes of one key make rows by blocks, not by pairs, and no link of pairs that meet is lost."""
+    import random
+
+    from graphloom.llm import line_dedup, minhash
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnop", k=6))
+    passage = " ".join(word() for _ in range(20))
+    rows, own = [], ""
+    for i in range(300):
+        own = own[:-1] + "z" if i % 10 == 9 else " ".join(word() for _ in range(10))
+        rows.append((i, f"{passage} {own}"))
+    kept = spark.createDataFrame(rows, "of long, text string")
+    entries = spark.createDataFrame([(k, i, len(t)) for i, t in rows for k in (7, 8, 9)[: 1 + i % 3]], "key long, node long, size int")
+    made = []
+
+    def texts(wanted):
+        made.append(wanted.count())
+        return wanted.join(kept, F.col("node") == F.col("of")).drop("of")
+
+    got = minhash.linked(entries, 0.8, texts, str, line_dedup.alike).collect()
+    links = [(i, j) for i, a in rows for j, b in rows[i + 1 :] if line_dedup.alike(a, b)]
+    assert len(links) >= 30 and sorted((r["node"], r["root"]) for r in got) == sorted((n, i) for i, j in links for n in (i, j))
+    assert sum(made) < 10 * len(rows)
