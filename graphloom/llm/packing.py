@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,15 +28,16 @@ from pyspark.sql import functions as F
 from graphloom.llm._util import cut
 from graphloom.llm.byte_bpe import Merger
 
-#: Words in one generation of a worker's caches (some 150 bytes each).
-CACHE = 250_000
+#: Words in one generation of a worker's cache of parts (some 150 bytes each), and words that a worker knows (some 50 bytes each).
+CACHE, KNOWN = 250_000, 600_000
 #: Characters that Python's split takes for white space and the tokenizer doesn't.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
-#: Words of letters whose class and lower case all versions of Unicode agree on, and a closing mark.
-PLAIN = re.compile("^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)|.+)$", re.MULTILINE)
-PLAIN_PART, MARKS = re.compile("[a-zß-öø-ÿ]+"), (".", ",")
+#: Words of letters whose class and lower case all versions of Unicode agree on, and closing marks, which are one piece; no
+#: apostrophe, as it may begin another.
+PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.+)$", re.MULTILINE)
+PLAIN_PART = re.compile("[a-zß-öø-ÿ]+")
 #: Characters of the longest plain word that is merged here, and of texts that are encoded at a time.
-PLAIN_SIZE, LOAD = 48, 1 << 22
+PLAIN_SIZE, LOAD = 48, 1 << 23
 
 
 class Recent:
@@ -108,7 +110,13 @@ class WordTokens:
 
         self.own = Tokenizer.from_file(path)
         self.merger = WordMerger(path)
-        self.words, self.parts = Recent(self._words), Recent(self._parts)
+        self.parts = Recent(self._parts)
+        self.forget()
+
+    def forget(self) -> None:
+        """Known words, all their ids one after another, and the first and the number of each word's. The empty word has none."""
+        self.known, self.ids = pa.array([""], pa.string()), np.zeros(0, dtype="<u4")
+        self.starts, self.counts = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
@@ -122,17 +130,44 @@ class WordTokens:
         return [known[p] for p in parts]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Forms that differ in case or a closing mark share one call of the tokenizer, which folds case and splits marks off."""
+        """Forms that differ in case or closing marks share one call of the tokenizer, which folds case and splits marks off."""
         found = PLAIN.findall("\n".join(words))
         heads = [a.lower() if a else w for (a, _), w in zip(found, words, strict=True)]
-        get = self.parts.learn({*heads, *MARKS}).__getitem__
-        ends = {"": b"", **{m: get(m) for m in MARKS}}
+        marks = {m for _, m in found if m}
+        get = self.parts.learn({*heads, *marks}).__getitem__
+        ends = {"": b"", **{m: get(m) for m in marks}}
         return [get(h) + ends[m] for h, (_, m) in zip(heads, found, strict=True)]
 
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where each of these distinct words stands among the known ones, which hold them all afterwards."""
+        if len(self.known) + len(words) > KNOWN:
+            self.forget()
+        at = pc.index_in(words, value_set=self.known)
+        if at.null_count:
+            new = words.filter(at.is_null())
+            ids = self._words(new.to_numpy(zero_copy_only=False).tolist())
+            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+            at = at.to_numpy(zero_copy_only=False)
+            missing = np.isnan(at)
+            at[missing] = len(self.known) + np.arange(len(ids))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts, self.ids = np.concatenate([self.counts, counts]), np.concatenate([self.ids, np.frombuffer(b"".join(ids), dtype="<u4")])
+            self.known = pa.concat_arrays([self.known, new])
+            return at.astype(np.int64)
+        return at.to_numpy()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
-        get = self.words.learn(set().union(*(w for w in split if w))).__getitem__
-        return [self.whole([t])[0] if w is None else b"".join(map(get, w)) for t, w in zip(texts, split, strict=True)]
+        """Each distinct word of the texts is looked up once; ids of texts are gathered whole arrays at a time."""
+        odd = {k for k, t in enumerate(texts) if any(c in t for c in NOT_SPACE)}
+        split = pc.utf8_split_whitespace(pa.array(["" if k in odd else t for k, t in enumerate(texts)], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        at = self.places(coded.dictionary)[coded.indices.to_numpy()]
+        counts = self.counts[at]
+        ends = np.cumsum(counts)
+        own = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - counts), counts)
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()].tolist()
+        ids = self.ids[own]
+        return [self.whole([t])[0] if k in odd else ids[a:b].tobytes() for k, (t, (a, b)) in enumerate(zip(texts, itertools.pairwise(bounds), strict=True))]
 
 
 _tokens: dict[str, WordTokens] = {}

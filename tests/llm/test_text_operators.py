@@ -80,6 +80,18 @@ def test_pairs_of_plain_words_come_from_a_table(monkeypatch):
     assert sought and set(sought) == {1}  # searched for are only pairs with what has been joined
 
 
+def test_words_with_many_closing_marks_are_merged_without_the_library(monkeypatch):
+    texts = ["Stone.&&& stone, STONE!! straße.%%% (stone stone's stone' stone'' stone.' s", "  stone]}~ stone\\`\t|stone| ", "", "\x1cstone!!\x1f a", "stone<|endoftext|> <|endoftext|>stone"] * 2
+    coder, asked, whole = packing.WordTokens(WORDS), [], packing.WordTokens.whole
+    monkeypatch.setattr(packing.WordTokens, "whole", lambda self, parts: asked.extend(parts) or whole(self, parts))
+    want = [e.ids for e in Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)]
+    for known in (packing.KNOWN, 3):  # with few, all are forgotten each time
+        monkeypatch.setattr(packing, "KNOWN", known)
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in coder.encode(texts)] == want
+        assert [np.frombuffer(x, dtype="<u4").tolist() for t in texts for x in coder.encode([t])] == want
+    assert coder.encode([]) == [] and {".&&&", "!!", "]}~"} <= set(asked) and not {"stone.&&&", "Stone.&&&", "stone!!", "STONE!!", "straße.%%%", "stone]}~"} & set(asked)
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_packing_plan_holds_every_piece(seed):
     rnd = random.Random(seed)
