@@ -144,3 +144,6 @@ def test_lines_of_one_passage_are_not_paired_by_row(spark):
     links = [(i, j) for i, a in rows for j, b in rows[i + 1 :] if line_dedup.alike(a, b)]
     assert len(links) >= 30 and sorted((r["node"], r["root"]) for r in got) == sorted((n, i) for i, j in links for n in (i, j))
     assert sum(made) < 10 * len(rows)
+    made.clear()
+    assert minhash.linked(entries.select(F.expr("node div 2").alias("key"), "node", "size"), 0, texts, str, lambda a, b: False).count() == 0
+    assert made == [300, 300, 0]  # in keys of two, the last hub has met all
