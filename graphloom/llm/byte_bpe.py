@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm._util import keep
+
 # Codepoint classes.
 OTHER, LETTER, NUMBER, SPACE, BLANK, QUOTE, END = range(7)
 # Symbols: classes after lookahead. GLUE: a blank that joins the piece after it; LAST: another
@@ -317,13 +319,8 @@ class ByteBPE:
         return out
 
 
-_coders: dict[str, ByteBPE] = {}
-
-
 def _coder(path: str, classes: bytes) -> ByteBPE:
-    if path not in _coders:
-        _coders[path] = ByteBPE(path, classes)
-    return _coders[path]
+    return keep(("bytes", path), lambda: ByteBPE(path, classes))
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graphloom.llm._util import cut
+from graphloom.llm._util import cut, hand_back, keep
 from graphloom.llm.byte_bpe import Merger
 
 #: Words in one generation of a worker's cache of parts (some 150 bytes each), and words that a worker knows (some 50 bytes each).
@@ -170,9 +170,6 @@ class WordTokens:
         return [self.whole([t])[0] if k in odd else ids[a:b].tobytes() for k, (t, (a, b)) in enumerate(zip(texts, itertools.pairwise(bounds), strict=True))]
 
 
-_tokens: dict[str, WordTokens] = {}
-
-
 def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
            with_ids: bool = False) -> DataFrame:
     """Documents as token pieces: id, piece, start, length, ids_crc32 and, if asked for, ids.
@@ -183,8 +180,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokens:
-            _tokens[path] = WordTokens(path)
+        tokens = keep(("words", path), lambda: WordTokens(path))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             at, rows = 0, []
@@ -193,7 +189,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id
                 while upto < len(texts) and (upto == at or held + len(texts[upto]) < LOAD):
                     held += len(texts[upto])
                     upto += 1
-                for k, ids in enumerate(_tokens[path].encode(texts[at:upto]), at):
+                for k, ids in enumerate(tokens.encode(texts[at:upto]), at):
                     ids += end
                     for p, b in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[b : b + 4 * capacity]
@@ -206,6 +202,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id
                 arrays.append(pa.array([np.frombuffer(x, dtype="<i4") for x in cols[5]], type=pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        hand_back()
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     kind = given.schema["id"].dataType.simpleString()

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm._util import let_go
+
 #: Word separators and symbol characters; fixed values of the contract.
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -71,6 +73,7 @@ def with_stats(docs: DataFrame, text_col: str = "text", keep: list[str] | None =
     width = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             rows = [text_stats(t) for t in batch.column(width).to_pylist()]
             cols = zip(*rows, strict=True) if rows else [[] for _ in STATS]

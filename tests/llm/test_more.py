@@ -147,3 +147,31 @@ def test_lines_of_one_passage_are_not_paired_by_row(spark):
     made.clear()
     assert minhash.linked(entries.select(F.expr("node div 2").alias("key"), "node", "size"), 0, texts, str, lambda a, b: False).count() == 0
     assert made == [300, 300, 0]  # in keys of two, the last hub has met all
+
+
+def test_workers_let_a_tokenizer_go(spark):
+    """Python workers outlive stages: the next operator's tasks don't find the tokenizer of packing in memory."""
+    import gc
+
+    import public_tokenizers
+
+    from graphloom.llm import _util, packing, text_stats
+
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(400)], "doc_id long, text string").repartition(16)
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(isinstance(x, packing.WordTokens) for x in gc.get_objects())])], names=["n"])
+
+    def most(df):
+        return df.mapInArrow(held, "n long").agg(F.max("n")).first()[0]
+
+    packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")).count()
+    assert most(docs) == 1
+    for _ in range(3):  # so that every worker has a turn
+        text_stats.with_stats(docs, "text").select("stats").collect()
+    assert most(docs) == 0
+    assert [_util.keep(("a",), lambda: 1), _util.keep(("a",), lambda: 2), _util.keep(("b",), lambda: 3), _util.keep(("a",), lambda: 4)] == [1, 1, 3, 4]
+    _util.let_go()
