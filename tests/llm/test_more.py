@@ -175,3 +175,14 @@ def test_workers_let_a_tokenizer_go(spark):
     assert most(docs) == 0
     assert [_util.keep(("a",), lambda: 1), _util.keep(("a",), lambda: 2), _util.keep(("b",), lambda: 3), _util.keep(("a",), lambda: 4)] == [1, 1, 3, 4]
     _util.let_go()
+
+
+def test_lines_are_marked_in_one_row_for_each_document(spark):
+    from graphloom.llm import line_dedup
+
+    docs = spark.createDataFrame([(1, "a b\n\nc d"), (2, "C, d\n"), (3, None)], "doc_id long, text string")
+    for sims in (False, True):
+        got = {r["id"]: r for r in line_dedup.marked_lines(docs, "doc_id", "text", sims).collect()}
+        keys = [got[i]["keys"] for i in (1, 2, 3)]
+        assert [[k is None for k in own] for own in keys] == [[False, True, False], [False, True], [True]] and keys[0][2] == keys[1][0] != keys[0][0]
+        assert [got[i]["sims"] and [x is None for x in got[i]["sims"]] for i in (1, 2, 3)] == [[k is None for k in own] if sims else None for own in keys]
